@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsewatch.operators.stats import exact_quantiles, pearson
+from pulsewatch.operators.stats import distribution, pearson
 
 
 def _activity(df: DataFrame, key: str) -> DataFrame:
@@ -155,18 +155,10 @@ def alcohol_average_gap(summary: DataFrame) -> DataFrame:
 def response_summary(flagged: DataFrame, max_seconds: float = 7200.0) -> DataFrame:
     """Response times of event-related and other calls side by side, outliers cut."""
     kept = flagged.where(F.col("response_time") < max_seconds)
-    basic = kept.groupBy("is_festival_related").agg(
-        F.count("*").alias("n"),
-        F.avg("response_time").alias("mean"),
-        F.stddev_samp("response_time").alias("std"),
-        F.min("response_time").alias("low"),
-        F.max("response_time").alias("high"),
-    )
-    quartiles = exact_quantiles(
+    joined = distribution(
         kept, ["is_festival_related"], "response_time", {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     )
-    joined = basic.join(quartiles, "is_festival_related")
-    names = ["n", "mean", "std", "low", "high", "p25", "p50", "p75"]
+    names = ["n_values", "mean", "std", "min", "max", "p25", "p50", "p75"]
     flag = F.col("is_festival_related")
     wide = joined.agg(
         *[F.max(F.when(flag, F.col(c))).alias(f"f_{c}") for c in names],
@@ -177,7 +169,7 @@ def response_summary(flagged: DataFrame, max_seconds: float = 7200.0) -> DataFra
         return F.col(f"f_{c}") / scale, F.col(f"o_{c}") / scale
 
     entries = [
-        ("Count", *pair("n")),
+        ("Count", *pair("n_values")),
         ("Mean (sec)", *pair("mean")),
         ("Mean (min)", *pair("mean", 60.0)),
         ("Median (sec)", *pair("p50")),
@@ -185,8 +177,8 @@ def response_summary(flagged: DataFrame, max_seconds: float = 7200.0) -> DataFra
         ("Std Dev", *pair("std")),
         ("25th Percentile", *pair("p25")),
         ("75th Percentile", *pair("p75")),
-        ("Min (sec)", *pair("low")),
-        ("Max (sec)", *pair("high")),
+        ("Min (sec)", *pair("min")),
+        ("Max (sec)", *pair("max")),
     ]
     return wide.select(_rows(entries, "festival", "non_festival"))
 
@@ -194,12 +186,10 @@ def response_summary(flagged: DataFrame, max_seconds: float = 7200.0) -> DataFra
 def response_by_priority(flagged: DataFrame) -> DataFrame:
     """Mean, median and count of response times by flag and priority level."""
     keys = ["is_festival_related", "priority_level"]
-    present = flagged.na.drop(subset=keys)
-    basic = present.groupBy(*keys).agg(
-        F.avg("response_time").alias("mean_time"), F.count("response_time").alias("count")
+    table = distribution(flagged, keys, "response_time", {"median_time": 0.5})
+    return table.select(
+        *keys, F.col("mean").alias("mean_time"), "median_time", F.col("n_values").alias("count")
     )
-    middle = exact_quantiles(present, keys, "response_time", {"median_time": 0.5})
-    return basic.join(middle, keys, "left")
 
 
 def response_by_hour(flagged: DataFrame) -> DataFrame:
@@ -269,13 +259,11 @@ def overview_kpis(calls: DataFrame, fact: DataFrame, risk: DataFrame) -> DataFra
 
 
 def distance_stats(fact: DataFrame) -> DataFrame:
-    basic = fact.agg(
-        F.min("distance_km").alias("min_km"),
-        F.max("distance_km").alias("max_km"),
-        F.avg("distance_km").alias("mean_km"),
+    table = distribution(fact, [], "distance_km", {"median_km": 0.5})
+    return table.select(
+        F.col("min").alias("min_km"), F.col("max").alias("max_km"),
+        F.col("mean").alias("mean_km"), "median_km",
     )
-    middle = exact_quantiles(fact, [], "distance_km", {"median_km": 0.5})
-    return basic.withColumn("median_km", middle.scalar())
 
 
 def forecast_metrics(forecast: DataFrame) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Joins: geography, weather, event flags and the spatio-temporal join."""
+"""Joins: geography, weather, event flags and the spatio-temporal join.
+
+Dimension joins carry no hint. Spark broadcasts a side whose size is known to be
+below its threshold, at planning or from run-time measurement, and otherwise sorts
+and merges, where adaptive execution splits partitions of crowded keys.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,7 @@ from pyspark.sql import functions as F
 from pulsewatch import schemas
 from pulsewatch.functions.geo import Grid, bounding_box, haversine_km
 from pulsewatch.operators.clean import keep_first
-from pulsewatch.session import BROADCAST_ROWS, at_most, broadcast_if_small
+from pulsewatch.session import at_most
 
 # Events up to this count are shipped to the calls; beyond it both sides shuffle.
 EVENT_BROADCAST_ROWS = 20_000
@@ -17,12 +22,12 @@ EVENT_BROADCAST_ROWS = 20_000
 def enrich_geo(calls: DataFrame, geo: DataFrame) -> DataFrame:
     """Left join of the block-group centroid and area."""
     columns = ["geo_id", "latitude_centroid", "longitude_centroid", "area_sq_km"]
-    return calls.join(broadcast_if_small(geo.select(*columns)), "geo_id", "left")
+    return calls.join(geo.select(*columns), "geo_id", "left")
 
 
 def unmatched_geo(calls: DataFrame, geo: DataFrame, top: int = 10) -> DataFrame:
     """Most frequent ids without a block group."""
-    missing = calls.join(broadcast_if_small(geo.select("geo_id")), "geo_id", "left_anti")
+    missing = calls.join(geo.select("geo_id"), "geo_id", "left_anti")
     counts = missing.groupBy("geo_id").agg(F.count("*").alias("call_count"))
     return counts.orderBy(F.desc("call_count"), "geo_id").limit(top)
 
@@ -42,7 +47,7 @@ def join_weather(calls: DataFrame, weather: DataFrame) -> DataFrame:
             "temp_category", "humidity_pct"]
     hours = weather.select(F.date_trunc("hour", "datetime").alias("join_hour"), *kept)
     keyed = calls.withColumn("join_hour", F.date_trunc("hour", "response_datetime"))
-    return keyed.join(broadcast_if_small(hours), "join_hour")
+    return keyed.join(hours, "join_hour")
 
 
 def flag_festival(calls: DataFrame, fact: DataFrame) -> DataFrame:
@@ -57,7 +62,7 @@ def flag_festival(calls: DataFrame, fact: DataFrame) -> DataFrame:
 def nullify_missing_fk(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Set ``key`` to NULL where the dimension has no such row."""
     known = dim.select(key).distinct().withColumn("_known", F.lit(True))
-    joined = df.join(broadcast_if_small(known), key, "left")
+    joined = df.join(known, key, "left")
     return joined.withColumn(key, F.when(F.col("_known"), F.col(key))).drop("_known")
 
 
@@ -67,20 +72,19 @@ def valid_events(events: DataFrame) -> DataFrame:
     return keep_first(complete, "event_id", ["start_date", "end_date", "event_name"])
 
 
-def call_span(calls: DataFrame) -> DataFrame:
-    return calls.agg(
-        F.min("response_datetime").alias("first_call"),
-        F.max("response_datetime").alias("last_call"),
-    )
-
+def events_in_range(
+    events: DataFrame, calls: DataFrame, end_inclusive_day: bool = False
+) -> DataFrame:
+    """Events whose period overlaps the calls; the span is a one-row subquery.
 
-def events_in_range(events: DataFrame, calls: DataFrame) -> DataFrame:
-    """Events whose period overlaps the calls; the span is a one-row subquery."""
-    span = call_span(calls)
-    first, last = span.select("first_call").scalar(), span.select("last_call").scalar()
+    The end date counts as its midnight unless ``end_inclusive_day``.
+    """
+    when = F.col("response_datetime")
+    span = calls.agg(F.struct(F.min(when).alias("first"), F.max(when).alias("last"))).scalar()
+    end = F.col("end_date") + F.expr("INTERVAL 1 DAY" if end_inclusive_day else "INTERVAL 0 DAY")
     return events.where(
-        (F.col("end_date").cast("timestamp_ntz") >= first)
-        & (F.col("start_date").cast("timestamp_ntz") <= last)
+        (end.cast("timestamp_ntz") >= span["first"])
+        & (F.col("start_date").cast("timestamp_ntz") <= span["last"])
     )
 
 
@@ -96,13 +100,24 @@ def _event_cells(events: DataFrame, grid: Grid) -> DataFrame:
     )
 
 
+def _salted(calls: DataFrame, copies: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Spread the calls of a key over sub-keys and repeat the other side for each.
+
+    The merge hint keeps the planner from broadcasting the copies by an estimate
+    that does not know how far they were exploded.
+    """
+    spread = calls.withColumn("_salt", F.pmod(F.xxhash64("incident_number"), F.lit(salts)))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    return spread, copies.withColumn("_salt", F.explode(every)).hint("merge")
+
+
 def pair_calls_with_events(
     calls: DataFrame,
     events: DataFrame,
     radius_km: float,
     end_inclusive_day: bool,
+    few_events: bool,
     salts: int = 32,
-    broadcast_rows: int = EVENT_BROADCAST_ROWS,
 ) -> DataFrame:
     """All (call, event) pairs inside the period and the radius.
 
@@ -128,13 +143,10 @@ def pair_calls_with_events(
     )
     copies = _event_cells(events, grid)
     keys = ["_day", "_band", "_cell"]
-    if at_most(events.select("event_id"), broadcast_rows):
+    if few_events:
         copies = F.broadcast(copies)
     else:
-        keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64("incident_number"), F.lit(salts)))
-        copies = copies.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-        )
+        keyed, copies = _salted(keyed, copies, salts)
         keys.append("_salt")
 
     met = keyed.join(copies, keys).withColumn(
@@ -158,11 +170,13 @@ def festival_incidents(
     events: DataFrame,
     radius_km: float = 1.5,
     end_inclusive_day: bool = False,
-    **join_options: int,
+    salts: int = 32,
+    broadcast_rows: int = EVENT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Fact of incidents that happened during an event and near it."""
     kept = ["event_id", "event_name", "start_date", "end_date", "event_lat", "event_lon"]
-    prepared = events_in_range(valid_events(events), calls)
+    few_events = at_most(events, broadcast_rows)
+    prepared = events_in_range(valid_events(events), calls, end_inclusive_day)
     flags = [c for c in ("has_alcohol", "has_amplified_sound") if c in prepared.columns]
     prepared = schemas.with_missing(
         prepared.select(*kept, *flags),
@@ -170,7 +184,7 @@ def festival_incidents(
     ).na.fill(False, ["has_alcohol", "has_amplified_sound"])
     clash = [c for c in kept + flags if c in calls.columns]
     pairs = pair_calls_with_events(
-        calls.drop(*clash), prepared, radius_km, end_inclusive_day, **join_options
+        calls.drop(*clash), prepared, radius_km, end_inclusive_day, few_events, salts
     )
     named = pairs.withColumnsRenamed(
         {
@@ -207,7 +221,7 @@ def nearby_incidents(calls: DataFrame, lat: float, lon: float, radius_km: float)
 
 def nearby_batch(
     calls: DataFrame, points: DataFrame, radius_km: float, salts: int = 32,
-    broadcast_rows: int = BROADCAST_ROWS // 10,
+    broadcast_rows: int = EVENT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Radius lookup for many points (point_id, lat, lon) in one grid join."""
     grid = Grid(radius_km)
@@ -224,10 +238,7 @@ def nearby_batch(
     if at_most(points, broadcast_rows):
         copies = F.broadcast(copies)
     else:
-        keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64("incident_number"), F.lit(salts)))
-        copies = copies.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-        )
+        keyed, copies = _salted(keyed, copies, salts)
         keys.append("_salt")
     distance = haversine_km(
         F.col("latitude_centroid"), F.col("longitude_centroid"), F.col("lat"), F.col("lon")

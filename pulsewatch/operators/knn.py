@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsewatch.functions import values as V
-from pulsewatch.session import broadcast_if_small, materialize
+from pulsewatch.session import materialize
 
 # Training vectors of one cell handled under one join key before the cell is split.
 CELL_SPLIT = 200_000
@@ -265,7 +265,7 @@ def knn_classify(
     accuracy = materialize(judged)
     best = accuracy.agg(F.min_by("k", F.struct((-F.col("accuracy")).alias("a"), "k"))).scalar()
     chosen = votes.where(F.col("k") == best)
-    predicted = rows.join(broadcast_if_small(chosen), xs).select(
+    predicted = rows.join(chosen, xs).select(
         key, F.col(label).alias("label"), "prediction", "k"
     )
     return predicted, accuracy.orderBy("k")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsewatch.functions import values as V
 from pulsewatch.functions.tails import t_p_value, u_p_value
+from pulsewatch.session import materialize
 
 
 def running_totals(
@@ -45,16 +46,47 @@ def running_totals(
     return joined.withColumns(below).drop("_part", *[f"_o_{c}" for c in columns])
 
 
-def exact_quantiles(
+def distribution(
     df: DataFrame, keys: list[str], value: str, probs: dict[str, float]
 ) -> DataFrame:
-    """Linear-interpolated quantiles per key, exact at any size.
+    """n, mean, std, min, max and exact linear-interpolated quantiles per key.
 
-    Equal values collapse to one counted row first. The built-in percentile keeps
-    every distinct value of a group in one buffer; this does not.
+    One pass over the rows collapses them to counted values, which are written
+    once; everything else reads those. The built-in percentile would keep every
+    distinct value of a group in one buffer, this never does.
     """
-    present = df.na.drop(subset=[*keys, value])
-    counts = present.groupBy(*keys, value).agg(F.count("*").alias("n"))
+    rows = df.na.drop(subset=keys) if keys else df
+    counts = materialize(rows.groupBy(*keys, value).agg(F.count("*").alias("n")))
+    weight = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
+    means = counts.groupBy(*keys).agg(
+        F.sum(weight).alias("n_values"),
+        (F.sum(F.col(value) * F.col("n")) / F.nullif(F.sum(weight), F.lit(0))).alias("mean"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    )
+    around = _attach(counts, means.select(*keys, "mean"), keys)
+    spread = around.groupBy(*keys).agg(
+        F.sum(F.col("n") * (F.col(value) - F.col("mean")) * (F.col(value) - F.col("mean")))
+        .alias("squares")
+    )
+    std = F.when(
+        F.col("n_values") > 1, F.sqrt(F.col("squares") / (F.col("n_values") - 1))
+    ).alias("std")
+    moments = _attach(means, spread, keys).select(*keys, "n_values", "mean", std, "min", "max")
+    present = counts.where(F.col(value).isNotNull())
+    return _attach(moments, _quantiles(present, keys, value, probs), keys)
+
+
+def _attach(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on the keys; without keys ``per_key`` is one row of subqueries."""
+    if keys:
+        return df.join(per_key, keys, "left")
+    return df.withColumns({c: per_key.select(c).scalar() for c in per_key.columns})
+
+
+def _quantiles(
+    counts: DataFrame, keys: list[str], value: str, probs: dict[str, float]
+) -> DataFrame:
     ranked = running_totals(counts, keys, value, ["n"])
 
     def at(position: Column) -> Column:
@@ -99,7 +131,7 @@ def t_test(df: DataFrame, group: str, value: str, min_rows: int = 1) -> DataFram
 
 def mann_whitney(df: DataFrame, group: str, value: str) -> DataFrame:
     """Two-sided Mann-Whitney U of the group against the rest, with tie correction."""
-    counts = (
+    counts = materialize(
         df.na.drop(subset=[group, value])
         .groupBy(value)
         .agg(
@@ -157,14 +189,6 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         ]
     )
     long = df.select(F.inline(cells))
-    basic = long.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(
-        long, ["column_name"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    )
-    return basic.join(quartiles, "column_name", "left")
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    table = distribution(long, ["column_name"], "value", quartiles)
+    return table.withColumnRenamed("n_values", "count")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pulsewatch import schemas
 from pulsewatch.operators.clean import keep_first
 from pulsewatch.operators.joins import nullify_missing_fk
-from pulsewatch.session import broadcast_if_small
 
 
 def upsert(
@@ -21,8 +20,8 @@ def upsert(
     """Insert unknown keys, update known ones (all columns or ``update_cols``).
 
     ``order_by`` puts the winning one of several incoming rows per key first. When
-    the increment is small the base table is only scanned, never shuffled: the
-    increment is broadcast both for the update and to find the keys it hits.
+    the increment is small enough for Spark to broadcast it, the base table is only
+    scanned, never shuffled, both for the update and to find the keys it hits.
     """
     incoming = keep_first(new, key, order_by or [key])
     changed = update_cols or [c for c in base.columns if c != key]
@@ -30,7 +29,7 @@ def upsert(
     patch = incoming.select(
         key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in changed]
     )
-    patched = base.join(broadcast_if_small(patch), key, "left")
+    patched = base.join(patch, key, "left")
     updated = patched.select(
         *[
             F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
@@ -47,7 +46,7 @@ def upsert(
 def _absent(incoming: DataFrame, base: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key the base lacks, without shuffling a large base."""
     wanted = incoming.select(key)
-    hits = base.select(key).join(broadcast_if_small(wanted), key, "left_semi").distinct()
+    hits = base.select(key).join(wanted, key, "left_semi").distinct()
     return incoming.join(hits, key, "left_anti")
 
 

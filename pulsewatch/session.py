@@ -1,15 +1,10 @@
-"""Session settings, checkpointing and size-checked broadcasts."""
+"""Session settings, checkpointing and row-count gates."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Row bound under which a dimension table is shipped to every executor.
-# The widest dimension here has about 20 columns, so this stays below ~100 MB.
-BROADCAST_ROWS = 400_000
 
 
 def get_spark(app_name: str = "pulsewatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,6 +17,8 @@ def get_spark(app_name: str = "pulsewatch", master: str | None = None, **conf: s
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # dimensions up to this measured size are broadcast, larger ones shuffle
+        "spark.sql.autoBroadcastJoinThreshold": "64MB",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
@@ -57,12 +54,3 @@ def materialize(df: DataFrame) -> DataFrame:
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has no more than ``rows`` rows; reads at most ``rows + 1``."""
     return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after the row count was checked.
-
-    Beyond the bound the plain frame is returned and the join shuffles, where
-    adaptive execution splits skewed partitions.
-    """
-    return F.broadcast(df) if at_most(df, rows) else df
