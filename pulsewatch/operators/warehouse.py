@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsewatch import schemas
 from pulsewatch.operators.clean import keep_first
 from pulsewatch.operators.joins import nullify_missing_fk
+from pulsewatch.session import materialize
 
 
 def upsert(
@@ -116,8 +118,14 @@ def _whole(name: str) -> Column:
     return F.col(name).cast("string").try_cast("double").try_cast("int").alias(name)
 
 
-def load_fact_calls(calls: DataFrame, geo: DataFrame) -> DataFrame:
-    """The twelve warehouse columns with lenient casts, length limits and checked geo_id."""
+def load_fact_calls(
+    calls: DataFrame, geo: DataFrame, measures: tuple[str, ...] = ()
+) -> DataFrame:
+    """The twelve warehouse columns with lenient casts, length limits and checked geo_id.
+
+    ``measures`` are further numeric columns to carry along, where they exist.
+    """
+    more = [c for c in measures if c in calls.columns]
     source = schemas.with_missing(calls, schemas.FACT_CALLS)
     rows = source.select(
         _text("incident_number", 50),
@@ -132,9 +140,10 @@ def load_fact_calls(calls: DataFrame, geo: DataFrame) -> DataFrame:
         _text("geo_id", 20),
         _cast("latitude_centroid", "double"),
         _cast("longitude_centroid", "double"),
+        *[_cast(c, "double") for c in more],
     )
     checked = nullify_missing_fk(rows, geo.select("geo_id"), "geo_id")
-    return checked.select(*[f.name for f in schemas.FACT_CALLS])
+    return checked.select(*[f.name for f in schemas.FACT_CALLS], *more)
 
 
 def load_dim_event(
@@ -177,3 +186,50 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for frame in frames[1:]:
         counts = counts.unionByName(frame)
     return counts
+
+
+def upsert_partitions(
+    path: str,
+    new: DataFrame,
+    key: str,
+    partition_by: list[str],
+    update_cols: list[str] | None = None,
+    order_by: list[Column | str] | None = None,
+) -> None:
+    """Upsert into a partitioned Parquet table, rewriting only partitions it touches.
+
+    Touched are the partitions of the incoming rows and those of stored rows with the
+    same key; both lists have one entry per partition. Partition columns of a stored
+    row never change, so no key can end up in two partitions.
+    """
+    spark = new.sparkSession
+    incoming = keep_first(new, key, order_by or [key])
+    try:
+        base = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        incoming.write.partitionBy(*partition_by).parquet(path)
+        return
+    incoming = materialize(incoming)
+    stored = base.select(key, *partition_by).join(incoming.select(key), key, "left_semi")
+    touched = (
+        incoming.select(*partition_by).union(stored.select(*partition_by)).distinct().collect()
+    )
+    if not touched:
+        return
+    inside = None
+    for row in touched:
+        match = F.lit(True)
+        for c in partition_by:
+            match = match & F.col(c).eqNullSafe(F.lit(row[c]))
+        inside = match if inside is None else inside | match
+    fixed = {key, *partition_by}
+    changed = update_cols or [c for c in base.columns if c not in fixed]
+    merged = upsert(base.where(inside), incoming, key, changed)
+    (
+        merged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
