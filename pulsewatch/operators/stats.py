@@ -129,8 +129,11 @@ def t_test(df: DataFrame, group: str, value: str, min_rows: int = 1) -> DataFram
     return tested.withColumn("p_value", p).withColumn("stars", V.significance(F.col("p_value")))
 
 
-def mann_whitney(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Two-sided Mann-Whitney U of the group against the rest, with tie correction."""
+def mann_whitney(df: DataFrame, group: str, value: str, min_rows: int = 1) -> DataFrame:
+    """Two-sided Mann-Whitney U of the group against the rest, with tie correction.
+
+    Needs more than ``min_rows`` rows per group, like the t-test.
+    """
     counts = materialize(
         df.na.drop(subset=[group, value])
         .groupBy(value)
@@ -141,8 +144,10 @@ def mann_whitney(df: DataFrame, group: str, value: str) -> DataFrame:
     )
     ranked = running_totals(counts, [], value, ["n_no"])
     tied = (F.col("n_yes") + F.col("n_no")).cast("double")
+    enough = (F.sum("n_yes") > min_rows) & (F.sum("n_no") > min_rows)
+    wins = F.sum(F.col("n_yes") * (F.col("n_no_below") + F.col("n_no") / 2))
     result = ranked.agg(
-        F.sum(F.col("n_yes") * (F.col("n_no_below") + F.col("n_no") / 2)).alias("u_statistic"),
+        F.when(enough, wins).alias("u_statistic"),
         F.sum("n_yes").alias("n_yes"),
         F.sum("n_no").alias("n_no"),
         F.sum(tied * tied * tied - tied).alias("tie_sum"),

@@ -1020,7 +1020,8 @@ _oracle(
 
 
 def _ranksum(source: str, flag: str, value: str) -> str:
-    return f"""SELECT sum(rank) FILTER (g) - count(*) FILTER (g) * (count(*) FILTER (g) + 1) / 2e0
+    return f"""SELECT CASE WHEN count(*) FILTER (g) > 1 AND count(*) FILTER (NOT g) > 1
+         THEN sum(rank) FILTER (g) - count(*) FILTER (g) * (count(*) FILTER (g) + 1) / 2e0 END
          AS u_statistic, count(*) FILTER (g) AS n_yes, count(*) FILTER (NOT g) AS n_no,
        (SELECT sum(CAST(n AS DOUBLE) ** 3 - n)
         FROM (SELECT count(*) AS n FROM {source} GROUP BY {value})) AS tie_sum
