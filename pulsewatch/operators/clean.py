@@ -41,13 +41,13 @@ def clean_calls(
         when = F.col("response_datetime")
         dated = {
             "response_date": F.to_date(when),
-            "response_month": F.date_format(when, "yyyy-MM"),
+            "response_month": F.substring(F.to_date(when).cast("string"), 1, 7),
             "response_year": F.year(when),
         }
         if "response_hour" not in present:
             dated["response_hour"] = F.hour(when)
         if "response_day_of_week" not in present:
-            dated["response_day_of_week"] = F.date_format(when, "EEE")
+            dated["response_day_of_week"] = F.dayname(when)
         df = df.withColumns(dated)
 
     df = df.na.fill("Unknown", [c for c in schemas.UNKNOWN_FILLED if c in df.columns])

@@ -7,7 +7,7 @@ and merges, where adaptive execution splits partitions of crowded keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsewatch import schemas
@@ -72,15 +72,20 @@ def valid_events(events: DataFrame) -> DataFrame:
     return keep_first(complete, "event_id", ["start_date", "end_date", "event_name"])
 
 
+def call_span(calls: DataFrame) -> Column:
+    """First and last call time as a one-row subquery."""
+    when = F.col("response_datetime")
+    return calls.agg(F.struct(F.min(when).alias("first"), F.max(when).alias("last"))).scalar()
+
+
 def events_in_range(
     events: DataFrame, calls: DataFrame, end_inclusive_day: bool = False
 ) -> DataFrame:
-    """Events whose period overlaps the calls; the span is a one-row subquery.
+    """Events whose period overlaps the calls.
 
     The end date counts as its midnight unless ``end_inclusive_day``.
     """
-    when = F.col("response_datetime")
-    span = calls.agg(F.struct(F.min(when).alias("first"), F.max(when).alias("last"))).scalar()
+    span = call_span(calls)
     end = F.col("end_date") + F.expr("INTERVAL 1 DAY" if end_inclusive_day else "INTERVAL 0 DAY")
     return events.where(
         (end.cast("timestamp_ntz") >= span["first"])
@@ -90,8 +95,8 @@ def events_in_range(
 
 def _event_cells(events: DataFrame, grid: Grid) -> DataFrame:
     """Every (day, band, cell) an event can meet a call in."""
-    days = events.where(F.col("start_date") <= F.col("end_date")).withColumn(
-        "_day", F.explode(F.sequence(F.col("start_date"), F.col("end_date")))
+    days = events.where(F.col("_from") <= F.col("_to")).withColumn(
+        "_day", F.explode(F.sequence("_from", "_to"))
     )
     banded = days.withColumn("_band", F.explode(grid.bands_around(F.col("event_lat"))))
     return banded.withColumn(
@@ -141,7 +146,15 @@ def pair_calls_with_events(
             "_cell": grid.cell(F.col("longitude_centroid"), band),
         }
     )
-    copies = _event_cells(events, grid)
+    # an event is copied only to days that have calls, however long it lasts
+    span = call_span(calls)
+    clipped = events.withColumns(
+        {
+            "_from": F.greatest("start_date", F.to_date(span["first"])),
+            "_to": F.least("end_date", F.to_date(span["last"])),
+        }
+    )
+    copies = _event_cells(clipped, grid).drop("_from", "_to")
     keys = ["_day", "_band", "_cell"]
     if few_events:
         copies = F.broadcast(copies)

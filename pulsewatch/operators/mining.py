@@ -17,27 +17,15 @@ def _tagged(prefix: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(prefix), value.cast("string")))
 
 
-def make_baskets(df: DataFrame, variant: str = "full", key: str = "incident_number") -> DataFrame:
-    """One item list per incident.
-
-    ``full`` uses weather, temperature, part of day, weekend, priority, first word
-    of the category and event context, as far as the columns exist, and keeps lists
-    of two or more. ``slots`` uses weekday, time slot and category and leaves out
-    rows where one of them is missing.
-    """
-    present = set(df.columns)
+def _item_columns(df: DataFrame, variant: str) -> list[Column]:
+    """The items an incident can have, one nullable text column each."""
     if variant == "slots":
-        slot = V.time_slot(F.col("response_hour"))
-        complete = df.na.drop(
-            subset=["response_hour", "response_day_of_week", "final_problem_category"]
-        ).where(slot.isNotNull())
-        items = F.array(
-            F.concat(F.lit("dow_"), "response_day_of_week"),
-            F.concat(F.lit("time_"), slot),
-            F.concat(F.lit("cat_"), F.substring("final_problem_category", 1, 20)),
-        )
-        return complete.select(key, F.sort_array(F.array_distinct(items)).alias("items"))
-
+        return [
+            _tagged("dow_", F.col("response_day_of_week")),
+            _tagged("time_", V.time_slot(F.col("response_hour"))),
+            _tagged("cat_", F.substring("final_problem_category", 1, 20)),
+        ]
+    present = set(df.columns)
     found: list[Column] = []
     if "weather_category" in present:
         found.append(_tagged("Weather_", F.col("weather_category")))
@@ -56,8 +44,49 @@ def make_baskets(df: DataFrame, variant: str = "full", key: str = "incident_numb
         found.append(F.when(F.col("is_festival_related"), "Festival_Related"))
     if "event_has_alcohol" in present:
         found.append(F.when(F.col("event_has_alcohol"), "Alcohol_Event"))
-    items = F.sort_array(F.array_distinct(F.array_compact(F.array(*found))))
-    return df.select(key, items.alias("items")).where(F.size("items") >= 2)
+    return found
+
+
+def _item_list(names: list[str]) -> Column:
+    return F.sort_array(F.array_distinct(F.array_compact(F.array(*names))))
+
+
+def _at_least(variant: str) -> int:
+    return 3 if variant == "slots" else 2
+
+
+def make_baskets(df: DataFrame, variant: str = "full", key: str = "incident_number") -> DataFrame:
+    """One item list per incident.
+
+    ``full`` uses weather, temperature, part of day, weekend, priority, first word
+    of the category and event context, as far as the columns exist, and keeps lists
+    of two or more. ``slots`` uses weekday, time slot and category and leaves out
+    rows where one of them is missing.
+    """
+    found = _item_columns(df, variant)
+    names = [f"_i{i}" for i in range(len(found))]
+    tagged = df.select(key, *[c.alias(n) for c, n in zip(found, names)])
+    return tagged.select(key, _item_list(names).alias("items")).where(
+        F.size("items") >= _at_least(variant)
+    )
+
+
+def count_baskets(df: DataFrame, variant: str = "full") -> DataFrame:
+    """Distinct baskets with their number of incidents.
+
+    The rows are counted by their item columns before any list is built, so lists
+    exist only once per distinct combination.
+    """
+    found = _item_columns(df, variant)
+    names = [f"_i{i}" for i in range(len(found))]
+    combos = df.select(*[c.alias(n) for c, n in zip(found, names)])
+    counted = combos.groupBy(*names).agg(F.count("*").alias("n"))
+    lists = counted.select(_item_list(names).alias("items"), "n")
+    return (
+        lists.where(F.size("items") >= _at_least(variant))
+        .groupBy("items")
+        .agg(F.sum("n").alias("n"))
+    )
 
 
 def _subsets(items: str, last_mask: str, as_name: str) -> Column:
@@ -76,14 +105,15 @@ def frequent_itemsets(
 ) -> DataFrame:
     """Itemsets (sorted lists) with count and support.
 
-    Equal baskets collapse to one counted row before anything else, then items
+    Takes baskets (``items``) or counted ones (``items``, ``n``). Equal baskets collapse to one counted row before anything else, then items
     below the threshold leave the baskets, and the remaining subsets are counted.
     The work follows the number of distinct baskets, not of incidents. Baskets too
     long for that go to FP-growth. If nothing reaches ``min_support`` the lower
     ``retry_support`` applies; the most frequent set is always a single item, so
     the choice needs only the item counts.
     """
-    counted = materialize(baskets.groupBy("items").agg(F.count("*").alias("n")))
+    size = F.sum("n") if "n" in baskets.columns else F.count("*")
+    counted = materialize(baskets.groupBy("items").agg(size.alias("n")))
     if method == "auto":
         longest = counted.agg(F.max(F.size("items"))).first()[0] or 0
         method = "subsets" if longest <= SUBSET_LIMIT else "fpgrowth"
@@ -101,7 +131,11 @@ def frequent_itemsets(
 
     if method == "fpgrowth":
         floor = min_support if retry_support is None else min(min_support, retry_support)
-        model = FPGrowth(itemsCol="items", minSupport=floor).fit(baskets.select("items"))
+        rows = baskets.select("items")
+        if "n" in baskets.columns:
+            copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))
+            rows = baskets.select("items", copies.alias("copy")).select("items")
+        model = FPGrowth(itemsCol="items", minSupport=floor).fit(rows)
         found = model.freqItemsets.select(
             F.sort_array("items").alias("items"), F.col("freq").alias("n")
         )

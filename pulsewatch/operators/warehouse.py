@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsewatch import schemas
 from pulsewatch.operators.clean import keep_first
@@ -21,11 +22,12 @@ def upsert(
 ) -> DataFrame:
     """Insert unknown keys, update known ones (all columns or ``update_cols``).
 
-    ``order_by`` puts the winning one of several incoming rows per key first. When
+    ``order_by`` puts the winning one of several incoming rows per key first; without
+    it the smallest row wins, so that a rerun gives the same table. When
     the increment is small enough for Spark to broadcast it, the base table is only
     scanned, never shuffled, both for the update and to find the keys it hits.
     """
-    incoming = keep_first(new, key, order_by or [key])
+    incoming = _one_per_key(new, key, order_by)
     changed = update_cols or [c for c in base.columns if c != key]
     changed = [c for c in changed if c in new.columns]
     patch = incoming.select(
@@ -45,6 +47,11 @@ def upsert(
     return updated.unionByName(fresh)
 
 
+def _one_per_key(new: DataFrame, key: str, order_by: list[Column | str] | None) -> DataFrame:
+    sortable = [f.name for f in new.schema if not isinstance(f.dataType, T.MapType)]
+    return keep_first(new, key, order_by or [c for c in sortable if c != key] or [key])
+
+
 def _absent(incoming: DataFrame, base: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key the base lacks, without shuffling a large base."""
     wanted = incoming.select(key)
@@ -56,7 +63,7 @@ def insert_new(
     base: DataFrame, new: DataFrame, key: str, order_by: list[Column | str] | None = None
 ) -> DataFrame:
     """Add only rows with an unknown key; known rows stay as they are."""
-    incoming = keep_first(new, key, order_by or [key])
+    incoming = _one_per_key(new, key, order_by)
     fresh = schemas.with_missing(_absent(incoming, base, key), base.schema)
     return base.unionByName(fresh.select(*base.columns))
 
@@ -203,7 +210,7 @@ def upsert_partitions(
     row never change, so no key can end up in two partitions.
     """
     spark = new.sparkSession
-    incoming = keep_first(new, key, order_by or [key])
+    incoming = _one_per_key(new, key, order_by)
     try:
         base = spark.read.parquet(path)
     except AnalysisException as error:

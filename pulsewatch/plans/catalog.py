@@ -576,12 +576,12 @@ def significance(t: Tables) -> DataFrame:
 
 
 def _rules_input(t: Tables) -> DataFrame:
-    return mining.make_baskets(t.calls_weather)
+    return mining.count_baskets(t.calls_weather)
 
 
 @query
 def baskets(t: Tables) -> DataFrame:
-    return _rules_input(t)
+    return mining.make_baskets(t.calls_weather)
 
 
 @query
@@ -602,7 +602,7 @@ def rules(t: Tables) -> DataFrame:
 
 @query
 def rules_dag(t: Tables) -> DataFrame:
-    found = materialize(mining.frequent_itemsets(mining.make_baskets(t.calls, "slots"), 0.01, None))
+    found = materialize(mining.frequent_itemsets(mining.count_baskets(t.calls, "slots"), 0.01, None))
     return mining.rules_as_text(mining.association_rules(found, "lift", 1.05))
 
 
@@ -625,7 +625,7 @@ def rules_filtered(t: Tables) -> DataFrame:
 
 @query
 def top_rules(t: Tables) -> DataFrame:
-    itemsets = materialize(mining.frequent_itemsets(mining.make_baskets(t.calls), 0.01))
+    itemsets = materialize(mining.frequent_itemsets(mining.count_baskets(t.calls), 0.01))
     top = mining.top_rules(mining.association_rules(itemsets), 15)
     return top.select("rule", "support", "confidence", "lift")
 
@@ -796,7 +796,7 @@ def residual_histogram(t: Tables) -> DataFrame:
 @query
 def model_summary(t: Tables) -> DataFrame:
     """Status and headline measure of each quick model run."""
-    itemsets = materialize(mining.frequent_itemsets(mining.make_baskets(t.calls), 0.01))
+    itemsets = materialize(mining.frequent_itemsets(mining.count_baskets(t.calls), 0.01))
     found = mining.association_rules(itemsets)
     ridge = forecast.fit_models(_long_features(t), which=("ridge",))[0]
     places = risk.location_features(t.enriched)

@@ -58,7 +58,7 @@ class Tables:
             ts.alias("response_datetime"),
             F.to_date(ts).alias("response_date"),
             F.hour(ts).alias("response_hour"),
-            F.date_format(ts, "EEE").alias("response_day_of_week"),
+            F.dayname(ts).alias("response_day_of_week"),
             level.alias("priority_level"),
             F.when(u % 5 < 4, u % 5).otherwise(9).cast("int").alias("priority_numeric"),
             (F.col("value") * 60).alias("response_time"),

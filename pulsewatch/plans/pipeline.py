@@ -30,7 +30,7 @@ def partitioned(calls: DataFrame) -> DataFrame:
     """Add the year and month the fact of calls is partitioned by."""
     when = F.col("response_datetime")
     return calls.withColumns(
-        {"response_year": F.year(when), "response_month": F.date_format(when, "yyyy-MM")}
+        {"response_year": F.year(when), "response_month": F.substring(F.to_date(when).cast("string"), 1, 7)}
     )
 
 
