@@ -239,12 +239,13 @@ def one_row(spark: SparkSession, measures: dict[str, DataFrame]) -> DataFrame:
 
 
 def overview_kpis(calls: DataFrame, fact: DataFrame, risk: DataFrame) -> DataFrame:
-    """Dashboard totals from one aggregate per table."""
-    linked = fact.agg(
-        F.count("*").alias("pairs"),
-        F.countDistinct("incident_number").alias("incidents"),
-        F.countDistinct("event_id").alias("events"),
-    )
+    """Dashboard totals. Distinct counts read their column alone, since two of them in
+    one aggregate would multiply every row."""
+
+    def distinct(column: str) -> DataFrame:
+        values = fact.select(column).where(F.col(column).isNotNull()).distinct()
+        return values.agg(F.count("*"))
+
     scored = risk.agg(
         F.count("*").alias("festivals"),
         F.count_if(F.col("risk_category") == "HIGH").alias("high"),
@@ -253,9 +254,9 @@ def overview_kpis(calls: DataFrame, fact: DataFrame, risk: DataFrame) -> DataFra
         calls.sparkSession,
         {
             "total_calls": calls.agg(F.count("*")),
-            "festival_incidents": linked.select("pairs"),
-            "unique_incidents": linked.select("incidents"),
-            "unique_events": linked.select("events"),
+            "festival_incidents": fact.agg(F.count("*")),
+            "unique_incidents": distinct("incident_number"),
+            "unique_events": distinct("event_id"),
             "analyzed_festivals": scored.select("festivals"),
             "high_risk_festivals": scored.select("high"),
         },

@@ -160,9 +160,3 @@ def weather_daily(hourly: DataFrame) -> DataFrame:
         F.max("wind_speed_kmh").alias("wind_max_kmh"),
         F.bool_or("is_raining").alias("had_rain"),
     )
-
-
-def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Repeatable sample of ``n`` rows: the smallest hashes of the key and seed."""
-    order = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))))
-    return df.orderBy(order, key).limit(n)

@@ -1,41 +1,11 @@
-"""Repeatable splits and classification reports."""
+"""Classification reports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stratified_split(
-    df: DataFrame, label: str, key: str, share: float = 0.8, seed: int = 42
-) -> DataFrame:
-    """Mark the first ``share`` of each class, in order of a hash of the key.
-
-    The rank inside a class is found in two steps: the class is cut into 256 hash
-    ranges, the range sizes give offsets, and only rows of one range are ordered
-    together. A class that holds most rows is still spread over all ranges.
-    """
-    digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))))
-    hashed = df.withColumn("_h", digest).withColumn("_part", F.substring("_h", 1, 2))
-    sizes = hashed.groupBy(label, "_part").agg(F.count("*").alias("_n"))
-    whole = Window.partitionBy(label)
-    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        label,
-        "_part",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(whole).alias("_total"),
-    )
-    inside = Window.partitionBy(label, "_part").orderBy("_h", key)
-    ranked = hashed.join(offsets, [label, "_part"]).withColumn(
-        "_place", F.col("_before") + F.row_number().over(inside)
-    )
-    marked = ranked.withColumn(
-        "is_train", F.col("_place") <= F.floor(F.col("_total") * F.lit(share))
-    )
-    return marked.drop("_h", "_part", "_before", "_total", "_place")
-
-
 def classification_report(
     predictions: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:

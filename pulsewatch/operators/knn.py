@@ -20,6 +20,7 @@ from pulsewatch.session import materialize
 
 # Training vectors of one cell handled under one join key before the cell is split.
 CELL_SPLIT = 200_000
+MAX_PIVOTS = 4096
 _SLACK = 1e-9
 
 
@@ -105,14 +106,16 @@ def neighbours(
     label: str,
     key: str,
     k: int,
-    pivots: int = 128,
+    pivots: int | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """The ``k`` nearest training rows of every distinct test vector.
 
     Ties in distance go to the smaller key. Rows with equal features are one vector:
     a training vector keeps only its first ``k`` rows, which are all that can count,
-    and a test vector is searched once for all its rows. Returns the frame
-    (x0.., rank, label) and the names of the vector columns.
+    and a test vector is searched once for all its rows. By default there are as many
+    pivots as the square root of the number of training vectors (at most 4096), so a
+    cell grows far slower than the data. Returns the frame (x0.., rank, label) and the
+    names of the vector columns.
     """
     xs = [f"x{i}" for i in range(len(columns))]
     moments = _moments(train, columns)
@@ -127,6 +130,8 @@ def neighbours(
     )
     points = materialize(points.withColumn("_v", F.array(*xs)))
 
+    if pivots is None:
+        pivots = int(min(MAX_PIVOTS, max(16, points.count() ** 0.5)))
     spread = F.md5(F.concat_ws(",", *xs))
     chosen = points.orderBy(spread, *xs).limit(pivots).select("_v").collect()
     if not chosen:
@@ -232,7 +237,7 @@ def knn_classify(
     label: str = "incident_category",
     key: str = "incident_number",
     ks: tuple[int, ...] = (3, 5, 7, 9, 11, 13),
-    pivots: int = 128,
+    pivots: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Majority vote for every k from one search; the k with the best accuracy wins.
 

@@ -97,6 +97,19 @@ def _subsets(items: str, last_mask: str, as_name: str) -> Column:
     ).alias(as_name)
 
 
+def _repeat(counted: DataFrame, chunk: int = 100_000) -> DataFrame:
+    """Each basket as often as its count, in chunks spread over all tasks."""
+    one = F.lit(1).cast("long")
+    chunks = counted.select(
+        "items", "n", F.explode(F.sequence(one, F.ceil(F.col("n") / chunk))).alias("c")
+    )
+    left = F.least(F.lit(chunk).cast("long"), F.col("n") - (F.col("c") - 1) * chunk)
+    spread = chunks.select("items", left.alias("left")).repartition(
+        counted.sparkSession.sparkContext.defaultParallelism
+    )
+    return spread.select("items", F.explode(F.sequence(one, F.col("left")))).select("items")
+
+
 def frequent_itemsets(
     baskets: DataFrame,
     min_support: float = 0.01,
@@ -133,8 +146,7 @@ def frequent_itemsets(
         floor = min_support if retry_support is None else min(min_support, retry_support)
         rows = baskets.select("items")
         if "n" in baskets.columns:
-            copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))
-            rows = baskets.select("items", copies.alias("copy")).select("items")
+            rows = _repeat(baskets)
         model = FPGrowth(itemsCol="items", minSupport=floor).fit(rows)
         found = model.freqItemsets.select(
             F.sort_array("items").alias("items"), F.col("freq").alias("n")

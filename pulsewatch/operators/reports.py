@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsewatch.operators.analysis import one_row
@@ -144,6 +146,22 @@ def run_log_row(calls: DataFrame, dag_id: str, status: str, run_date: str) -> Da
     )
 
 
+def run_models(
+    spark: SparkSession, runs: dict[str, Callable[[], dict[str, float]]]
+) -> DataFrame:
+    """Run each model, and record its status and measures; one failure stops no other."""
+    rows = []
+    for name, run in runs.items():
+        try:
+            measures = run()
+            rows += [(name, "SUCCESS", m, float(v), None) for m, v in measures.items()]
+        except Exception as error:
+            rows.append((name, "FAILED", None, None, str(error)[:500]))
+    return spark.createDataFrame(
+        rows, "model string, status string, measure string, value double, error string"
+    )
+
+
 def early_warning(df: DataFrame) -> DataFrame:
     """Weighted sum of five normalised factors."""
     score = (

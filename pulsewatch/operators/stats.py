@@ -22,7 +22,7 @@ def running_totals(
     steps = [i / parts for i in range(1, parts)]
     cuts = counts.agg(F.percentile_approx(order, steps, F.lit(1000)).alias("cuts")).scalar()
     split = counts.withColumn("_cuts", cuts).withColumn(
-        "_part", F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
+        "_part", F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col(order))), F.lit(0))
     ).drop("_cuts")
     totals = split.groupBy(*keys, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
     whole = Window.partitionBy(*keys)
@@ -53,41 +53,15 @@ def distribution(
 
     One pass over the rows collapses them to counted values, which are written
     once; everything else reads those. The built-in percentile would keep every
-    distinct value of a group in one buffer, this never does.
+    distinct value of a group in one buffer, this never does. Keys whose values are
+    all NULL stay, with n = 0.
     """
     rows = df.na.drop(subset=keys) if keys else df
-    counts = materialize(rows.groupBy(*keys, value).agg(F.count("*").alias("n")))
-    weight = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
-    means = counts.groupBy(*keys).agg(
-        F.sum(weight).alias("n_values"),
-        (F.sum(F.col(value) * F.col("n")) / F.nullif(F.sum(weight), F.lit(0))).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    around = _attach(counts, means.select(*keys, "mean"), keys)
-    spread = around.groupBy(*keys).agg(
-        F.sum(F.col("n") * (F.col(value) - F.col("mean")) * (F.col(value) - F.col("mean")))
-        .alias("squares")
-    )
-    std = F.when(
-        F.col("n_values") > 1, F.sqrt(F.col("squares") / (F.col("n_values") - 1))
-    ).alias("std")
-    moments = _attach(means, spread, keys).select(*keys, "n_values", "mean", std, "min", "max")
-    present = counts.where(F.col(value).isNotNull())
-    return _attach(moments, _quantiles(present, keys, value, probs), keys)
-
-
-def _attach(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on the keys; without keys ``per_key`` is one row of subqueries."""
-    if keys:
-        return df.join(per_key, keys, "left")
-    return df.withColumns({c: per_key.select(c).scalar() for c in per_key.columns})
-
-
-def _quantiles(
-    counts: DataFrame, keys: list[str], value: str, probs: dict[str, float]
-) -> DataFrame:
-    ranked = running_totals(counts, keys, value, ["n"])
+    filled = F.count(value).alias("n")
+    counts = materialize(rows.groupBy(*keys, value).agg(filled))
+    weighted = counts.withColumn("total", F.coalesce(F.col(value) * F.col("n"), F.lit(0.0)))
+    ranked = running_totals(weighted, keys, value, ["n", "total"])
+    ranked = ranked.withColumn("mean", F.col("total_all") / F.nullif("n_all", F.lit(0)))
 
     def at(position: Column) -> Column:
         hit = (F.col("n_below") <= position) & (position < F.col("n_below") + F.col("n"))
@@ -103,7 +77,18 @@ def _quantiles(
         ]
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         results.append((low + (high - low) * F.col(f"_fr_{name}")).alias(name))
-    return ranked.groupBy(*keys).agg(*picks).select(*keys, *results)
+    gap = F.col(value) - F.col("mean")
+    table = ranked.groupBy(*keys).agg(
+        F.max("n_all").alias("n_values"),
+        F.max("mean").alias("mean"),
+        F.sum(F.col("n") * gap * gap).alias("_squares"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        *picks,
+    )
+    n = F.col("n_values")
+    std = F.when(n > 1, F.sqrt(F.col("_squares") / (n - 1))).alias("std")
+    return table.select(*keys, "n_values", "mean", std, "min", "max", *results)
 
 
 def t_test(df: DataFrame, group: str, value: str, min_rows: int = 1) -> DataFrame:

@@ -235,7 +235,8 @@ def upsert_partitions(
     changed = update_cols or [c for c in base.columns if c not in fixed]
     merged = upsert(base.where(inside), incoming, key, changed)
     (
-        merged.write.mode("overwrite")
+        merged.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

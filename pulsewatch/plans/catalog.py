@@ -25,6 +25,7 @@ from pulsewatch.operators import (
     quality,
     reports,
     risk,
+    sampling,
     series,
     stats,
     warehouse,
@@ -198,7 +199,7 @@ def cyclic_features(t: Tables) -> DataFrame:
 @query
 def sample_n(t: Tables) -> DataFrame:
     sampled = t.calls.select("incident_number", "response_time")
-    return clean.sample_rows(sampled, 500, "incident_number")
+    return sampling.sample_rows(sampled, 500, "incident_number")
 
 
 @query
@@ -680,7 +681,7 @@ def knn_features(t: Tables) -> DataFrame:
 
 def _knn_split(t: Tables) -> tuple[DataFrame, DataFrame, list[str]]:
     rows, columns = knn.knn_features(t.enriched)
-    split = materialize(evaluation.stratified_split(rows, "incident_category", "incident_number"))
+    split = materialize(sampling.stratified_split(rows, "incident_category", "incident_number"))
     return split.where("is_train"), split.where("NOT is_train"), columns
 
 
@@ -699,7 +700,7 @@ def knn_accuracy(t: Tables) -> DataFrame:
 @query
 def stratified_split(t: Tables) -> DataFrame:
     rows = t.calls.select("incident_number", "final_problem_category")
-    return evaluation.stratified_split(rows, "final_problem_category", "incident_number")
+    return sampling.stratified_split(rows, "final_problem_category", "incident_number")
 
 
 @query
@@ -717,7 +718,7 @@ def priority_features(t: Tables) -> DataFrame:
 
 def _priority_split(t: Tables) -> tuple[DataFrame, DataFrame, list[str]]:
     rows, columns = priority.priority_features(t.calls_weather)
-    split = materialize(evaluation.stratified_split(rows, "priority_class", "incident_number"))
+    split = materialize(sampling.stratified_split(rows, "priority_class", "incident_number"))
     return split.where("is_train"), split.where("NOT is_train"), columns
 
 
@@ -795,23 +796,43 @@ def residual_histogram(t: Tables) -> DataFrame:
 
 @query
 def model_summary(t: Tables) -> DataFrame:
-    """Status and headline measure of each quick model run."""
-    itemsets = materialize(mining.frequent_itemsets(mining.count_baskets(t.calls), 0.01))
-    found = mining.association_rules(itemsets)
-    ridge = forecast.fit_models(_long_features(t), which=("ridge",))[0]
-    places = risk.location_features(t.enriched)
-    rows = {
-        "association_rules": found.agg(F.count("*").cast("double")),
-        "kmeans": places.agg(F.count("*").cast("double")),
-        "timeseries": t.long_daily.agg(F.max(F.lit(ridge.metrics["r2"]))),
-    }
-    frames = [
-        df.toDF("value").select(
-            F.lit(name).alias("model"), F.lit("SUCCESS").alias("status"), "value"
-        )
-        for name, df in rows.items()
-    ]
-    return readers.union_chunks(frames)
+    """Status and measures of each model run."""
+
+    def rules_run() -> dict[str, float]:
+        itemsets = materialize(mining.frequent_itemsets(mining.count_baskets(t.calls), 0.01))
+        return {"rules_count": mining.association_rules(itemsets).count()}
+
+    def zones_run() -> dict[str, float]:
+        places = zones.cluster_levels(risk.location_features(t.enriched, False), restarts=1)
+        row = places.agg(F.countDistinct("cluster"), F.count("*")).first()
+        return {"clusters": row[0], "locations": row[1]}
+
+    def knn_run() -> dict[str, float]:
+        train, test, columns = _knn_split(t)
+        accuracy = knn.knn_classify(train, test, columns, ks=(3,))[1]
+        return {"accuracy": accuracy.agg(F.max("accuracy")).first()[0]}
+
+    def forecast_run() -> dict[str, float]:
+        fitted = forecast.fit_models(_long_features(t), which=("ridge",))[0]
+        return {m: fitted.metrics[m] for m in ("r2", "mae")}
+
+    def forest_run() -> dict[str, float]:
+        train, test, columns = _priority_split(t)
+        model = priority.train_priority(train, columns, trees=5, depth=5)
+        scored = priority.predict(model, test, "incident_number", "priority_class")
+        hit = F.avg((F.col("label") == F.col("prediction")).cast("int"))
+        return {"accuracy": scored.agg(hit).first()[0]}
+
+    return reports.run_models(
+        t.spark,
+        {
+            "association_rules": rules_run,
+            "kmeans": zones_run,
+            "knn": knn_run,
+            "timeseries": forecast_run,
+            "random_forest": forest_run,
+        },
+    )
 
 
 # ---- planned events and matches ------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +34,11 @@ def write_by_suffix(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_calls(df: DataFrame, path: str) -> None:
     """Cleaned or enriched calls, partitioned by year and month.
 
-    Rows of one month go to few writers, but the month is salted by the hash of
-    the incident so that a heavy month is not one task's work.
+    The rebalance hint gathers a month into few files and lets adaptive execution
+    split a heavy month into tasks of the advisory size.
     """
-    spread = F.pmod(F.xxhash64("incident_number"), F.lit(16))
     (
-        df.repartition("response_year", "response_month", spread)
+        df.hint("rebalance", "response_year", "response_month")
         .write.mode("overwrite")
         .partitionBy("response_year", "response_month")
         .parquet(path)
@@ -61,6 +61,15 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    """Fitted pipeline (scaler and model together) in Spark's own format."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def append_run_log(
     spark: SparkSession, path: str, dag_id: str, status: str, records: int, run_date
 ) -> None:

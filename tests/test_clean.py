@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pulsewatch import schemas
 from pulsewatch.functions import values as V
-from pulsewatch.operators import clean
+from pulsewatch.operators import clean, sampling
 
 
 def column(spark, values, kind="string"):
@@ -161,7 +161,7 @@ def test_venues(spark):
 
 def test_sample_is_repeatable_and_whole_when_small(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
-    one = {r["k"] for r in clean.sample_rows(df, 10, "k").collect()}
-    two = {r["k"] for r in clean.sample_rows(df.repartition(7), 10, "k").collect()}
+    one = {r["k"] for r in sampling.sample_rows(df, 10, "k").collect()}
+    two = {r["k"] for r in sampling.sample_rows(df.repartition(7), 10, "k").collect()}
     assert one == two and len(one) == 10
-    assert clean.sample_rows(df, 500, "k").count() == 100
+    assert sampling.sample_rows(df, 500, "k").count() == 100

@@ -71,6 +71,30 @@ def test_long_baskets_go_to_fpgrowth(spark):
     assert [tuple(r["items"]) for r in found] == [("a",)]
 
 
+def test_counted_baskets_mine_like_plain_ones(spark, sample):
+    plain = baskets(spark, sample)
+    counted = plain.groupBy("items").count().withColumnRenamed("count", "n")
+    for method in ("subsets", "fpgrowth"):
+        found = mining.frequent_itemsets(counted, 0.05, method=method).collect()
+        assert {tuple(r["items"]): r["n"] for r in found} == brute_itemsets(sample, 0.05)
+    assert mining._repeat(counted, chunk=2).count() == len(sample)
+
+
+def test_counting_first_gives_the_same_baskets(spark):
+    rows = [(str(i), i % 24, ["Sat", "Mon", None][i % 3], ["a b", None][i % 2]) for i in range(200)]
+    df = spark.createDataFrame(
+        rows,
+        "incident_number string, response_hour int, response_day_of_week string, "
+        "final_problem_category string",
+    )
+    for variant in ("full", "slots"):
+        plain = mining.make_baskets(df, variant).groupBy("items").count().collect()
+        counted = mining.count_baskets(df, variant).collect()
+        assert {tuple(r["items"]): r["count"] for r in plain} == {
+            tuple(r["items"]): r["n"] for r in counted
+        }
+
+
 def test_retry_only_when_nothing_is_frequent(spark):
     lists = [[str(i)] for i in range(10)]
     df = baskets(spark, lists)

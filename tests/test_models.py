@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pulsewatch.operators import evaluation, knn, priority, zones
+from pulsewatch.operators import evaluation, knn, priority, sampling, zones
 
 
 def points(spark, n, seed, dims=3, levels=None):
@@ -86,11 +86,11 @@ def test_stratified_split_shares_and_repeats(spark):
     df = spark.range(1000).select(
         F.col("id").alias("k"), F.when(F.col("id") < 900, "big").otherwise("small").alias("c")
     )
-    one = evaluation.stratified_split(df, "c", "k")
+    one = sampling.stratified_split(df, "c", "k")
     counts = {r["c"]: r["n"] for r in one.groupBy("c")
               .agg(F.count_if("is_train").alias("n")).collect()}
     assert counts == {"big": 720, "small": 80}
-    two = evaluation.stratified_split(df.repartition(9), "c", "k")
+    two = sampling.stratified_split(df.repartition(9), "c", "k")
     assert {r["k"] for r in one.where("is_train").collect()} == {
         r["k"] for r in two.where("is_train").collect()
     }

@@ -207,6 +207,16 @@ def test_early_warning(spark):
     assert got == pytest.approx([1.0, 0.5])
 
 
+def test_one_failed_model_stops_no_other(spark):
+    def broken():
+        raise ValueError("no data")
+
+    got = {r["model"]: r for r in reports.run_models(
+        spark, {"a": broken, "b": lambda: {"r2": 0.5}}).collect()}
+    assert (got["a"]["status"], got["a"]["error"]) == ("FAILED", "no data")
+    assert (got["b"]["status"], got["b"]["value"]) == ("SUCCESS", 0.5)
+
+
 def test_pipeline_alerts(spark):
     rows = [(0, 0, 0, 0), (50, 11, 3, 0), (500, 10, 0, 2)]
     df = spark.createDataFrame(rows, "records_processed long, high_risk long, rules long, clusters long")

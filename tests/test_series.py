@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from pulsewatch.operators import forecast, series
+from pulsewatch.sources import sinks
 
 DAY = dt.date(2024, 1, 1)
 
@@ -110,6 +111,15 @@ def test_best_model_needs_strictly_better_fit(spark):
     assert forecast.best_model([a, c]).name == "gbt"
 
 
+def test_saved_model_predicts_the_same(spark, tmp_path):
+    features = series.daily_features(daily(spark, 120))
+    (fit,) = forecast.fit_models(features, which=("ridge",))
+    sinks.save_model(fit.model, str(tmp_path / "m"))
+    again = sinks.load_model(str(tmp_path / "m")).transform(features).orderBy("date")
+    want = fit.model.transform(features).orderBy("date")
+    assert [r["prediction"] for r in again.collect()] == [r["prediction"] for r in want.collect()]
+
+
 def test_model_outlook_is_whole_and_not_negative(spark):
     df = daily(spark, 120)
     features = series.daily_features(df)
