@@ -1,10 +1,10 @@
 """Exact k-nearest-neighbour classification as joins on pivot cells.
 
-Every training vector belongs to the cell of its nearest pivot. For a test vector
-the cell radii and counts give an upper bound on the distance to its k-th
-neighbour, and cells that lie wholly beyond the bound are never visited. The
-bound is valid for any data, so the result equals a full comparison; only the
-amount of work depends on how well the data clusters.
+Every training vector belongs to the cell of its nearest pivot. A test vector first
+looks into its nearest cells; the k-th distance found there is an upper bound, and
+cells that lie wholly beyond it are never visited. The bound is valid for any data,
+so the result equals a full comparison; only the amount of work depends on how well
+the data clusters.
 """
 
 from __future__ import annotations
@@ -171,53 +171,85 @@ def neighbours(
     split_map = F.create_map(*[F.lit(int(x)) for item in splits.items() for x in item])
 
     visit_type = T.StructType([
-        T.StructField("bound", T.DoubleType()),
+        T.StructField("home", T.IntegerType()),
         T.StructField("cells", T.ArrayType(T.IntegerType())),
         T.StructField("gaps", T.ArrayType(T.DoubleType())),
+        T.StructField("radii", T.ArrayType(T.DoubleType())),
     ])
 
     @F.pandas_udf(visit_type)
     def cells_to_visit(vectors: pd.Series) -> pd.DataFrame:
+        """Cells by distance; the first ``home`` ones hold at least k rows together."""
         d = _distances(vectors, used)
         upper = d + radii
-        bounds, visits, gaps = [], [], []
+        homes, visits, gaps, reaches = [], [], [], []
         for row, limit in zip(d, upper):
             order = np.argsort(limit, kind="stable")
             filled = np.searchsorted(np.cumsum(sizes[order]), k)
             bound = limit[order[filled]] if filled < len(order) else np.inf
-            bound = bound * (1 + _SLACK) + _SLACK
-            near = row - radii <= bound
-            bounds.append(bound)
-            visits.append(ids[near].astype("int32"))
-            gaps.append(row[near])
-        return pd.DataFrame({"bound": bounds, "cells": visits, "gaps": gaps})
+            near = np.argsort(row, kind="stable")
+            home = min(int(np.searchsorted(np.cumsum(sizes[near]), k)) + 1, len(near))
+            useful = row[near] - radii[near] <= bound * (1 + _SLACK) + _SLACK
+            useful[:home] = True
+            kept = near[useful]
+            homes.append(home)
+            visits.append(ids[kept].astype("int32"))
+            gaps.append(row[kept])
+            reaches.append(radii[kept])
+        return pd.DataFrame({"home": homes, "cells": visits, "gaps": gaps, "radii": reaches})
 
+    ts = [f"t{i}" for i in range(len(xs))]
     wanted = _scaled_columns(test.select(*columns), columns, moments).select(*xs).distinct()
-    trips = (
-        wanted.withColumn("_c", cells_to_visit(F.array(*xs)))
-        .select(
-            *[F.col(x).alias(f"t{i}") for i, x in enumerate(xs)],
-            F.col("_c.bound").alias("bound"),
-            F.explode(F.arrays_zip(F.col("_c.cells").alias("cell"), F.col("_c.gaps").alias("gap")))
-            .alias("_z"),
-        )
-        .select("*", F.col("_z.cell").alias("cell"), F.col("_z.gap").alias("gap"))
-        .drop("_z")
-        .withColumn(
-            "split", F.explode(F.sequence(F.lit(0), split_map[F.col("cell")] - F.lit(1)))
+    wanted = materialize(
+        wanted.withColumn("_c", cells_to_visit(F.array(*xs))).select(
+            *[F.col(x).alias(t) for x, t in zip(xs, ts)],
+            F.col("_c.home").alias("home"),
+            F.arrays_zip(
+                F.col("_c.cells").alias("cell"),
+                F.col("_c.gaps").alias("gap"),
+                F.col("_c.radii").alias("radius"),
+            ).alias("visits"),
         )
     )
-    part = F.pmod(F.xxhash64(*xs), split_map[F.col("cell")]).cast("int")
-    stored = placed.withColumn("split", part)
+    stored = placed.withColumn(
+        "split", F.pmod(F.xxhash64(*xs), split_map[F.col("cell")]).cast("int")
+    )
     squared: Column = F.lit(0.0)
-    for i in range(len(xs)):
-        gap = F.col(f"x{i}") - F.col(f"t{i}")
-        squared = squared + gap * gap
-    ts = [f"t{i}" for i in range(len(xs))]
-    # a vector farther from the pivot than the bound allows cannot be a neighbour
+    for x, t in zip(xs, ts):
+        squared = squared + (F.col(x) - F.col(t)) * (F.col(x) - F.col(t))
+
+    def meet(trips: DataFrame) -> DataFrame:
+        """Test vectors beside the training vectors of the cells they visit."""
+        every = F.sequence(F.lit(0), split_map[F.col("cell")] - F.lit(1))
+        return trips.withColumn("split", F.explode(every)).join(stored, ["cell", "split"])
+
+    # first the home cells alone: their k-th distance bounds the answer tightly
+    at_home = wanted.select(*ts, F.explode(F.slice("visits", F.lit(1), F.col("home"))).alias("v"))
+    near = meet(at_home.select(*ts, F.col("v.cell").alias("cell"))).select(
+        *ts, squared.alias("d2"), F.size("rows").alias("n")
+    )
+    so_far = F.sum("n").over(
+        Window.partitionBy(*ts).orderBy("d2").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    bounds = (
+        near.withColumn("_seen", so_far)
+        .groupBy(*ts)
+        .agg(F.min(F.when(F.col("_seen") >= k, F.col("d2"))).alias("_b2"))
+    )
+    limit = F.coalesce(F.col("_b2"), F.lit(float("inf"))) * (1 + _SLACK) + _SLACK
+    bounds = materialize(bounds.select(*ts, limit.alias("bound2")))
+
+    # then every cell the bound can reach; only vectors within the bound survive the join
+    bound = F.sqrt("bound2")
+    far = (
+        wanted.join(bounds, ts)
+        .select(*ts, "bound2", F.explode("visits").alias("v"))
+        .where(F.col("v.gap") - F.col("v.radius") <= bound)
+        .select(*ts, "bound2", F.col("v.cell").alias("cell"), F.col("v.gap").alias("gap"))
+    )
     met = (
-        trips.join(stored, ["cell", "split"])
-        .where(F.abs(F.col("gap") - F.col("reach")) <= F.col("bound"))
+        meet(far)
+        .where((F.abs(F.col("gap") - F.col("reach")) <= bound) & (squared <= F.col("bound2")))
         .select(*ts, squared.alias("d2"), F.col("rows"), F.element_at("rows", 1)["id"].alias("low"))
     )
     by_vector = Window.partitionBy(*ts).orderBy("d2", "low")
