@@ -116,13 +116,15 @@ def _text(name: str, limit: int) -> Column:
     return F.substring(F.col(name).cast("string"), 1, limit).alias(name)
 
 
-def _cast(name: str, kind: str) -> Column:
-    return F.col(name).cast("string").try_cast(kind).alias(name)
-
-
-def _whole(name: str) -> Column:
-    """Integer part of a numeric text, NULL where it is no number."""
-    return F.col(name).cast("string").try_cast("double").try_cast("int").alias(name)
+def _cast(df: DataFrame, name: str, kind: str) -> Column:
+    """Lenient cast; a column that already has the type is left alone."""
+    present = df.schema[name].dataType
+    if present.simpleString() == kind:
+        return F.col(name)
+    if isinstance(present, T.StringType) and kind == "int":
+        # '7.0' is 7
+        return F.col(name).try_cast("double").try_cast("int").alias(name)
+    return F.col(name).try_cast(kind).alias(name)
 
 
 def load_fact_calls(
@@ -136,18 +138,18 @@ def load_fact_calls(
     source = schemas.with_missing(calls, schemas.FACT_CALLS)
     rows = source.select(
         _text("incident_number", 50),
-        _cast("response_datetime", "timestamp_ntz"),
-        _cast("response_date", "date"),
-        _whole("response_hour"),
+        _cast(source, "response_datetime", "timestamp_ntz"),
+        _cast(source, "response_date", "date"),
+        _cast(source, "response_hour", "int"),
         _text("response_day_of_week", 10),
         _text("priority_level", 50),
-        _whole("priority_numeric"),
+        _cast(source, "priority_numeric", "int"),
         _text("initial_problem_category", 200),
         _text("final_problem_category", 200),
         _text("geo_id", 20),
-        _cast("latitude_centroid", "double"),
-        _cast("longitude_centroid", "double"),
-        *[_cast(c, "double") for c in more],
+        _cast(source, "latitude_centroid", "double"),
+        _cast(source, "longitude_centroid", "double"),
+        *[_cast(source, c, "double") for c in more],
     )
     checked = nullify_missing_fk(rows, geo.select("geo_id"), "geo_id")
     return checked.select(*[f.name for f in schemas.FACT_CALLS], *more)
