@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsewatch.llm import decontaminate
+from pulsewatch.llm import decontaminate, minhash
 from pulsewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,39 @@ SELECT d.id AS doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0)
 FROM word_lists d LEFT JOIN hits h ON h.doc_id = d.id LEFT JOIN found f ON f.doc_id = d.id
 WHERE d.side = 'd'
 """
+
+
+@query
+def op9_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_minmax_dedup"] = r"""
+WITH RECURSIVE word_lists AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(2, len(w) - 1)),
+        lambda i: md5(concat_ws(' ', len(w[i:i + 2]), array_to_string(w[i:i + 2], ' '))))) AS s
+    FROM word_lists WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+ordered AS (
+    SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY f, s) AS p
+    FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY s) AS f FROM shingles) JOIN sizes USING (doc_id)
+), prefixes AS (SELECT doc_id, s, n FROM ordered WHERE p <= n - CAST(ceil(0.85 * n) AS BIGINT) + 1),
+candidates AS (
+    SELECT DISTINCT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb
+    FROM prefixes x JOIN prefixes y ON x.s = y.s AND x.doc_id < y.doc_id
+    WHERE 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+), links AS (
+    SELECT a, b FROM candidates JOIN shingles x ON x.doc_id = a JOIN shingles y ON y.doc_id = b AND y.s = x.s
+    GROUP BY a, b, na, nb HAVING 100 * count(*) >= 85 * (na + nb - count(*))
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+    SELECT doc_id AS node, doc_id AS other FROM documents
+    UNION
+    SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.other
+), least_one AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d JOIN least_one l ON l.node = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id
+"""
