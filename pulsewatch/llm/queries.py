@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulsewatch.llm import decontaminate, minhash
+from pulsewatch.llm import decontaminate, minhash, pii
 from pulsewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +96,59 @@ reach AS (
 SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
 FROM documents d JOIN least_one l ON l.node = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id
 """
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.listed(pii.BASE), 256).alias("base_sha256"),
+        pii.listed(tuple(pii.KINDS)).alias("spans"),
+    )
+
+
+_LUHN = """list_sum(list_transform(range(1, len(d) + 1), lambda i:
+    CASE WHEN i % 2 = 1 THEN CAST(reverse(d)[i] AS INT)
+         WHEN CAST(reverse(d)[i] AS INT) > 4 THEN 2 * CAST(reverse(d)[i] AS INT) - 9
+         ELSE 2 * CAST(reverse(d)[i] AS INT) END)) % 10 = 0"""
+_MOD97 = """list_reduce(list_concat([0], list_transform(range(1, len(d) + 1), lambda i: CASE
+    WHEN ((d[5:] || d[1:4])[i]) BETWEEN '0' AND '9' THEN ascii((d[5:] || d[1:4])[i]) - 48
+    ELSE ascii((d[5:] || d[1:4])[i]) - 55 END)), lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1"""
+ORACLES["op5_pii"] = rf"""
+WITH kinds(k, kind) AS (VALUES (1, 'email'), (2, 'ip'), (3, 'card'), (4, 'phone'), (5, 'iban')
+), each AS (
+    SELECT doc_id, 1 AS k, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS h,
+        regexp_split_to_array(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS g FROM documents
+    UNION ALL
+    SELECT doc_id, 2, coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'),
+        regexp_split_to_array(coalesce(text, ''), '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)') FROM documents
+    UNION ALL
+    SELECT doc_id, 3, coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '[0-9](?:[\x20-]?[0-9])+'),
+        regexp_split_to_array(coalesce(text, ''), '[0-9](?:[\x20-]?[0-9])+') FROM documents
+    UNION ALL
+    SELECT doc_id, 4, coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '\+[0-9][\x20().0-9-]+[0-9]'),
+        regexp_split_to_array(coalesce(text, ''), '\+[0-9][\x20().0-9-]+[0-9]') FROM documents
+    UNION ALL
+    SELECT doc_id, 5, coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?:\x20[A-Z0-9]{{4}}){{2,7}}(?:\x20[A-Z0-9]{{1,3}})?)'),
+        regexp_split_to_array(coalesce(text, ''), '[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?:\x20[A-Z0-9]{{4}}){{2,7}}(?:\x20[A-Z0-9]{{1,3}})?)') FROM documents
+), placed AS (
+    SELECT doc_id, k, unnest(h) AS m, unnest(g[1:len(h)]) AS gap, unnest(range(1, len(h) + 1)) AS i FROM each WHERE len(h) > 0
+), spans AS (
+    SELECT doc_id, k, m, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, k ORDER BY i) AS BIGINT) AS e FROM placed
+), tested AS (
+    SELECT doc_id, k, m, e - length(m) AS s, e, CASE k WHEN 3 THEN regexp_replace(m, '[ -]', '', 'g') WHEN 5 THEN replace(m, ' ', '') ELSE regexp_replace(m, '[^0-9]', '', 'g') END AS d FROM spans
+), good AS (
+    SELECT doc_id, k, kind, kind || ':' || s || ':' || e AS line, s FROM tested JOIN kinds USING (k) WHERE CASE k
+        WHEN 1 THEN true
+        WHEN 2 THEN len(list_filter(string_split(m, '.'), lambda p: len(ltrim(p, '0')) > 3 OR (len(ltrim(p, '0')) = 3 AND ltrim(p, '0') > '255'))) = 0
+        WHEN 3 THEN CASE WHEN length(d) BETWEEN 16 AND 19 THEN {_LUHN} ELSE false END
+        WHEN 4 THEN length(d) BETWEEN 8 AND 15
+        ELSE list_contains(string_split('{pii.IBAN_LENGTHS}', ' '), d[1:2] || length(d)) AND {_MOD97} END
+)
+SELECT d.doc_id, count(*) FILTER (k = 1) AS n_email, count(*) FILTER (k = 2) AS n_ip, count(*) FILTER (k = 3) AS n_card,
+    count(*) FILTER (k = 4) AS n_phone, sha256(coalesce(string_agg(line, ',' ORDER BY k, s) FILTER (k < 5), '')) AS base_sha256,
+    coalesce(string_agg(line, ',' ORDER BY k, s), '') AS spans
+FROM documents d LEFT JOIN good g ON g.doc_id = d.doc_id GROUP BY d.doc_id
+"""
