@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.llm import decontaminate, minhash, pii
-from pulsewatch.llm.common import table
+from pulsewatch.llm import decontaminate, langid, minhash, pii
+from pulsewatch.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,11 @@ SELECT d.doc_id, count(*) FILTER (k = 1) AS n_email, count(*) FILTER (k = 2) AS
     coalesce(string_agg(line, ',' ORDER BY k, s), '') AS spans
 FROM documents d LEFT JOIN good g ON g.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+
+@query
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)))
+    model = langid.fit(docs.where("not held_out"))
+    found = langid.identified(docs.select("doc_id", "text", "held_out"), model)
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
