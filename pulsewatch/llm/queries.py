@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.llm import decontaminate, langid, minhash, pii
+from pulsewatch.llm import chat, decontaminate, langid, minhash, mixing, pii
 from pulsewatch.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,63 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where("not held_out"))
     found = langid.identified(docs.select("doc_id", "text", "held_out"), model)
     return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
+@query
+def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mixed(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", "row.source", "row.lang", "row.text", "copy", "mix_key")
+
+
+ORACLES["op10_poisson_mix"] = """
+WITH RECURSIVE sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (
+    SELECT source, pow(CAST(n AS DOUBLE), 0.7) * ((SELECT sum(n) FROM sizes)
+        / (SELECT CAST(sum(CAST(pow(CAST(n AS DOUBLE), 0.7) AS DECIMAL(28,10))) AS DOUBLE) FROM sizes)) / n AS rate FROM sizes
+), steps AS (
+    SELECT source, greatest(1, CAST(ceil(rate / 16) AS INT)) AS parts, rate / greatest(1, ceil(rate / 16)) AS r,
+        0 AS k, exp(-rate / greatest(1, ceil(rate / 16))) AS p, exp(-rate / greatest(1, ceil(rate / 16))) AS c FROM rates
+    UNION ALL
+    SELECT source, parts, r, k + 1, p * r / (k + 1), c + p * r / (k + 1) FROM steps WHERE k < ceil(r + 10 * sqrt(r) + 10)
+), draws AS (
+    SELECT d.doc_id, d.source, t.part, (CAST('0x' || md5(concat('mix count', chr(1), d.doc_id, chr(1), t.part))[1:12] AS BIGINT) + 0.5::DOUBLE) / pow(16, 12) AS u
+    FROM documents d JOIN (SELECT DISTINCT source, parts FROM steps) s ON s.source IS NOT DISTINCT FROM d.source
+    JOIN (SELECT unnest(range(1, 1000)) AS part) t ON t.part <= s.parts
+), counted AS (
+    SELECT w.doc_id, count(*) FILTER (s.c < w.u) AS copies
+    FROM draws w JOIN steps s ON s.source IS NOT DISTINCT FROM w.source GROUP BY w.doc_id
+), copied AS (SELECT doc_id, CAST(unnest(range(1, copies + 1)) AS INT) AS copy FROM counted)
+SELECT d.doc_id, d.source, d.lang, d.text, c.copy,
+    (CAST('0x' || md5(concat('mix order', chr(1), d.doc_id, chr(1), c.copy))[1:12] AS BIGINT) + 0.5::DOUBLE) / pow(16, 12) AS mix_key
+FROM documents d JOIN copied c USING (doc_id)
+"""
+
+
+@query
+def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotated(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return out.withColumn("mask", F.array_join(spans, ","))
+
+
+ORACLES["op6_perspectives"] = r"""
+WITH turns AS (
+    SELECT DISTINCT conv_id, coalesce(CAST(floor(turn / 64) AS BIGINT), -1) AS segment, turn,
+        CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE replace(role, '<|', '< |') END AS role,
+        replace(coalesce(text, ''), '<|', '< |') AS text
+    FROM conversations
+), speakers AS (SELECT DISTINCT conv_id, segment, role AS speaker FROM turns WHERE role <> 'system'),
+pieces AS (
+    SELECT t.conv_id, t.segment, speaker, turn, role, text, role = speaker AS own,
+        CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>'
+             ELSE '<|user name=' || role || '|>' END || chr(10) AS head, text || '<|end|>' || chr(10) AS body
+    FROM turns t JOIN speakers s ON s.conv_id = t.conv_id AND s.segment = t.segment
+), placed AS (
+    SELECT *, CAST(sum(length(head) + length(body)) OVER (
+        PARTITION BY conv_id, segment, speaker ORDER BY turn NULLS FIRST, role, text) AS BIGINT) AS e FROM pieces
+)
+SELECT conv_id, segment, speaker, string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS text,
+    coalesce(string_agg((e - length(body)) || ':' || e, ',' ORDER BY e) FILTER (own), '') AS mask,
+    count(*) AS n_turns, count(*) FILTER (own) AS n_trained
+FROM placed GROUP BY conv_id, segment, speaker
+"""
