@@ -324,8 +324,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, numer: int, den
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``, one row for each component and for each document without one."""
+    """The columns of ``docs``: one row for each component, and all rows without a doc_id."""
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
     with_id = docs.where("doc_id is not null")
-    one = with_id.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    one = with_id.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
     return one.unionByName(docs.where("doc_id is null"))
