@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.llm import chat, decontaminate, langid, minhash, mixing, pages, pii
+from pulsewatch.llm import chat, decontaminate, langid, minhash, mixing, pages, pii, vectors
 from pulsewatch.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,3 +226,8 @@ FROM placed GROUP BY conv_id, segment, speaker
 def op7_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.extracted(table(spark, sf_dir, "pages"))
     return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op8_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
