@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.llm import chat, decontaminate, langid, minhash, mixing, pages, pii, vectors
+from pulsewatch.llm import chat, decontaminate, langid, minhash, mixing, pages, pii, quality, toxicity, vectors
 from pulsewatch.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -231,3 +231,28 @@ def op7_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.described(table(spark, sf_dir, "documents"))
+    rows = quality.labelled_rows(found, table(spark, sf_dir, "labels"), "quality")
+    model = quality.fit(rows.where(F.coalesce(crc_mod("doc_id", 3), F.lit(0)) != 1))
+    return scores_of(quality.scored(found, model), crc_mod("doc_id", 3) == 1)
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    model = toxicity.fit(docs.join(marked.where(F.coalesce(crc_mod("doc_id", 5), F.lit(1)) != 0), "doc_id"))
+    return scores_of(toxicity.scored(docs, model), crc_mod("doc_id", 5) == 0)
+
+
+def scores_of(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
