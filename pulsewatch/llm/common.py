@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,3 +47,8 @@ def unit(*columns: Column, seed: str = "") -> Column:
     key = F.concat_ws("\u0001", F.lit(seed), *[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in columns])
     high = F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("double")
     return (high + F.lit(0.5)) / F.lit(float(16**12))
+
+
+def widened(fields: list[StructField], ddl: str) -> StructType:
+    """Fields of an input, whatever their names, and more fields."""
+    return StructType([*fields, *StructType.fromDDL(ddl).fields])

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsewatch.llm.common import widened
+
 WINDOW = 13
 #: Bytes of items in one automaton (some 30 bytes of memory for each byte of each window); what
 #: lies beyond goes into further automata that the same pass asks one after the other.
@@ -161,12 +163,14 @@ def find_overlap(
         F.lit(None).cast("array<struct<first:long,last:long>>").alias("ranges"),
         F.lit(None).cast("array<string>").alias("items"),
     )
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields[:2])
+    kept = out.schema.fields[:2]
     for k in range(shards):
         rows = items.where(part == k).collect()  # at most about automaton_bytes of text
         shared = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in rows])
-        out = out.mapInArrow(_pass_over(shared, window, ["doc_id", "text"]), f"{kept}, {_SCHEMA}")
-    schema = f"{kept}, n_words long, items array<string>, n_hit long, items_sha256 string, spans array<struct<start:long,end:long>>"
+        out = out.mapInArrow(_pass_over(shared, window, ["doc_id", "text"]), widened(kept, _SCHEMA))
+    schema = widened(
+        kept, "n_words long, items array<string>, n_hit long, items_sha256 string, spans array<struct<start:long,end:long>>"
+    )
     return (
         out.mapInArrow(_finish, schema)
         .withColumn("n_items", F.size("items").cast("long"))

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsewatch.llm.common import widened
+
 BALLOT = 3  # containers that a page votes for
 RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -278,5 +280,5 @@ def extracted(pages: DataFrame) -> DataFrame:
     keep = [c for c in pages.columns if c != "html"]
     rows = pages.select(F.struct(*[F.col(c) for c in keep]).alias("row"), host_of().alias("host"), "html")
     placed = rows.join(host_paths(pages), "host", "left").select("row", "html", "path")
-    schema = f"row {placed.schema['row'].dataType.simpleString()}, text string, path string"
+    schema = widened([placed.schema["row"]], "text string, path string")
     return placed.mapInArrow(_extract, schema)

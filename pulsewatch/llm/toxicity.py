@@ -6,8 +6,8 @@ forms share evidence. Only document labels are known: the likelihood of the nois
 by gradient steps, whose sums over documents Spark takes. The fitted sentence scores then locate
 the offending sentences.
 
-The fit reads a bounded sample of labelled documents (SAMPLE_DOCS, drawn by hash); scores cover
-all texts. Edge cases: null and empty texts have no sentence and get the score of the bias alone;
+The fit reads a bounded sample of labelled documents (SAMPLE_DOCS, drawn by hash; equal texts
+count once); scores cover all texts. Edge cases: null and empty texts have no sentence and get the score of the bias alone;
 without labels of both classes all scores are the share of label 1 (0 without labels); labels
 other than 0 and 1 are ignored; a doc_id with several labels has the largest; repeated rows each
 give a row; other columns are not read.
@@ -36,7 +36,7 @@ SELECTED = 16_384  # features kept, by the strength of their association with th
 LEAST_DOCS = 5
 STEPS = 40
 RATE = 0.25
-PENALTY = 1e-3
+PENALTY = 0.3  # of a Gaussian prior on the weights, for the whole sample
 CACHE_WORDS = 500_000
 OFFENDING = 0.5
 
@@ -159,7 +159,8 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS)
         limit = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.empty(0, np.int64), np.empty(0), float(np.log(limit / (1 - limit))))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
-    sample = stored(known.where(draw < min(1.0, sample_docs / size["n"])).repartition(PARTS), "toxic-sample")
+    drawn = known.where(draw < min(1.0, sample_docs / size["n"])).dropDuplicates(["text", "y"])
+    sample = stored(drawn.repartition(PARTS), "toxic-sample")
     counts = sample.mapInPandas(_count, "feature long, zeros long, ones long").groupBy("feature").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     zeros, ones = totals.get(0, 0), totals.get(1, 0)
@@ -184,7 +185,7 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS)
         shared = spark.sparkContext.broadcast((weights[1:], float(weights[0])))
         parts = encoded.mapInArrow(_slopes(shared), "n long, total array<double>").collect()  # one row for each part
         n = sum(r["n"] for r in parts)
-        slope = np.sum([r["total"][1:] for r in parts], axis=0) / n - PENALTY * np.concatenate(([0.0], weights[1:]))
+        slope = np.sum([r["total"][1:] for r in parts], axis=0) / n - PENALTY / n * np.concatenate(([0.0], weights[1:]))
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         weights = weights + RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
         shared.unpersist()
