@@ -45,6 +45,7 @@ class Graph:
         self.level = np.empty(0, np.int64)
         self.layers: list[np.ndarray] = []
         self.neighbours, self.beam, self.entry = neighbours, beam, -1
+        self.islands = np.empty(0, np.int64)  # further starts, one for each part that the entry cannot reach
         self.random = np.random.default_rng(seed)
 
     def width(self, layer: int) -> int:
@@ -97,8 +98,23 @@ class Graph:
         start = np.full((len(queries), 1), self.entry, np.int64)
         for layer in range(len(self.layers) - 1, 0, -1):
             start = self.beam_search(queries, start, 4, layer)[0]
+        others = np.broadcast_to(self.islands, (len(queries), len(self.islands)))
+        start = np.concatenate((np.where(np.isin(start, self.islands), -1, start), others), axis=1)
         return self.beam_search(queries, start, min(beam, len(self.x)), 0)
 
+    def find_islands(self) -> None:
+        """Pruned edges can cut nodes off; give each part that is cut off a start of its own."""
+        reached, islands = np.zeros(len(self.x), bool), []
+        front = np.array([self.entry] if self.entry >= 0 else [], np.int64)
+        while not reached.all():
+            if not len(front):
+                front = np.flatnonzero(~reached)[:1]
+                islands.append(int(front[0]))
+            reached[front] = True
+            front = np.unique(self.layers[0][front])
+            front = front[(front >= 0) & ~reached[front]]
+        self.islands = np.array(islands, np.int64)
+
     def _chosen(self, nodes: np.ndarray, ids: np.ndarray, near: np.ndarray, width: int) -> np.ndarray:
         """Of candidates, nearest first, those nearer to the node than to any chosen one; then the nearest others."""
         vectors = self.x[ids]
@@ -209,6 +225,7 @@ def build(ids: np.ndarray, x: np.ndarray, threshold: float) -> dict:
                 fresh.append(int(row))
         graph.add(x[fresh].astype(np.float32))
         leaders += fresh
+    graph.find_islands()
     order = np.argsort(ball, kind="stable")
     bounds = np.searchsorted(ball[order], np.arange(len(leaders) + 1))
     cosine = np.clip(np.einsum("nd,nd->n", x[order], x[np.array(leaders)[ball[order]]]), -1, 1)
@@ -228,28 +245,25 @@ def reach(shard: dict, queries: np.ndarray, threshold: float, audited: int = AUD
     audit = np.unique(np.linspace(0, len(queries) - 1, min(audited, len(queries))).astype(int))
     truth = queries[audit] @ leaders.T >= cutoff
     beam = min(BEAM, n)
-    open_rows = np.arange(len(queries))
     pairs: dict[int, np.ndarray] = {}
-    while len(open_rows):
+    open_rows = np.arange(len(queries))
+    while len(open_rows) and beam < n:
         wide = []
         for at in range(0, len(open_rows), 512):
             rows = open_rows[at : at + 512]
             ids, near = graph.search(queries[rows].astype(np.float32), beam)
-            full = (near[:, -1] >= cutoff) & (beam < n)
+            full = near[:, -1] >= cutoff
             wide.append(rows[full])
             for row, own, cosine in zip(rows[~full], ids[~full], near[~full], strict=True):
                 pairs[int(row)] = own[(cosine >= cutoff) & (own >= 0)]
         open_rows = np.concatenate(wide)
-        missed = any(int(a) in pairs and not set(np.flatnonzero(t)) <= set(pairs[int(a)].tolist()) for a, t in zip(audit, truth, strict=True))
-        if missed and beam < n:
+        if any(int(a) in pairs and not set(np.flatnonzero(t)) <= set(pairs[int(a)].tolist()) for a, t in zip(audit, truth, strict=True)):
             open_rows = np.arange(len(queries))
             pairs.clear()
         beam = min(n, 2 * beam)
-        if missed and beam == n:  # the widest beam is all leaders
-            for at in range(0, len(queries), 256):
-                hit = queries[at : at + 256] @ leaders.T >= cutoff
-                pairs.update((at + i, np.flatnonzero(h)) for i, h in enumerate(hit))
-            break
+    for at in range(0, len(open_rows), 256):  # as wide as the shard: all leaders
+        hit = queries[open_rows[at : at + 256]] @ leaders.T >= cutoff
+        pairs.update((int(open_rows[at + i]), np.flatnonzero(h)) for i, h in enumerate(hit))
     sizes = [len(pairs[i]) for i in range(len(queries))]
     which = np.repeat(np.arange(len(queries)), sizes)
     return which, np.concatenate([np.empty(0, np.int64), *[pairs[i] for i in range(len(queries))]]).astype(np.int64)
@@ -351,11 +365,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, shard: int =
 def _packed(made: dict) -> bytes:
     """A shard as plain arrays, so that reading it needs none of this module's classes."""
     graph = made.pop("graph")
-    return pickle.dumps((made, graph.x, graph.level, graph.layers, graph.entry))
+    return pickle.dumps((made, graph.x, graph.level, graph.layers, graph.entry, graph.islands))
 
 
 def _unpacked(data: bytes) -> dict:
-    made, x, level, layers, entry = pickle.loads(data)
+    made, x, level, layers, entry, islands = pickle.loads(data)
     graph = Graph(x.shape[1])
-    graph.x, graph.level, graph.layers, graph.entry = x, level, layers, entry
+    graph.x, graph.level, graph.layers, graph.entry, graph.islands = x, level, layers, entry, islands
     return made | {"graph": graph}
