@@ -30,7 +30,7 @@ ROUNDS = 2
 STRETCH = 24
 SMOOTHING = 0.05
 UNKNOWN = 1e-7
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 MARK = "▁"
 UNDETERMINED = "und"
 
@@ -265,7 +265,8 @@ def predictor(model: Model, spark) -> Column:
                     scores.append(float(1 / np.exp(totals[i] - totals[i][best]).sum()))
             yield pd.DataFrame({"lang": names, "score": scores})
 
-    return predict
+    # so that a filter on the prediction does not make Spark evaluate it twice
+    return predict.asNondeterministic()
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
