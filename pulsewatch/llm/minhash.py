@@ -286,14 +286,17 @@ def _bucket_links(source: DataFrame, placed: DataFrame, shingle: int, numer: int
         .where(F.lit(denom) * F.col("most") >= F.lit(numer) * F.col("n"))
         .select("key", "doc", "component", "n", "most")
     )
-    able = stored(_mixed(able), "open-buckets")
-    other = able.select("key", *[F.col(c).alias(f"{c}_2") for c in ("doc", "component", "n", "most")])
+    every_key = placed.where("keys is not null").select(F.col("rep").alias("doc"), "keys")
+    able = stored(_mixed(able).join(every_key, "doc"), "open-buckets")
+    other = able.select("key", *[F.col(c).alias(f"{c}_2") for c in ("doc", "component", "n", "most", "keys")])
+    # a pair that shares several buckets is taken from the first of them
     rest = able.join(other, "key").where(
         (F.col("doc") < F.col("doc_2"))
         & (F.col("component") != F.col("component_2"))
         & (F.lit(numer + denom) * F.least("most", "most_2") >= F.lit(numer) * (F.col("n") + F.col("n_2")))
+        & (F.array_min(F.array_intersect("keys", "keys_2")) == F.col("key"))
     )
-    second = _confirmed(_pairs(rest.withColumn("other", F.col("doc_2"))), texts, shingle, numer, denom, "more-links")
+    second = _confirmed(rest.select(F.col("doc").alias("a"), F.col("doc_2").alias("b")), texts, shingle, numer, denom, "more-links")
     return first.unionByName(second)
 
 
