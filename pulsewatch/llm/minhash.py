@@ -8,9 +8,9 @@ a pair shares no band with a probability of 0.478**24, about 2e-8.
 Scale: equal sets collapse to one representative first. In a bucket nobody meets everybody: each
 member is compared with the most central one (whose buckets hold most members, so in a group of
 copies the text that the others were made from). What is left are buckets with several components.
-A shingle that only one document has can be in no intersection, which bounds the overlap of a
-document from above, exactly; only pairs that this bound allows and that no link joins yet are
-compared. Every link is confirmed on the full sets.
+A shingle that only one document has can be in no intersection, and the overlap with the bucket's
+hub is known; both bound the overlap of a pair from above, exactly. Only pairs that these bounds
+allow and that no link joins yet are compared. Every link is confirmed on the full sets.
 
 Edge cases: null or blank texts have an empty set and link with nothing. Rows that repeat a doc_id
 are one node, which joins the copies of each of their texts and is compared by the smallest of them;
@@ -183,7 +183,7 @@ def _tokens(k: int):
 
 
 def _confirm(k: int, numer: int, denom: int):
-    """Keep the pairs whose full sets are similar enough."""
+    """Size of the intersection of the full sets, and whether they are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -192,12 +192,14 @@ def _confirm(k: int, numer: int, denom: int):
                 part = batch.slice(at, 256)
                 left = shingle_sets(part.column("text_a").to_pylist(), k, powers)
                 right = shingle_sets(part.column("text_b").to_pylist(), k, powers)
-                keep = []
+                common, similar = [], []
                 for x, y in zip(left, right, strict=True):
                     both = np.sort(np.concatenate((x, y)))
-                    common = int((both[1:] == both[:-1]).sum())
-                    keep.append(common > 0 and denom * common >= numer * (len(x) + len(y) - common))
-                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                    n = int((both[1:] == both[:-1]).sum())
+                    common.append(n)
+                    similar.append(n > 0 and denom * n >= numer * (len(x) + len(y) - n))
+                columns = [part.column("a"), part.column("b"), pa.array(common, pa.int64()), pa.array(similar, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "common", "similar"])
 
     return run
 
@@ -264,7 +266,8 @@ def _bucket_links(source: DataFrame, placed: DataFrame, shingle: int, numer: int
         .agg(F.min("text").alias("text")),
         "candidates",
     )
-    first = _confirmed(to_hub, texts, shingle, numer, denom, "hub-links")
+    compared = _confirmed(to_hub, texts, shingle, numer, denom, "hub-links")
+    first = compared.where("similar").select("a", "b")
 
     # buckets in which the links found so far leave several components
     groups = components(first, "hub")
@@ -279,25 +282,32 @@ def _bucket_links(source: DataFrame, placed: DataFrame, shingle: int, numer: int
     tokens = texts.join(open_docs, "doc", "left_semi").mapInArrow(_tokens(shingle), f"doc {kind}, token long")
     lonely = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("doc").alias("doc")).where("m = 1")
     alone = lonely.groupBy("doc").agg(F.count(F.lit(1)).alias("alone"))
-    # ``most``: shingles that can be in an intersection at all
+    # ``most``: shingles that can be in an intersection at all; ``on_hub`` of them are the hub's too,
+    # ``off_hub`` are not. Two documents share at most the lesser of each.
+    hub_of = split.join(hubs.select("key", F.col("h.doc").alias("hub")), "key")
+    hub_of = hub_of.withColumn("a", F.least("doc", "hub")).withColumn("b", F.greatest("doc", "hub"))
     able = (
-        split.join(alone, "doc", "left")
+        hub_of.join(compared.drop("similar"), ["a", "b"], "left")
+        .join(alone, "doc", "left")
         .withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
         .where(F.lit(denom) * F.col("most") >= F.lit(numer) * F.col("n"))
-        .select("key", "doc", "component", "n", "most")
+        .withColumn("on_hub", F.when(F.col("doc") == F.col("hub"), F.col("most")).otherwise(F.col("common")))
+        .withColumn("off_hub", F.greatest(F.col("most") - F.col("on_hub"), F.lit(0)))
+        .select("key", "doc", "component", "n", "on_hub", "off_hub")
     )
     every_key = placed.where("keys is not null").select(F.col("rep").alias("doc"), "keys")
     able = stored(_mixed(able).join(every_key, "doc"), "open-buckets")
-    other = able.select("key", *[F.col(c).alias(f"{c}_2") for c in ("doc", "component", "n", "most", "keys")])
+    other = able.select("key", *[F.col(c).alias(f"{c}_2") for c in ("doc", "component", "n", "on_hub", "off_hub", "keys")])
+    shared_most = F.least("on_hub", "on_hub_2") + F.least("off_hub", "off_hub_2")
     # a pair that shares several buckets is taken from the first of them
     rest = able.join(other, "key").where(
         (F.col("doc") < F.col("doc_2"))
         & (F.col("component") != F.col("component_2"))
-        & (F.lit(numer + denom) * F.least("most", "most_2") >= F.lit(numer) * (F.col("n") + F.col("n_2")))
+        & (F.lit(numer + denom) * shared_most >= F.lit(numer) * (F.col("n") + F.col("n_2")))
         & (F.array_min(F.array_intersect("keys", "keys_2")) == F.col("key"))
     )
     second = _confirmed(rest.select(F.col("doc").alias("a"), F.col("doc_2").alias("b")), texts, shingle, numer, denom, "more-links")
-    return first.unionByName(second)
+    return first.unionByName(second.where("similar").select("a", "b"))
 
 
 def _mixed(member: DataFrame) -> DataFrame:
@@ -322,7 +332,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, numer: int, den
     right = texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
     kind = texts.schema["doc"].dataType.simpleString()
     return stored(
-        pairs.join(left, "a").join(right, "b").mapInArrow(_confirm(shingle, numer, denom), f"a {kind}, b {kind}"), label
+        pairs.join(left, "a")
+        .join(right, "b")
+        .mapInArrow(_confirm(shingle, numer, denom), f"a {kind}, b {kind}, common long, similar boolean"),
+        label,
     )
 
 
