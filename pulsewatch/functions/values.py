@@ -158,8 +158,8 @@ def day_number(short_name: Column) -> Column:
     return _from_dict(short_name, {name: i for i, name in enumerate(names)})
 
 
-def first_word(c: Column, limit: int = 20) -> Column:
-    return F.substring(F.split(F.trim(c), r"\s+")[0], 1, limit)
+def first_word(c: Column) -> Column:
+    return F.split(F.trim(c), r"\s+")[0]
 
 
 def clip(c: Column, low: float, high: float) -> Column:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from pulsewatch.functions import values as V
 from pulsewatch.session import materialize
 
-# Up to this many items per basket all subsets are counted directly.
-SUBSET_LIMIT = 14
-
 
 def _tagged(prefix: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(prefix), value.cast("string")))
@@ -23,7 +20,7 @@ def _item_columns(df: DataFrame, variant: str) -> list[Column]:
         return [
             _tagged("dow_", F.col("response_day_of_week")),
             _tagged("time_", V.time_slot(F.col("response_hour"))),
-            _tagged("cat_", F.substring("final_problem_category", 1, 20)),
+            _tagged("cat_", F.col("final_problem_category")),
         ]
     present = set(df.columns)
     found: list[Column] = []
@@ -114,22 +111,19 @@ def frequent_itemsets(
     baskets: DataFrame,
     min_support: float = 0.01,
     retry_support: float | None = 0.005,
-    method: str = "auto",
+    method: str = "subsets",
 ) -> DataFrame:
     """Itemsets (sorted lists) with count and support.
 
     Takes baskets (``items``) or counted ones (``items``, ``n``). Equal baskets collapse to one counted row before anything else, then items
     below the threshold leave the baskets, and the remaining subsets are counted.
-    The work follows the number of distinct baskets, not of incidents. Baskets too
-    long for that go to FP-growth. If nothing reaches ``min_support`` the lower
+    The work follows the number of distinct baskets, not of incidents. ``fpgrowth``
+    is for callers whose baskets keep many frequent items. If nothing reaches ``min_support`` the lower
     ``retry_support`` applies; the most frequent set is always a single item, so
     the choice needs only the item counts.
     """
     size = F.sum("n") if "n" in baskets.columns else F.count("*")
     counted = materialize(baskets.groupBy("items").agg(size.alias("n")))
-    if method == "auto":
-        longest = counted.agg(F.max(F.size("items"))).first()[0] or 0
-        method = "subsets" if longest <= SUBSET_LIMIT else "fpgrowth"
     total = counted.agg(F.sum("n")).scalar()
     singles = (
         counted.select(F.explode("items").alias("item"), "n")

@@ -156,7 +156,7 @@ def run_models(
             measures = run()
             rows += [(name, "SUCCESS", m, float(v), None) for m, v in measures.items()]
         except Exception as error:
-            rows.append((name, "FAILED", None, None, str(error)[:500]))
+            rows.append((name, "FAILED", None, None, str(error)))
     return spark.createDataFrame(
         rows, "model string, status string, measure string, value double, error string"
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,31 +20,29 @@ def upsert(
     update_cols: list[str] | None = None,
     order_by: list[Column | str] | None = None,
 ) -> DataFrame:
-    """Insert unknown keys, update known ones (all columns or ``update_cols``).
+    """Insert unknown keys, update known ones (all columns or ``update_cols``; [] for none).
 
     ``order_by`` puts the winning one of several incoming rows per key first; without
-    it the smallest row wins, so that a rerun gives the same table. When
-    the increment is small enough for Spark to broadcast it, the base table is only
-    scanned, never shuffled, both for the update and to find the keys it hits.
+    it the smallest row wins, so that a rerun gives the same table. The increment is
+    reduced to one row per key once, and one outer join decides every row: each side
+    is read once and shuffled once, by the key. Rows without a key never match.
     """
     incoming = _one_per_key(new, key, order_by)
-    changed = update_cols or [c for c in base.columns if c != key]
+    changed = [c for c in base.columns if c != key] if update_cols is None else update_cols
     changed = [c for c in changed if c in new.columns]
-    patch = incoming.select(
-        key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in changed]
+    rest = [c for c in base.columns if c != key]
+    patch = schemas.with_missing(incoming, base.schema).select(
+        key, F.lit(True).alias("_new"), *[F.col(c).alias(f"_new_{c}") for c in rest]
     )
-    patched = base.join(patch, key, "left")
-    updated = patched.select(
-        *[
-            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-            if c in changed
-            else F.col(c)
-            for c in base.columns
-        ]
-    )
-    fresh = _absent(incoming, base, key)
-    fresh = schemas.with_missing(fresh, base.schema).select(*base.columns)
-    return updated.unionByName(fresh)
+    both = base.withColumn("_old", F.lit(True)).join(patch, key, "full")
+
+    def decided(c: str) -> Column:
+        theirs = F.col("_old").isNull()
+        if c in changed:
+            theirs = theirs | F.coalesce("_new", F.lit(False))
+        return F.when(theirs, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+
+    return both.select(*[F.col(c) if c == key else decided(c) for c in base.columns])
 
 
 def _one_per_key(new: DataFrame, key: str, order_by: list[Column | str] | None) -> DataFrame:
@@ -52,26 +50,29 @@ def _one_per_key(new: DataFrame, key: str, order_by: list[Column | str] | None)
     return keep_first(new, key, order_by or [c for c in sortable if c != key] or [key])
 
 
-def _absent(incoming: DataFrame, base: DataFrame, key: str) -> DataFrame:
-    """Incoming rows whose key the base lacks, without shuffling a large base."""
-    wanted = incoming.select(key)
-    hits = base.select(key).join(wanted, key, "left_semi").distinct()
-    return incoming.join(hits, key, "left_anti")
-
-
 def insert_new(
     base: DataFrame, new: DataFrame, key: str, order_by: list[Column | str] | None = None
 ) -> DataFrame:
     """Add only rows with an unknown key; known rows stay as they are."""
-    incoming = _one_per_key(new, key, order_by)
-    fresh = schemas.with_missing(_absent(incoming, base, key), base.schema)
-    return base.unionByName(fresh.select(*base.columns))
+    return upsert(base, new, key, [], order_by)
 
 
-def incremental_rows(new: DataFrame, base: DataFrame, ts: str = "response_datetime") -> DataFrame:
-    """Rows later than the newest one already loaded; all rows for an empty base."""
-    newest = base.agg(F.max(ts)).scalar()
-    return new.where(newest.isNull() | (F.col(ts) > newest))
+def incremental_rows(
+    new: DataFrame,
+    base: DataFrame,
+    key: str = "incident_number",
+    ts: str = "response_datetime",
+    since: str | None = None,
+) -> DataFrame:
+    """Rows whose key is not loaded yet: late rows, equal times and rows without a time included.
+
+    ``since`` limits the look into the base to loaded rows from that time on, or without
+    a time, where older keys cannot come again.
+    """
+    loaded = base
+    if since is not None:
+        loaded = base.where(F.col(ts).isNull() | (F.col(ts) >= F.lit(since).cast(base.schema[ts].dataType)))
+    return new.join(loaded.select(key), key, "left_anti").select(*new.columns)
 
 
 def freshness(base: DataFrame, ts: str) -> DataFrame:
@@ -112,8 +113,9 @@ def rebuild_plan(files: DataFrame, db_count: DataFrame, enough: int = 100) -> Da
     )
 
 
-def _text(name: str, limit: int) -> Column:
-    return F.substring(F.col(name).cast("string"), 1, limit).alias(name)
+def _text(name: str, limits: dict[str, int]) -> Column:
+    whole = F.col(name).cast("string")
+    return (F.substring(whole, 1, limits[name]) if name in limits else whole).alias(name)
 
 
 def _cast(df: DataFrame, name: str, kind: str) -> Column:
@@ -128,25 +130,32 @@ def _cast(df: DataFrame, name: str, kind: str) -> Column:
 
 
 def load_fact_calls(
-    calls: DataFrame, geo: DataFrame, measures: tuple[str, ...] = ()
+    calls: DataFrame,
+    geo: DataFrame,
+    measures: tuple[str, ...] = (),
+    limits: dict[str, int] | None = None,
 ) -> DataFrame:
-    """The twelve warehouse columns with lenient casts, length limits and checked geo_id.
+    """The twelve warehouse columns with lenient casts and checked geo_id.
 
-    ``measures`` are further numeric columns to carry along, where they exist.
+    ``measures`` are further numeric columns to carry along, where they exist. Texts
+    stay whole; ``limits`` cuts descriptive columns to a length, but never a key.
     """
+    limits = limits or {}
+    if {"incident_number", "geo_id"} & set(limits):
+        raise ValueError("keys are not cut")
     more = [c for c in measures if c in calls.columns]
     source = schemas.with_missing(calls, schemas.FACT_CALLS)
     rows = source.select(
-        _text("incident_number", 50),
+        _text("incident_number", limits),
         _cast(source, "response_datetime", "timestamp_ntz"),
         _cast(source, "response_date", "date"),
         _cast(source, "response_hour", "int"),
-        _text("response_day_of_week", 10),
-        _text("priority_level", 50),
+        _text("response_day_of_week", limits),
+        _text("priority_level", limits),
         _cast(source, "priority_numeric", "int"),
-        _text("initial_problem_category", 200),
-        _text("final_problem_category", 200),
-        _text("geo_id", 20),
+        _text("initial_problem_category", limits),
+        _text("final_problem_category", limits),
+        _text("geo_id", limits),
         _cast(source, "latitude_centroid", "double"),
         _cast(source, "longitude_centroid", "double"),
         *[_cast(source, c, "double") for c in more],
@@ -155,11 +164,8 @@ def load_fact_calls(
     return checked.select(*[f.name for f in schemas.FACT_CALLS], *more)
 
 
-def load_dim_event(
-    events: DataFrame, first: int | None = None, order_by: list[Column | str] | None = None
-) -> DataFrame:
-    """Event dimension. All events keep their own id; with ``first`` only that many
-    are taken in order and numbered from 1."""
+def load_dim_event(events: DataFrame) -> DataFrame:
+    """Event dimension: all events under their own id, with defaults."""
     source = schemas.with_missing(
         events,
         schemas.struct(
@@ -167,17 +173,10 @@ def load_dim_event(
             "has_alcohol boolean, has_amplified_sound boolean"
         ),
     )
-    order = order_by or ["event_id"]
-    if first is not None:
-        source = source.orderBy(*order).limit(first)
-        number = F.row_number().over(Window.orderBy(*order))
-        source = source.withColumn("event_id", number.cast("long"))
     return source.select(
         "event_id",
-        F.coalesce(
-            F.substring("event_name", 1, 500), F.concat(F.lit("Event_"), F.col("event_id") - 1)
-        ).alias("event_name"),
-        F.coalesce(F.substring("event_type", 1, 100), F.lit("Festival")).alias("event_type"),
+        F.coalesce("event_name", F.concat(F.lit("Event_"), F.col("event_id") - 1)).alias("event_name"),
+        F.coalesce("event_type", F.lit("Festival")).alias("event_type"),
         "start_date",
         "end_date",
         F.coalesce("has_alcohol", F.lit(False)).alias("has_alcohol"),
@@ -204,9 +203,13 @@ def upsert_partitions(
     partition_by: list[str],
     update_cols: list[str] | None = None,
     order_by: list[Column | str] | None = None,
+    within: Column | str | None = None,
 ) -> None:
     """Upsert into a partitioned Parquet table, rewriting only partitions it touches.
 
+    ``within`` is a condition on partition columns beyond which no incoming key is
+    stored; only partitions inside are looked through for the keys.
+
     Touched are the partitions of the incoming rows and those of stored rows with the
     same key; both lists have one entry per partition. Partition columns of a stored
     row never change, so no key can end up in two partitions.
@@ -221,7 +224,8 @@ def upsert_partitions(
         incoming.write.partitionBy(*partition_by).parquet(path)
         return
     incoming = materialize(incoming)
-    stored = base.select(key, *partition_by).join(incoming.select(key), key, "left_semi")
+    looked = base if within is None else base.where(within)
+    stored = looked.select(key, *partition_by).join(incoming.select(key), key, "left_semi")
     touched = (
         incoming.select(*partition_by).union(stored.select(*partition_by)).distinct().collect()
     )

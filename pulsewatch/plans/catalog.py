@@ -423,7 +423,7 @@ def zone_heatmap(t: Tables) -> DataFrame:
 
 @query
 def risk_heatmap_30d(t: Tables) -> DataFrame:
-    return risk.risk_heatmap(t.enriched, days=7)
+    return risk.risk_heatmap(t.enriched, days=30)
 
 
 @query
@@ -604,7 +604,7 @@ def rules(t: Tables) -> DataFrame:
 @query
 def rules_dag(t: Tables) -> DataFrame:
     found = materialize(mining.frequent_itemsets(mining.count_baskets(t.calls, "slots"), 0.01, None))
-    return mining.rules_as_text(mining.association_rules(found, "lift", 1.05))
+    return mining.rules_as_text(mining.association_rules(found, "lift", 1.2))
 
 
 @query
@@ -637,7 +637,7 @@ def top_rules(t: Tables) -> DataFrame:
 @query
 def zone_clusters(t: Tables) -> DataFrame:
     places = risk.location_features(t.enriched)
-    clustered = zones.cluster_zones(places, ks=range(3, 10), restarts=2)
+    clustered = zones.cluster_zones(places, ks=range(3, 10), restarts=10)
     return clustered.select(
         "latitude", "longitude", "incident_count", "location_risk", "cluster", "risk_zone"
     )
@@ -646,14 +646,14 @@ def zone_clusters(t: Tables) -> DataFrame:
 @query
 def zone_levels(t: Tables) -> DataFrame:
     places = risk.location_features(t.enriched, with_response=False)
-    return zones.cluster_levels(places, restarts=2).select(
+    return zones.cluster_levels(places, restarts=10).select(
         "latitude", "longitude", "incident_count", "location_risk", "cluster", "risk_level"
     )
 
 
 @query
 def hour_clusters(t: Tables) -> DataFrame:
-    return zones.cluster_hours(t.calls, restarts=2)
+    return zones.cluster_hours(t.calls, restarts=10)
 
 
 @query
@@ -694,7 +694,7 @@ def knn_classify(t: Tables) -> DataFrame:
 @query
 def knn_accuracy(t: Tables) -> DataFrame:
     train, test, columns = _knn_split(t)
-    return knn.knn_classify(train, test, columns, ks=(3, 5))[1]
+    return knn.knn_classify(train, test, columns)[1]
 
 
 @query
@@ -725,21 +725,21 @@ def _priority_split(t: Tables) -> tuple[DataFrame, DataFrame, list[str]]:
 @query
 def rf_priority(t: Tables) -> DataFrame:
     train, test, columns = _priority_split(t)
-    model = priority.train_priority(train, columns, trees=20, depth=8)
+    model = priority.train_priority(train, columns, trees=100, depth=15)
     return priority.predict(model, test, "incident_number", "priority_class")
 
 
 @query
 def rf_importance(t: Tables) -> DataFrame:
     train, _, columns = _priority_split(t)
-    model = priority.train_priority(train, columns, trees=20, depth=8)
+    model = priority.train_priority(train, columns, trees=100, depth=15)
     return priority.feature_importance(t.spark, model, columns)
 
 
 @query
 def rf_cv(t: Tables) -> DataFrame:
     train, _, columns = _priority_split(t)
-    accuracy = priority.cross_validate(train, columns, trees=5, depth=5)
+    accuracy = priority.cross_validate(train, columns, trees=100, depth=15)
     return train.agg(F.count("*").alias("rows")).withColumn("cv_accuracy", F.lit(accuracy))
 
 
@@ -759,12 +759,12 @@ def forecast_ridge(t: Tables) -> DataFrame:
 
 @query
 def forecast_gbt(t: Tables) -> DataFrame:
-    return forecast.forecast(_long_features(t), which=("gbt",), trees=20)
+    return forecast.forecast(_long_features(t), which=("gbt",), trees=100)
 
 
 @query
 def forecast_best(t: Tables) -> DataFrame:
-    return forecast.forecast(_long_features(t), trees=20)
+    return forecast.forecast(_long_features(t), trees=100)
 
 
 @query
@@ -803,13 +803,13 @@ def model_summary(t: Tables) -> DataFrame:
         return {"rules_count": mining.association_rules(itemsets).count()}
 
     def zones_run() -> dict[str, float]:
-        places = zones.cluster_levels(risk.location_features(t.enriched, False), restarts=1)
+        places = zones.cluster_levels(risk.location_features(t.enriched, False), restarts=10)
         row = places.agg(F.countDistinct("cluster"), F.count("*")).first()
         return {"clusters": row[0], "locations": row[1]}
 
     def knn_run() -> dict[str, float]:
         train, test, columns = _knn_split(t)
-        accuracy = knn.knn_classify(train, test, columns, ks=(3,))[1]
+        accuracy = knn.knn_classify(train, test, columns)[1]
         return {"accuracy": accuracy.agg(F.max("accuracy")).first()[0]}
 
     def forecast_run() -> dict[str, float]:
@@ -818,7 +818,7 @@ def model_summary(t: Tables) -> DataFrame:
 
     def forest_run() -> dict[str, float]:
         train, test, columns = _priority_split(t)
-        model = priority.train_priority(train, columns, trees=5, depth=5)
+        model = priority.train_priority(train, columns, trees=100, depth=15)
         scored = priority.predict(model, test, "incident_number", "priority_class")
         hit = F.avg((F.col("label") == F.col("prediction")).cast("int"))
         return {"accuracy": scored.agg(hit).first()[0]}
@@ -963,13 +963,6 @@ def load_dim_event(t: Tables) -> DataFrame:
     return warehouse.load_dim_event(t.festivals)
 
 
-@query
-def load_dim_event_first(t: Tables) -> DataFrame:
-    return warehouse.load_dim_event(
-        t.festivals, first=200, order_by=[F.desc("start_date"), "event_name"]
-    )
-
-
 @query
 def freshness(t: Tables) -> DataFrame:
     return warehouse.freshness(t.calls, "response_datetime")

@@ -269,7 +269,7 @@ slots AS (
            'time_' || CASE WHEN response_hour <= 6 THEN 'Night' WHEN response_hour <= 12
                            THEN 'Morning' WHEN response_hour <= 18 THEN 'Afternoon'
                            ELSE 'Evening' END,
-           'cat_' || left(final_problem_category, 20)]) AS items
+           'cat_' || final_problem_category]) AS items
   FROM calls WHERE response_hour > 0),
 basket_calls AS (
   SELECT incident_number, ['Weather_' || weather_category, 'Temp_' || temp_category] AS sky,
@@ -286,7 +286,7 @@ full_baskets AS (
                 ELSE 'Time_Evening' END,
            CASE WHEN response_day_of_week IN ('Sat', 'Sun') THEN 'Weekend' ELSE 'Weekday' END,
            'Priority_' || replace(priority_level, ' ', ''),
-           'Incident_' || left(split_part(trim(final_problem_category), ' ', 1), 20)]) AS items
+           'Incident_' || split_part(trim(final_problem_category), ' ', 1)]) AS items
   FROM basket_calls),
 plain_baskets AS (
   SELECT incident_number, list_sort([
@@ -295,7 +295,7 @@ plain_baskets AS (
                 ELSE 'Time_Evening' END,
            CASE WHEN response_day_of_week IN ('Sat', 'Sun') THEN 'Weekend' ELSE 'Weekday' END,
            'Priority_' || replace(priority_level, ' ', ''),
-           'Incident_' || left(split_part(trim(final_problem_category), ' ', 1), 20)]) AS items
+           'Incident_' || split_part(trim(final_problem_category), ' ', 1)]) AS items
   FROM calls),
 planned_raw AS (
   SELECT o_orderkey AS event_id, 100 + o_custkey * 60 AS expected_attendance,
@@ -809,7 +809,7 @@ _oracle(
        avg(priority_numeric) AS avg_priority, CASE WHEN count(*) > 100 THEN 'HIGH'
          WHEN count(*) > 50 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
        FROM enriched
-       WHERE response_datetime >= (SELECT max(response_date) FROM calls) - INTERVAL 7 DAY
+       WHERE response_datetime >= (SELECT max(response_date) FROM calls) - INTERVAL 30 DAY
        GROUP BY 1, 2""",
     d="lat lon avg_priority",
 )
@@ -1087,7 +1087,7 @@ _oracle(
     f"""WITH {_mined('slots')}
 ---
 SELECT array_to_string(a, ', ') AS antecedents, array_to_string(b, ', ') AS consequents,
-       * EXCLUDE (a, b) FROM mined WHERE lift >= 1.05e0""",
+       * EXCLUDE (a, b) FROM mined WHERE lift >= 1.2e0""",
     d=_RULES,
 )
 _oracle(
@@ -1417,13 +1417,6 @@ _oracle(
        has_amplified_sound FROM festivals""",
     i="event_id", t="start_date end_date",
 )
-_oracle(
-    "load_dim_event_first",
-    """SELECT row_number() OVER (ORDER BY start_date DESC, event_name) AS event_id, event_name,
-       'Festival' AS event_type, start_date, end_date, has_alcohol, has_amplified_sound
-       FROM festivals ORDER BY event_id LIMIT 200""",
-    i="event_id", t="start_date end_date",
-)
 _oracle("freshness",
         "SELECT count(*) AS db_count, max(response_datetime) AS last_load FROM calls",
         s="last_load")
@@ -1447,8 +1440,8 @@ SELECT 'extract_events', bool_or(coalesce(layer = 'raw' AND kind = 'event', fals
 _oracle(
     "incremental_new",
     """SELECT incident_number, response_datetime FROM calls
-       WHERE response_datetime > (SELECT max(response_datetime) FROM calls
-                                  WHERE response_date < DATE '2024-01-25')""",
+       WHERE coalesce(response_date >= DATE '2024-01-25', true)
+         AND incident_number NOT IN (SELECT incident_number FROM calls WHERE response_date < DATE '2024-01-25')""",
     s="response_datetime",
 )
 _oracle(

@@ -133,7 +133,7 @@ def test_slot_baskets_drop_hour_zero(spark):
         "final_problem_category string",
     )
     got = {r[0]: r[1] for r in mining.make_baskets(df, "slots").collect()}
-    assert got == {"b": ["cat_a very long category", "dow_Sat", "time_Night"]}
+    assert got == {"b": ["cat_a very long category name", "dow_Sat", "time_Night"]}
 
 
 def test_rule_filters_and_labels(spark, sample):

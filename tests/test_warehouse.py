@@ -35,13 +35,29 @@ def test_update_to_null_and_missing_columns(spark, rows_of):
 
 
 def test_incremental_rows(spark, ts, rows_of):
-    base = spark.createDataFrame([(ts("2024-01-02"),)], "response_datetime timestamp_ntz")
+    schema = "incident_number string, response_datetime timestamp_ntz"
+    base = spark.createDataFrame([("a", ts("2024-01-02")), ("n", None)], schema)
+    # late, of an equal time, without a time: whatever is not loaded yet is due
     new = spark.createDataFrame(
-        [(ts("2024-01-01"),), (ts("2024-01-02"),), (ts("2024-01-03"),)],
-        "response_datetime timestamp_ntz",
+        [("a", ts("2024-01-02")), ("b", ts("2024-01-01")), ("c", ts("2024-01-02")), ("d", None), ("n", None)],
+        schema,
     )
-    assert rows_of(warehouse.incremental_rows(new, base)) == [(ts("2024-01-03"),)]
-    assert warehouse.incremental_rows(new, base.limit(0)).count() == 3
+    keys = {r["incident_number"] for r in warehouse.incremental_rows(new, base).collect()}
+    assert keys == {"b", "c", "d"}
+    assert warehouse.incremental_rows(new, base.limit(0)).count() == 5
+    seen = warehouse.incremental_rows(new, base, since="2024-01-03").collect()
+    assert {r["incident_number"] for r in seen} == {"a", "b", "c", "d"}
+
+
+def test_upsert_shuffles_each_side_once(spark):
+    base = spark.createDataFrame([("a", 1, "old")], KV)
+    new = spark.createDataFrame([("a", 2, "new"), ("b", 3, "new")], KV)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = warehouse.upsert(base, new, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64MB")
+    assert plan.count("Exchange hashpartitioning") <= 2
 
 
 @pytest.mark.parametrize(
@@ -70,7 +86,7 @@ def test_fact_load_casts_cuts_and_checks_keys(spark):
     )
     geo = spark.createDataFrame([("1",)], "geo_id string")
     got = {r["incident_number"][:1]: r for r in warehouse.load_fact_calls(calls, geo).collect()}
-    assert len(got["n"]["incident_number"]) == 50
+    assert len(got["n"]["incident_number"]) == 60
     assert (got["n"]["response_hour"], got["n"]["geo_id"], got["n"]["latitude_centroid"]) == (
         7, "1", 30.5,
     )
@@ -79,6 +95,22 @@ def test_fact_load_casts_cuts_and_checks_keys(spark):
     assert list(got["n"].asDict()) == [f.name for f in schemas.FACT_CALLS]
 
 
+def test_long_keys_with_one_prefix_stay_apart(spark):
+    calls = spark.createDataFrame(
+        [("n" * 60 + c, "1" * 20 + c, "theft " * 40) for c in "ab"],
+        "incident_number string, geo_id string, initial_problem_category string",
+    )
+    geo = spark.createDataFrame([("1" * 20 + "a",), ("1" * 20,)], "geo_id string")
+    got = {r["incident_number"]: r for r in warehouse.load_fact_calls(calls, geo).collect()}
+    assert set(got) == {"n" * 60 + "a", "n" * 60 + "b"}
+    assert [got["n" * 60 + c]["geo_id"] for c in "ab"] == ["1" * 20 + "a", None]
+    assert got["n" * 60 + "a"]["initial_problem_category"] == "theft " * 40
+    cut = warehouse.load_fact_calls(calls, geo, limits={"initial_problem_category": 5}).head()
+    assert cut["initial_problem_category"] == "theft"
+    with pytest.raises(ValueError):
+        warehouse.load_fact_calls(calls, geo, limits={"geo_id": 20})
+
+
 def test_event_load(spark):
     events = spark.createDataFrame(
         [(7, "B", None), (5, None, True), (6, "A", False)],
@@ -86,9 +118,8 @@ def test_event_load(spark):
     )
     every = {r["event_id"]: r for r in warehouse.load_dim_event(events).collect()}
     assert set(every) == {5, 6, 7} and every[7]["has_alcohol"] is False
-    first = warehouse.load_dim_event(events, first=2).orderBy("event_id").collect()
-    assert [(r["event_id"], r["event_name"]) for r in first] == [(1, "Event_0"), (2, "A")]
-    assert first[0]["event_type"] == "Festival"
+    assert (every[5]["event_name"], every[6]["event_name"]) == ("Event_4", "A")
+    assert every[5]["event_type"] == "Festival"
 
 
 def test_partition_upsert_rewrites_only_what_it_touches(spark, tmp_path, rows_of):
