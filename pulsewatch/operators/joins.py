@@ -15,8 +15,10 @@ from pulsewatch.functions.geo import Grid, bounding_box, haversine_km
 from pulsewatch.operators.clean import keep_first
 from pulsewatch.session import at_most
 
-# Events up to this count are shipped to the calls; beyond it both sides shuffle.
-EVENT_BROADCAST_ROWS = 20_000
+# Event copies (day x cell) that are broadcast at most; about 100 bytes each.
+BROADCAST_COPIES = 200_000
+# Calls of one (day, cell) that one task takes before the cell is spread over sub-keys.
+SALT_ROWS = 100_000
 
 
 def enrich_geo(calls: DataFrame, geo: DataFrame) -> DataFrame:
@@ -73,19 +75,24 @@ def valid_events(events: DataFrame) -> DataFrame:
 
 
 def call_span(calls: DataFrame) -> Column:
-    """First and last call time as a one-row subquery."""
+    """First and last call time, read once and then used as values."""
     when = F.col("response_datetime")
-    return calls.agg(F.struct(F.min(when).alias("first"), F.max(when).alias("last"))).scalar()
+    row = calls.agg(F.min(when).cast("string"), F.max(when).cast("string")).head()
+    first, last = (F.lit(v).cast("timestamp_ntz") for v in row)
+    return F.struct(first.alias("first"), last.alias("last"))
 
 
 def events_in_range(
-    events: DataFrame, calls: DataFrame, end_inclusive_day: bool = False
+    events: DataFrame,
+    calls: DataFrame,
+    end_inclusive_day: bool = False,
+    span: Column | None = None,
 ) -> DataFrame:
-    """Events whose period overlaps the calls.
+    """Events whose period overlaps the calls (or ``span``, if it is known already).
 
     The end date counts as its midnight unless ``end_inclusive_day``.
     """
-    span = call_span(calls)
+    span = call_span(calls) if span is None else span
     end = F.col("end_date") + F.expr("INTERVAL 1 DAY" if end_inclusive_day else "INTERVAL 0 DAY")
     return events.where(
         (end.cast("timestamp_ntz") >= span["first"])
@@ -105,15 +112,29 @@ def _event_cells(events: DataFrame, grid: Grid) -> DataFrame:
     )
 
 
-def _salted(calls: DataFrame, copies: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
-    """Spread the calls of a key over sub-keys and repeat the other side for each.
+def _salted(
+    calls: DataFrame, copies: DataFrame, keys: list[str], salt_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Spread the calls of crowded keys over sub-keys and repeat the other side for each.
 
-    The merge hint keeps the planner from broadcasting the copies by an estimate
-    that does not know how far they were exploded.
+    A key gets a sub-key for every ``salt_rows`` calls; the other side is repeated only
+    where there are several. The merge hint keeps the planner from broadcasting the
+    copies by an estimate that does not know how far they were exploded.
     """
-    spread = calls.withColumn("_salt", F.pmod(F.xxhash64("incident_number"), F.lit(salts)))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
-    return spread, copies.withColumn("_salt", F.explode(every)).hint("merge")
+    crowded = (
+        calls.groupBy(*keys)
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > salt_rows)
+        .select(*keys, F.ceil(F.col("_n") / salt_rows).alias("_parts"))
+    )
+    parts = F.coalesce("_parts", F.lit(1).cast("long"))
+    spread = calls.join(crowded, keys, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64("incident_number"), parts)
+    )
+    every = copies.join(crowded, keys, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    )
+    return spread.drop("_parts"), every.drop("_parts").hint("merge")
 
 
 def pair_calls_with_events(
@@ -121,8 +142,9 @@ def pair_calls_with_events(
     events: DataFrame,
     radius_km: float,
     end_inclusive_day: bool,
-    few_events: bool,
-    salts: int = 32,
+    span: Column,
+    salt_rows: int = SALT_ROWS,
+    broadcast_rows: int = BROADCAST_COPIES,
 ) -> DataFrame:
     """All (call, event) pairs inside the period and the radius.
 
@@ -130,9 +152,9 @@ def pair_calls_with_events(
     it can reach. The two meet on equal keys, so no pair is tested or produced
     twice, and the exact time and distance conditions are checked on the match.
 
-    Few events: their copies are broadcast and calls never move. Many events: both
-    sides shuffle, calls of one (day, cell) are spread over ``salts`` sub-keys and
-    event copies repeated per sub-key, so a crowded place is not one task.
+    Up to ``broadcast_rows`` copies (those are counted, not the events) are broadcast and
+    calls never move. Beyond, both sides shuffle; calls of a crowded (day, cell) are
+    spread over sub-keys and event copies repeated for those, so it is not one task.
     """
     grid = Grid(radius_km)
     located = calls.na.drop(subset=["latitude_centroid", "longitude_centroid"]).where(
@@ -147,7 +169,6 @@ def pair_calls_with_events(
         }
     )
     # an event is copied only to days that have calls, however long it lasts
-    span = call_span(calls)
     clipped = events.withColumns(
         {
             "_from": F.greatest("start_date", F.to_date(span["first"])),
@@ -156,10 +177,10 @@ def pair_calls_with_events(
     )
     copies = _event_cells(clipped, grid).drop("_from", "_to")
     keys = ["_day", "_band", "_cell"]
-    if few_events:
+    if at_most(copies, broadcast_rows):
         copies = F.broadcast(copies)
     else:
-        keyed, copies = _salted(keyed, copies, salts)
+        keyed, copies = _salted(keyed, copies, keys, salt_rows)
         keys.append("_salt")
 
     met = keyed.join(copies, keys).withColumn(
@@ -183,13 +204,13 @@ def festival_incidents(
     events: DataFrame,
     radius_km: float = 1.5,
     end_inclusive_day: bool = False,
-    salts: int = 32,
-    broadcast_rows: int = EVENT_BROADCAST_ROWS,
+    salt_rows: int = SALT_ROWS,
+    broadcast_rows: int = BROADCAST_COPIES,
 ) -> DataFrame:
     """Fact of incidents that happened during an event and near it."""
     kept = ["event_id", "event_name", "start_date", "end_date", "event_lat", "event_lon"]
-    few_events = at_most(events, broadcast_rows)
-    prepared = events_in_range(valid_events(events), calls, end_inclusive_day)
+    span = call_span(calls)
+    prepared = events_in_range(valid_events(events), calls, end_inclusive_day, span)
     flags = [c for c in ("has_alcohol", "has_amplified_sound") if c in prepared.columns]
     prepared = schemas.with_missing(
         prepared.select(*kept, *flags),
@@ -197,7 +218,7 @@ def festival_incidents(
     ).na.fill(False, ["has_alcohol", "has_amplified_sound"])
     clash = [c for c in kept + flags if c in calls.columns]
     pairs = pair_calls_with_events(
-        calls.drop(*clash), prepared, radius_km, end_inclusive_day, few_events, salts
+        calls.drop(*clash), prepared, radius_km, end_inclusive_day, span, salt_rows, broadcast_rows
     )
     named = pairs.withColumnsRenamed(
         {
@@ -233,10 +254,13 @@ def nearby_incidents(calls: DataFrame, lat: float, lon: float, radius_km: float)
 
 
 def nearby_batch(
-    calls: DataFrame, points: DataFrame, radius_km: float, salts: int = 32,
-    broadcast_rows: int = EVENT_BROADCAST_ROWS,
+    calls: DataFrame, points: DataFrame, radius_km: float, salt_rows: int = SALT_ROWS,
+    broadcast_rows: int = BROADCAST_COPIES,
 ) -> DataFrame:
-    """Radius lookup for many points (point_id, lat, lon) in one grid join."""
+    """Radius lookup for many points (point_id, lat, lon) in one grid join.
+
+    All matches are the result, so it grows with the calls around each point.
+    """
     grid = Grid(radius_km)
     located = calls.na.drop(subset=["latitude_centroid", "longitude_centroid"])
     band = grid.band(F.col("latitude_centroid"))
@@ -248,10 +272,10 @@ def nearby_batch(
         "_cell", F.explode(grid.cells_around(F.col("lat"), F.col("lon"), F.col("_band")))
     )
     keys = ["_band", "_cell"]
-    if at_most(points, broadcast_rows):
+    if at_most(copies, broadcast_rows):
         copies = F.broadcast(copies)
     else:
-        keyed, copies = _salted(keyed, copies, salts)
+        keyed, copies = _salted(keyed, copies, keys, salt_rows)
         keys.append("_salt")
     distance = haversine_km(
         F.col("latitude_centroid"), F.col("longitude_centroid"), F.col("lat"), F.col("lon")

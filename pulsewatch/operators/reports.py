@@ -31,17 +31,25 @@ def daily_report(
     run_id: str,
     generated_at: str,
     extracted: dict[str, int] | None = None,
-    rules: int = 0,
-    zones: int = 0,
-    forecast_avg: float = 0.0,
+    rules: int | None = None,
+    zones: int | None = None,
+    forecast_avg: float | None = None,
 ) -> DataFrame:
-    """One nested report row, ready for the JSON sink."""
+    """One nested report row, ready for the JSON sink.
+
+    A model whose result is None did not run: its status is SKIPPED and its number null.
+    """
     extracted = extracted or {}
     counts = risk.groupBy("risk_category").agg(F.count("*").alias("n"))
     distribution = counts.agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("risk_category", "n"))))
     ).scalar()
-    done = F.lit("COMPLETED").alias("status")
+
+    def model(value: Column, name: str) -> Column:
+        status = F.when(value.isNull(), "SKIPPED").otherwise("COMPLETED")
+        return F.struct(status.alias("status"), value.alias(name))
+
+    mean_calls = F.bround(F.lit(forecast_avg).cast("double"), 1)
     when = F.lit(generated_at).cast("timestamp_ntz")
     return stats.select(
         F.struct(
@@ -61,12 +69,10 @@ def daily_report(
         ).alias("data_processing"),
         F.struct(*stats.columns).alias("database_stats"),
         F.struct(
-            F.struct(done, F.lit(rules).alias("rules_discovered")).alias("association_rules"),
-            F.struct(done, F.lit(zones).alias("zones_clustered")).alias("clustering"),
-            F.struct(
-                done, F.bround(F.lit(float(forecast_avg)), 1).alias("avg_predicted_calls")
-            ).alias("forecasting"),
-            F.struct(done, distribution.alias("distribution")).alias("risk_scoring"),
+            model(F.lit(rules).cast("int"), "rules_discovered").alias("association_rules"),
+            model(F.lit(zones).cast("int"), "zones_clustered").alias("clustering"),
+            model(mean_calls, "avg_predicted_calls").alias("forecasting"),
+            model(distribution, "distribution").alias("risk_scoring"),
         ).alias("ml_models"),
     )
 

@@ -7,10 +7,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.operators import clean, joins, reports, risk, warehouse
+from pulsewatch.operators import (
+    clean,
+    forecast,
+    joins,
+    mining,
+    reports,
+    risk,
+    series,
+    warehouse,
+    zones,
+)
+from pulsewatch.session import materialize
 from pulsewatch.sources import readers, sinks
 
 PARTITIONS = ["response_year", "response_month"]
+# What a model needs at least to run.
+LEAST_CALLS, LEAST_PLACES, LEAST_DAYS = 100, 10, 60
 
 
 @dataclass
@@ -55,12 +68,14 @@ def run_daily(spark: SparkSession, paths: Paths, run_date: str) -> None:
     """Load the dimensions and calls, rebuild fact, scores and heatmap, write the report."""
     geo = clean.build_dim_geo(readers.read_block_groups(spark, paths.block_groups))
     sinks.write_table(geo, paths.table("dim_geo"))
-    events = clean.clean_events(readers.read_events(spark, paths.events))
+    raw_events = readers.read_events(spark, paths.events)
+    events = clean.clean_events(raw_events)
     sinks.write_table(events, paths.table("dim_event"))
     dim_geo = spark.read.parquet(paths.table("dim_geo"))
     dim_event = spark.read.parquet(paths.table("dim_event"))
 
-    load_calls(readers.read_calls(spark, paths.calls), dim_geo, paths.table("fact_calls"))
+    raw_calls = readers.read_calls(spark, paths.calls)
+    load_calls(raw_calls, dim_geo, paths.table("fact_calls"))
     calls = spark.read.parquet(paths.table("fact_calls"))
 
     sinks.write_table(
@@ -74,9 +89,42 @@ def run_daily(spark: SparkSession, paths: Paths, run_date: str) -> None:
         F.col("run_date") == F.lit(run_date).cast("date")
     )
     sinks.write_table(risk.zone_heatmap(calls), paths.table("zone_clusters"))
+    rules, zone_count, forecast_avg = run_models(calls, paths)
 
     stats = reports.db_stats(calls, dim_event, scores)
-    report = reports.daily_report(stats, scores, f"daily-{run_date}", f"{run_date} 00:00:00")
+    extracted = {"calls": raw_calls.count(), "events": raw_events.count()}
+    report = reports.daily_report(
+        stats, scores, f"daily-{run_date}", f"{run_date} 00:00:00", extracted, rules, zone_count, forecast_avg
+    )
     sinks.write_report(report, paths.table(f"reports/{run_date}"))
+    metrics = calls.sparkSession.createDataFrame(
+        [(extracted["calls"], rules or 0, zone_count or 0)], "records_processed long, rules long, clusters long"
+    ).withColumn("high_risk", scores.where(F.col("risk_category") == "HIGH").agg(F.count("*")).scalar())
+    sinks.write_table(reports.pipeline_alerts(metrics), paths.table(f"alerts/{run_date}"))
     log = reports.run_log_row(calls, "daily", "SUCCESS", run_date)
     sinks.write_table(log, paths.table("pipeline_runs"), mode="append")
+
+
+def run_models(calls: DataFrame, paths: Paths) -> tuple[int | None, int | None, float | None]:
+    """Rules, risk levels of places and the outlook for a week, each if there are data for it.
+
+    Writes a table for each model that runs and returns its number for the report.
+    """
+    rule_count = zone_count = forecast_avg = None
+    if zones.enough_rows(calls, LEAST_CALLS):
+        itemsets = materialize(mining.frequent_itemsets(mining.count_baskets(calls, "slots"), 0.01, None))
+        rules = mining.rules_as_text(mining.association_rules(itemsets, "lift", 1.2))
+        sinks.write_table(rules, paths.table("association_rules"))
+        rule_count = calls.sparkSession.read.parquet(paths.table("association_rules")).count()
+    places = materialize(risk.location_features(calls, with_response=False))
+    if zones.has_places(calls) and zones.enough_rows(places, LEAST_PLACES):
+        sinks.write_table(zones.cluster_levels(places), paths.table("zone_levels"))
+        zone_count = calls.sparkSession.read.parquet(paths.table("zone_levels")).count()
+    daily = materialize(series.daily_calls(calls))
+    if zones.enough_rows(daily, LEAST_DAYS):
+        features = series.daily_features(daily)
+        fitted = forecast.fit_models(features, which=("ridge",), columns=forecast.FEATURES)
+        sinks.write_table(series.outlook_7d(daily, fitted[0].model), paths.table("forecast_7d"))
+        week = calls.sparkSession.read.parquet(paths.table("forecast_7d"))
+        forecast_avg = week.agg(F.avg("predicted_calls")).first()[0]
+    return rule_count, zone_count, forecast_avg

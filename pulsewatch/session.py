@@ -1,8 +1,11 @@
-"""Session settings, checkpointing and row-count gates."""
+"""Session settings, shared intermediates and row-count gates."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,27 +31,31 @@ def get_spark(app_name: str = "pulsewatch", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; make one only on a local master."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pulsewatch-ckpt-"))
-    else:
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names.
+
+    Where it is unset, a local master gets a folder that goes when the process ends.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    folder = tempfile.mkdtemp(prefix="pulsewatch-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write an intermediate that several branches read, so it is computed once.
 
-    A reliable checkpoint survives the loss of executors, unlike a cache.
+    A Parquet table in the shared folder survives the loss of executors, unlike a cache,
+    and is read by column.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(df.sparkSession)}/intermediate-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def at_most(df: DataFrame, rows: int) -> bool:

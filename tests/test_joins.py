@@ -77,7 +77,7 @@ def test_grid_join_equals_nested_loop(spark, centre, spread, broadcast_rows, who
     events += [(99, "no place", dt.date(2024, 1, 1), dt.date(2024, 1, 9), None, 1.0, True)]
     got = joins.festival_incidents(
         spark.createDataFrame(calls, CALL), spark.createDataFrame(events, EVENT),
-        radius_km=1.5, end_inclusive_day=whole_day, broadcast_rows=broadcast_rows, salts=3,
+        radius_km=1.5, end_inclusive_day=whole_day, broadcast_rows=broadcast_rows, salt_rows=3,
     ).select("incident_number", "event_id").collect()
     pairs = [(r[0], r[1]) for r in got]
     assert len(pairs) == len(set(pairs))
@@ -128,12 +128,12 @@ def test_crowded_cell_is_spread_over_salts(spark):
     calls = spark.range(3000).select(
         F.col("id").cast("string").alias("incident_number"),
         F.lit(dt.datetime(2024, 1, 2, 5)).cast("timestamp_ntz").alias("response_datetime"),
-        F.lit(30.0).alias("latitude_centroid"),
-        F.lit(-97.0).alias("longitude_centroid"),
+        (F.col("id") * 0.0 + 30.0).alias("latitude_centroid"),
+        (F.col("id") * 0.0 - 97.0).alias("longitude_centroid"),
     )
     event = [(1, "e", dt.date(2024, 1, 1), dt.date(2024, 1, 3), 30.0, -97.0, True)]
     fact = joins.festival_incidents(
-        calls, spark.createDataFrame(event, EVENT), broadcast_rows=0, salts=8
+        calls, spark.createDataFrame(event, EVENT), broadcast_rows=0, salt_rows=8
     )
     assert fact.count() == 3000
     plan = fact._jdf.queryExecution().toString()
@@ -150,7 +150,7 @@ def test_radius_lookup_equals_brute_force(spark, point):
     assert [r["distance_m"] for r in got] == sorted(r["distance_m"] for r in got)
     points = spark.createDataFrame([("p", *point)], "point_id string, lat double, lon double")
     for rows in (10, 0):
-        batch = joins.nearby_batch(df, points, 2.0, salts=3, broadcast_rows=rows)
+        batch = joins.nearby_batch(df, points, 2.0, salt_rows=3, broadcast_rows=rows)
         assert {r["incident_number"] for r in batch.collect()} == expected
 
 

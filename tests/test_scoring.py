@@ -237,6 +237,7 @@ def test_daily_report_is_one_nested_document(spark):
     models = document["ml_models"]
     assert models["risk_scoring"]["distribution"] == {"HIGH": 1, "LOW": 2}
     assert models["forecasting"]["avg_predicted_calls"] == 12.2
+    assert (models["association_rules"]["status"], models["clustering"]["status"]) == ("COMPLETED", "SKIPPED")
 
 
 def test_quality_checks(spark):

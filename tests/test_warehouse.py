@@ -207,7 +207,38 @@ def test_daily_pipeline_end_to_end(spark, tmp_path):
     assert (score["incident_count"], score["risk_score"]) == (5, 5 * 0.5 + 30 + 10)
     assert spark.read.parquet(paths.table("pipeline_runs")).count() == 2
     report = spark.read.text(paths.table("reports/2024-01-05")).first()[0]
-    assert json.loads(report)["database_stats"]["total_911_calls"] == 5
+    document = json.loads(report)
+    assert document["database_stats"]["total_911_calls"] == 5
+    assert document["data_processing"]["call_records"] == 5
+    assert document["data_processing"]["event_records"] == 1
+    models = document["ml_models"]
+    assert models["association_rules"] == {"status": "SKIPPED"}
+    assert models["clustering"]["status"] == models["forecasting"]["status"] == "SKIPPED"
+    (alert,) = spark.read.parquet(paths.table("alerts/2024-01-05")).where("type = 'LOW_VOLUME'").collect()
+    assert "5" in alert["message"]
+
+
+def test_models_of_the_daily_run(spark, tmp_path, ts):
+    start = ts("2024-01-01T05:00:00")
+    rows = [
+        (
+            str(i), start + dt.timedelta(days=i % 90, hours=i % 7), (start + dt.timedelta(days=i % 90)).date(), 5 + i % 7,
+            "Mon", "Priority 1", i % 3, "Theft" if i % 7 < 3 else "Fire", 30.0 + (i % 15) / 100, -97.0 - (i % 15) / 100, 1.0,
+        )
+        for i in range(400)
+    ]
+    calls = spark.createDataFrame(
+        rows,
+        "incident_number string, response_datetime timestamp_ntz, response_date date, response_hour int, "
+        "response_day_of_week string, priority_level string, priority_numeric int, final_problem_category string, "
+        "latitude_centroid double, longitude_centroid double, response_time double",
+    )
+    paths = pipeline.Paths("", "", "", str(tmp_path))
+    rules, places, forecast = pipeline.run_models(calls, paths)
+    assert rules == spark.read.parquet(paths.table("association_rules")).count() > 0
+    assert places == spark.read.parquet(paths.table("zone_levels")).count() == 15
+    week = [r["predicted_calls"] for r in spark.read.parquet(paths.table("forecast_7d")).collect()]
+    assert len(week) == 7 and forecast == sum(week) / 7
 
 
 def test_sinks_round_trip(spark, tmp_path, ts, rows_of):
