@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import widened
+from pulsewatch.llm.common import bound_batches, widened
 
 WINDOW = 13
 #: Bytes of items in one automaton (some 30 bytes of memory for each byte of each window); what
@@ -98,10 +98,14 @@ def spans_in(text: str, ranges: list[tuple[int, int]]) -> list[dict[str, int]]:
 
 
 _SCHEMA = "n_words long, ranges array<struct<first:long,last:long>>, items array<string>"
+_CONCLUDED = ", n_hit long, items_sha256 string, spans array<struct<start:long,end:long>>"
 
 
-def _pass_over(shared, window: int, keep: list[str]):
-    """One automaton over the batches; what earlier automata found is in ranges and items."""
+def _pass_over(shared, window: int, keep: list[str], last: bool):
+    """One automaton over the batches; what earlier automata found is in ranges and items.
+
+    The last one adds what follows from all that was found.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(shared.value, window)
@@ -121,22 +125,21 @@ def _pass_over(shared, window: int, keep: list[str]):
                 items.append(sorted(found | set(had or [])))
             columns = [batch.column(c) for c in keep]
             columns += [pa.array(n_words, pa.int64()), pa.array(ranges, kind), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_words", "ranges", "items"])
+            names = [*keep, "n_words", "ranges", "items"]
+            if last:
+                columns += _concluded(batch.column("text"), ranges, items)
+                names += ["n_hit", "items_sha256", "spans"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _concluded(texts: pa.Array, ranges: list, items: list[list[str]]) -> list[pa.Array]:
+    spans = [spans_in(t.as_py(), [(r["first"], r["last"]) for r in rs]) if rs else [] for t, rs in zip(texts, ranges, strict=True)]
+    hit = [sum(r["last"] - r["first"] + 1 for r in rs) for rs in ranges]
+    sha = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    for batch in batches:
-        texts, ranges = batch.column("text"), batch.column("ranges").to_pylist()
-        spans = [spans_in(t.as_py(), [(r["first"], r["last"]) for r in rs]) if rs else [] for t, rs in zip(texts, ranges, strict=True)]
-        hit = [sum(r["last"] - r["first"] + 1 for r in rs) for rs in ranges]
-        sha = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in batch.column("items").to_pylist()]
-        names = [n for n in batch.schema.names if n != "ranges"]
-        columns = [batch.column(n) for n in names]
-        columns += [pa.array(hit, pa.int64()), pa.array(sha, pa.string()), pa.array(spans, kind)]
-        yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_hit", "items_sha256", "spans"])
+    return [pa.array(hit, pa.int64()), pa.array(sha, pa.string()), pa.array(spans, kind)]
 
 
 def find_overlap(
@@ -149,6 +152,7 @@ def find_overlap(
     words are one word in twenty or more. The documents are mapped in place: no shuffle.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     items = (
         benchmark.where("text is not null")
         .select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
@@ -167,12 +171,12 @@ def find_overlap(
     for k in range(shards):
         rows = items.where(part == k).collect()  # at most about automaton_bytes of text
         shared = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in rows])
-        out = out.mapInArrow(_pass_over(shared, window, ["doc_id", "text"]), widened(kept, _SCHEMA))
-    schema = widened(
-        kept, "n_words long, items array<string>, n_hit long, items_sha256 string, spans array<struct<start:long,end:long>>"
-    )
+        last = k == shards - 1
+        out = out.mapInArrow(
+            _pass_over(shared, window, ["doc_id", "text"], last), widened(kept, _SCHEMA + _CONCLUDED * last)
+        )
     return (
-        out.mapInArrow(_finish, schema)
+        out.drop("ranges")
         .withColumn("n_items", F.size("items").cast("long"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
     )

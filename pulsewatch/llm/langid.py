@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsewatch.llm.common import bound_batches
+
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Labelled documents for each language that the fit reads, on average over hashed draws.
 SAMPLE_DOCS = 300
@@ -178,6 +180,7 @@ def _expect(shared, vocabulary):
 def fit(labelled: DataFrame, vocabulary: str = VOCABULARY, sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS) -> Model:
     """Fit on ``labelled`` (text, lang and doc_id, of which a hash draws the sample)."""
     spark = labelled.sparkSession
+    bound_batches(spark)
     known = labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages, pieces = sorted(sizes), pieces_of(vocabulary)
@@ -271,6 +274,7 @@ def predictor(model: Model, spark) -> Column:
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` in a struct ``row``, with lang_pred and score from the text alone."""
+    bound_batches(docs.sparkSession)
     predict = predictor(model, docs.sparkSession)
     return (
         docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), predict("text").alias("p"))

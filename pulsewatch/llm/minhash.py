@@ -27,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import stored
+from pulsewatch.llm.common import bound_batches, stored
 from pulsewatch.llm.components import components
 
 SHINGLE = 3
 BANDS, ROWS = 24, 4
 NUMER, DENOM = 85, 100
-SEGMENT = 1 << 20  # bytes hashed at once
+SEGMENT = 1 << 18  # bytes hashed at once
 
 _U = np.uint64
 _BASE = 0x5851F42D4C957F2D
@@ -217,6 +217,7 @@ def near_duplicates(
     Documents link if denom * |intersection| >= numer * |union|; the smallest doc_id that links
     reach names the component and stays.
     """
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", "text")
     sketches = stored(

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import widened
+from pulsewatch.llm.common import bound_batches, widened
 
 BALLOT = 3  # containers that a page votes for
 RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object"}
@@ -268,6 +268,7 @@ def host_of(url: str = "url"):
 
 def host_paths(pages: DataFrame) -> DataFrame:
     """(host, path): the path with most votes on each host, ties by name."""
+    bound_batches(pages.sparkSession)
     ballots = pages.select(host_of().alias("host"), "html").where("host is not null")
     votes = ballots.mapInArrow(_vote, "host string, path string, vote long")
     summed = votes.groupBy("host", "path").agg(F.sum("vote").alias("vote"))

@@ -26,7 +26,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import stored
+from pulsewatch.llm.common import bound_batches, stored
 
 STATISTICS = (
     "words", "word_length", "word_deviation", "longest", "distinct", "top_word", "repeats", "capitals", "digits",
@@ -97,6 +97,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def described(docs: DataFrame) -> DataFrame:
     """(doc_id, x): the statistics of each text."""
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return stored(docs.select("doc_id", "text").mapInArrow(_describe, f"doc_id {kind}, x array<double>"), "statistics")
 

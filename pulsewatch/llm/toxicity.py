@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import stored
+from pulsewatch.llm.common import bound_batches, stored
 
 SAMPLE_DOCS = 20_000
 PARTS = 12  # partitions of the sample, and of each gradient
@@ -152,6 +152,7 @@ class Model:
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> Model:
     """Fit on (doc_id, text, y)."""
     spark = labelled.sparkSession
+    bound_batches(spark)
     known = labelled.where("y in (0, 1)").select("doc_id", "text", F.col("y").cast("int").alias("y"))
     size = known.agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("share")).head()
     share = size["share"] or 0.0
@@ -226,6 +227,7 @@ def _score(shared, locate: bool):
 
 def scored(docs: DataFrame, model: Model, locate: bool = True) -> DataFrame:
     """(doc_id, score, offending): the sentences at or above OFFENDING, in code points."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.bias))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, score double"
