@@ -61,6 +61,17 @@ def flag_festival(calls: DataFrame, fact: DataFrame) -> DataFrame:
     ).drop("_hit")
 
 
+def flag_event_context(calls: DataFrame, fact: DataFrame) -> DataFrame:
+    """Add is_festival_related and event_has_alcohol (any linked event serves it; NULL without one)."""
+    linked = fact.groupBy("incident_number").agg(
+        F.bool_or(F.coalesce("event_has_alcohol", F.lit(False))).alias("event_has_alcohol")
+    )
+    joined = calls.drop("event_has_alcohol").join(
+        linked.withColumn("_hit", F.lit(True)), "incident_number", "left"
+    )
+    return joined.withColumn("is_festival_related", F.coalesce("_hit", F.lit(False))).drop("_hit")
+
+
 def nullify_missing_fk(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Set ``key`` to NULL where the dimension has no such row."""
     known = dim.select(key).distinct().withColumn("_known", F.lit(True))

@@ -585,6 +585,12 @@ def baskets(t: Tables) -> DataFrame:
     return mining.make_baskets(t.calls_weather)
 
 
+@query
+def baskets_festival(t: Tables) -> DataFrame:
+    """Baskets with the items of the event context as well."""
+    return mining.make_baskets(joins.flag_event_context(t.calls_weather, t.fact))
+
+
 @query
 def baskets_dag(t: Tables) -> DataFrame:
     return mining.make_baskets(t.calls, variant="slots")
@@ -680,7 +686,7 @@ def knn_features(t: Tables) -> DataFrame:
 
 
 def _knn_split(t: Tables) -> tuple[DataFrame, DataFrame, list[str]]:
-    rows, columns = knn.knn_features(t.enriched)
+    rows, columns = knn.knn_features(t.calls_weather)
     split = materialize(sampling.stratified_split(rows, "incident_category", "incident_number"))
     return split.where("is_train"), split.where("NOT is_train"), columns
 

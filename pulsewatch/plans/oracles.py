@@ -1037,6 +1037,15 @@ _oracle("mannwhitney_response", _ranksum("calls", "priority_numeric <= 1", "resp
 # ---- mining ----------------------------------------------------------------------------------
 
 _oracle("baskets", "SELECT incident_number, array_to_string(items, '|') AS items FROM full_baskets")
+_oracle(
+    "baskets_festival",
+    """SELECT b.incident_number, array_to_string(list_sort(b.items
+           || CASE WHEN f.incident_number IS NOT NULL THEN ['Festival_Related'] ELSE [] END
+           || CASE WHEN f.alcohol THEN ['Alcohol_Event'] ELSE [] END), '|') AS items
+       FROM full_baskets b LEFT JOIN (
+           SELECT incident_number, bool_or(coalesce(event_has_alcohol, false)) AS alcohol FROM fact GROUP BY incident_number
+       ) f ON f.incident_number = b.incident_number""",
+)
 _oracle("baskets_dag", "SELECT incident_number, array_to_string(items, '|') AS items FROM slots")
 
 

@@ -50,5 +50,10 @@ def test_other_queries_return_rows(spark, small, name):
     assert driver.queries()[name](spark, small).count() > 0
 
 
+def test_every_model_of_the_summary_succeeds(spark, small):
+    rows = driver.queries()["model_summary"](spark, small).collect()
+    assert {r["status"] for r in rows} == {"SUCCESS"} and len({r["model"] for r in rows}) == 5
+
+
 def test_entry(spark):
     assert "risk_score" in driver.entry(spark).columns
