@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import bound_batches, widened
+from pulsewatch.llm.common import bound_batches, stored, widened
 
 BALLOT = 3  # containers that a page votes for
 RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object"}
@@ -280,6 +280,8 @@ def extracted(pages: DataFrame) -> DataFrame:
     """``row`` (all columns but html), text and the path it was read by, for every page."""
     keep = [c for c in pages.columns if c != "html"]
     rows = pages.select(F.struct(*[F.col(c) for c in keep]).alias("row"), host_of().alias("host"), "html")
-    placed = rows.join(host_paths(pages), "host", "left").select("row", "html", "path")
+    # written first, so that its size is known: a small one is broadcast and no page moves
+    winners = stored(host_paths(pages), "host-paths")
+    placed = rows.join(winners, "host", "left").select("row", "html", "path")
     schema = widened([placed.schema["row"]], "text string, path string")
     return placed.mapInArrow(_extract, schema)
