@@ -254,9 +254,7 @@ def festival_incidents_day(t: Tables) -> DataFrame:
 
 @query
 def events_in_range(t: Tables) -> DataFrame:
-    """Events against the calls of the last ten days, so some fall outside."""
-    late = t.calls.where(F.col("response_date") >= F.lit("2024-01-20").cast("date"))
-    return joins.events_in_range(t.festivals, late).select("event_id", "start_date", "end_date")
+    return joins.events_in_range(t.festivals, t.calls).select("event_id", "start_date", "end_date")
 
 
 @query

@@ -610,8 +610,7 @@ _oracle(
 _oracle(
     "events_in_range",
     """SELECT event_id, start_date, end_date FROM festivals
-       WHERE CAST(end_date AS TIMESTAMP) >= (SELECT min(response_datetime) FROM calls
-                                             WHERE response_date >= DATE '2024-01-20')
+       WHERE CAST(end_date AS TIMESTAMP) >= (SELECT min(response_datetime) FROM calls)
          AND CAST(start_date AS TIMESTAMP) <= (SELECT max(response_datetime) FROM calls)""",
     i="event_id", t="start_date end_date",
 )
