@@ -7,7 +7,9 @@ path, or without a host, falls back on its own best container.
 
 Left out everywhere: menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments, told by tag, role, class or id. A header inside the container gives
-its headings.
+its headings. What only a class or id tells is decided when the page has been read: a name of an
+article ("content has-sidebar") or of a state ("no-sidebar", "ad-free") leaves nothing out, a part
+that outweighs all that remains is taken for a wrapper, and if nothing remains the largest is kept.
 
 Edge cases: null or empty html gives an empty text; cut-off pages are read to their end; repeated
 rows each give a row; pages of one host are never gathered in one task, only its votes are summed.
@@ -50,6 +52,10 @@ OUT_WORDS = {
     "recommended", "recommendations", "form", "search", "pagination", "pager", "hidden", "widget", "toolbar", "skip",
 }
 HEADER_WORDS = {"header", "masthead"}
+#: With one of these a name tells a state of the element ("no-sidebar"), not what it is.
+STATE_WORDS = {"has", "no", "non", "not", "with", "without", "free"}
+#: Reader comments may outweigh the article.
+TALK_WORDS = {"comment", "comments", "disqus", "replies", "respond"}
 ARTICLE_WORDS = {"article", "entry", "post", "story", "content", "main", "body", "text"}
 #: Text of blocks with these tags counts in full, other text (bare containers, cells) in part.
 PROSE = {"p", "pre", "blockquote", "li", "dd", *HEADINGS}
@@ -71,6 +77,8 @@ class Element:
     path: str
     out: bool  # belongs to what is left out
     header: bool  # inside a header: only headings count
+    region: int  # innermost part that its name would leave out, 0 for none
+    heading_region: int  # the same for headings
     containers: tuple[int, ...]
     is_block: bool
     article: bool  # inside an article or the main part
@@ -82,6 +90,17 @@ class Block:
     tag: str
     text: str
     linked: int
+    region: int = 0
+
+
+@dataclass
+class Region:
+    """A part of the page that its class or id would leave out."""
+
+    parent: int
+    named: bool  # a whole name says so, not a word within one
+    talk: bool
+    article: bool = False  # an article, a main part or a main heading is in it
 
 
 @dataclass
@@ -94,10 +113,45 @@ def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): (v or "").strip("\"'") for k, v in _ATTR.findall(text)} if text else {}
 
 
+def prose(block: Block) -> float:
+    """Plain text of a block, that of prose in full."""
+    return max(0, len(block.text) - block.linked) * (1.0 if block.tag in PROSE else 0.3)
+
+
+def _lifted(blocks: list[Block], regions: list[Region]) -> list[Block]:
+    """The blocks without those of regions that are left out."""
+    if len(regions) == 1:
+        return blocks
+    held = [0.0] * len(regions)  # without reader comments and the like inside
+    whole = [0.0] * len(regions)
+    for b in blocks:
+        at, w, counts = b.region, prose(b), True
+        if not at:
+            held[0] += w
+        while at:
+            whole[at] += w
+            held[at] += w if counts else 0.0
+            counts = counts and not regions[at].named
+            at = regions[at].parent
+    kept = {0}
+    for i, r in enumerate(regions[1:], 1):
+        # a parent comes before what is in it
+        wrapper = not r.named or (r.article and not r.talk)
+        if r.parent in kept and wrapper and held[i] > held[0]:
+            kept.add(i)
+    while not any(b.region in kept and prose(b) for b in blocks):
+        rest = [i for i in range(1, len(regions)) if i not in kept and regions[i].parent in kept and whole[i]]
+        if not rest:
+            break
+        kept.add(max(rest, key=lambda i: (not regions[i].talk, whole[i], -i)))
+    return [b for b in blocks if b.region in kept]
+
+
 def parse(html: str) -> Page:
     """Text blocks in page order, each with the containers around it; what is left out is not in it."""
     page = Page()
-    stack = [Element("", "", False, False, (), True, False)]
+    regions = [Region(0, False, False)]
+    stack = [Element("", "", False, False, 0, 0, (), True, False)]
     open_text: list[str] = []
     owner = stack[0]
     linked = 0
@@ -109,7 +163,8 @@ def parse(html: str) -> Page:
             text = "".join(open_text)
             text = " ".join((entities.unescape(text) if "&" in text else text).split())
             if text:
-                page.blocks.append(Block(owner.containers, owner.tag, text, linked))
+                region = owner.heading_region if owner.tag in HEADINGS else owner.region
+                page.blocks.append(Block(owner.containers, owner.tag, text, linked, region))
             open_text.clear()
         linked = 0
 
@@ -176,17 +231,35 @@ def parse(html: str) -> Page:
                     break
         own = _attributes(attributes)
         top = stack[-1]
-        labels = f"{own.get('class', '')} {own.get('id', '')}"
-        words = {w.lower() for w in _WORD.findall(labels)} if labels != " " else set()
         out = top.out or tag in OUT_TAGS or own.get("role", "").lower() in OUT_ROLES or "hidden" in own
-        # the page itself is never left out for its class
-        out = out or own.get("aria-hidden", "") == "true" or (tag not in ("html", "body") and bool(words & OUT_WORDS))
+        out = out or own.get("aria-hidden", "") == "true"
         article = top.article or tag in ("article", "main")
-        header = top.header
-        if tag == "header" or own.get("role", "").lower() == "banner" or (tag not in HEADINGS and words & HEADER_WORDS):
+        header, region, heading_region = top.header, top.region, top.heading_region
+        names = [{w.lower() for w in _WORD.findall(n)} for n in f"{own.get('class', '')} {own.get('id', '')}".split()]
+        names = [n for n in names if n and n.isdisjoint(STATE_WORDS)]
+        words = set().union(*names)
+        named = any(n <= OUT_WORDS for n in names)
+        # the page itself is never left out for its class, nor is what another name says to be an article
+        proper = tag in ("html", "body") or (
+            not named and (tag in ("article", "main") or any(n & ARTICLE_WORDS and n.isdisjoint(OUT_WORDS | HEADER_WORDS) for n in names))
+        )
+        if tag in ("article", "main", "h1"):
+            at_region = region
+            while at_region:
+                regions[at_region].article = True
+                at_region = regions[at_region].parent
+        if not proper and words & OUT_WORDS:
+            regions.append(Region(region, named, bool(words & TALK_WORDS), tag in ("article", "main")))
+            region = heading_region = len(regions) - 1
+        if tag == "header" or own.get("role", "").lower() == "banner":
             # that of an article gives its headings, that of a page nothing
             header = tag not in ("html", "body")
             out = out or (header and not article and not words & ARTICLE_WORDS)
+        elif not proper and tag not in HEADINGS and words & HEADER_WORDS:
+            regions.append(Region(region, False, False))
+            region = len(regions) - 1
+            if not article and not words & ARTICLE_WORDS:
+                heading_region = region
         containers, path = top.containers, top.path
         if tag in CONTAINERS:
             classes = sorted({_NUMBER.sub("#", c) for c in own.get("class", "").split()})
@@ -195,14 +268,15 @@ def parse(html: str) -> Page:
             page.paths.append(path)
         if tag == "a":
             links += 1
-        stack.append(Element(tag, path, out, header, containers, tag in BLOCK, article))
+        stack.append(Element(tag, path, out, header, region, heading_region, containers, tag in BLOCK, article))
     flush()
+    page.blocks = _lifted(page.blocks, regions)
     return page
 
 
 def scores(page: Page) -> dict[str, float]:
     """Path to score: share of the plain text, more for an article, with the title, and if deeper."""
-    plain = [max(0, len(b.text) - b.linked) * (1.0 if b.tag in PROSE else 0.3) for b in page.blocks]
+    plain = [prose(b) for b in page.blocks]
     total = sum(plain)
     if not total:
         return {}

@@ -53,6 +53,34 @@ def test_parsing(html, text):
     assert got == text
 
 
+LONG = ARTICLE + "<p>" + "A sentence that is part of the story. " * 20 + "</p>"
+LONG_WANT = WANT + "\n" + ("A sentence that is part of the story. " * 20).strip()
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<article class='post has-sidebar'>{}</article>",
+        "<article class='story-widget'>{}</article>",
+        "<main id='search'>{}</main>",
+        "<div class='no-sidebar'>{}</div>",
+        "<div class='ad-free'><div>{}</div></div>",
+        "<div class='content-widget'>{}</div>",
+        "<div id='page' class='with-comments'>{}</div>",
+        "<div class='search-result'>{}</div>",
+        "<div class='content header-fixed'>{}</div>",
+        "<div class='header-fixed'><div>{}</div></div>",
+        "<div class='widget'><article>{}</article></div>",
+        "<div class='widget'>{}</div>",
+    ],
+)
+def test_wrappers_named_after_what_is_left_out(wrapper):
+    comments = "<section id='comments'><p>" + "a reader has much to say " * 60 + "</p></section>"
+    for body in (wrapper.format(LONG), wrapper.format(LONG + comments), wrapper.format(LONG) + comments):
+        parsed = pages.parse(f"<html><body>{NOISE_BEFORE}{body}{NOISE_AFTER}</body></html>")
+        assert pages.text_by(parsed, pages.best(pages.scores(parsed))) == LONG_WANT
+
+
 def test_hosts_vote(spark):
     rows = [(i, f"https://www.a.org/p/{i}", page("classes", n=i)) for i in range(6)]
     # on one page of the host another container looks better by itself
