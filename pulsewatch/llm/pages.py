@@ -2,8 +2,12 @@
 
 Each page's containers are scored by the share of its plain text that they hold; the page votes
 for its best ones under a generalised path (tags and classes, numbers masked). Spark sums the
-votes by host, and each page is read again by the path that won on its host. A page without that
-path, or without a host, falls back on its own best container.
+votes by host. A host has several winners: the path with most votes, and those that lie apart from
+it and are the first choice of a tenth of the pages or more (a second template). Each page is read
+again by the winner that scores best on it, of those that hold at least half of the plain text that
+they hold on the host's pages. Where none does, the page's own best container is taken if it holds
+more than twice as much; so it is for a page without a winner or without a host. A container of an
+article beside the one taken is a part of the same article and is joined.
 
 Left out everywhere: menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments, told by tag, role, class or id. A header inside the container gives
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from pulsewatch.llm.common import bound_batches, stored, widened
 
 BALLOT = 3  # containers that a page votes for
+SHARE = 10  # a further winner is the first choice of one page in so many
 RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {
@@ -274,63 +279,92 @@ def parse(html: str) -> Page:
     return page
 
 
-def scores(page: Page) -> dict[str, float]:
-    """Path to score: share of the plain text, more for an article, with the title, and if deeper."""
+def measured(page: Page) -> dict[str, tuple[float, float]]:
+    """Path to score and plain text held: the share, more for an article, with the title, and if deeper."""
     plain = [prose(b) for b in page.blocks]
     total = sum(plain)
     if not total:
         return {}
     titled = any(b.tag == "h1" for b in page.blocks)
-    share: dict[str, float] = {}
+    held: dict[str, float] = {}
     has_title: set[str] = set()
-    for block, weight in zip(page.blocks, plain, strict=True):
+    for block, w in zip(page.blocks, plain, strict=True):
         for path in {page.paths[c] for c in block.containers}:
-            share[path] = share.get(path, 0.0) + weight / total
+            held[path] = held.get(path, 0.0) + w
             if block.tag == "h1":
                 has_title.add(path)
     out = {}
-    for path, held in share.items():
+    for path, of_it in held.items():
         parts = path.split("/")[1:]
         words = {w.lower() for part in parts[2:] for w in _WORD.findall(part)}
         kind = 0.5 * ("article" in words) + 0.25 * bool(words & ARTICLE_WORDS)
-        out[path] = held * (1.0 if path in has_title or not titled else 0.6) * (1 + kind + 0.02 * min(len(parts), 8))
+        score = of_it / total * (1.0 if path in has_title or not titled else 0.6) * (1 + kind + 0.02 * min(len(parts), 8))
+        out[path] = (score, of_it)
     return out
 
 
-def text_by(page: Page, path: str) -> str:
-    inside = {i for i, p in enumerate(page.paths) if p == path}
+def scores(page: Page) -> dict[str, float]:
+    return {path: score for path, (score, _) in measured(page).items()}
+
+
+def text_by(page: Page, *paths: str) -> str:
+    inside = {i for i, p in enumerate(page.paths) if p in paths}
     return "\n".join(b.text for b in page.blocks if not inside.isdisjoint(b.containers))
 
 
+def chosen(page: Page, winners: list[tuple[str, float]]) -> list[str]:
+    """The path to read a page by, first, and those of further parts of its article."""
+    found = measured(page)
+    here = [p for p, _ in winners if p in found and found[p][1]]
+    usual = [p for p, mean in winners if p in here and 2 * found[p][1] >= mean]
+    pick = own = best({p: score for p, (score, _) in found.items()})
+    if usual or here:
+        pick = best({p: found[p][0] for p in usual or here})
+        if not usual and found[own][1] > 2 * found[pick][1]:
+            pick = own
+    if not pick:
+        return []
+    parent, _, name = pick.rpartition("/")
+
+    def part(path: str) -> bool:
+        up, _, label = path.rpartition("/")
+        names = [{w.lower() for w in _WORD.findall(n)} for n in label.split(".")]
+        return up == parent and any(n & ARTICLE_WORDS for n in names) and not any(n & OUT_WORDS for n in names)
+
+    if not part(pick) or name.split(".")[0] in ("html", "body"):
+        return [pick]
+    return [pick, *sorted(p for p in found if p != pick and part(p) and 4 * found[p][1] >= found[pick][1])]
+
+
 def best(votes: dict[str, float]) -> str | None:
     return min(votes, key=lambda p: (-round(votes[p], 9), p)) if votes else None
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, paths, votes = [], [], []
+        hosts, paths, votes, held, first = [], [], [], [], []
         for host, html in zip(batch.column("host"), batch.column("html"), strict=True):
-            found = scores(parse(html.as_py() or ""))
-            for path in sorted(found, key=lambda p: (-round(found[p], 9), p))[:BALLOT]:
+            found = measured(parse(html.as_py() or ""))
+            for place, path in enumerate(sorted(found, key=lambda p: (-round(found[p][0], 9), p))[:BALLOT]):
                 hosts.append(host.as_py())
                 paths.append(path)
-                votes.append(round(found[path] * 1e6))
+                votes.append(round(found[path][0] * 1e6))
+                held.append(round(found[path][1]))
+                first.append(int(not place))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes, pa.int64())], names=["host", "path", "vote"]
+            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), *[pa.array(x, pa.int64()) for x in (votes, held, first)]],
+            names=["host", "path", "vote", "held", "first"],
         )
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, used = [], []
-        for html, path in zip(batch.column("html"), batch.column("path"), strict=True):
-            page, path = parse(html.as_py() or ""), path.as_py()
-            text = text_by(page, path) if path else ""
-            if not text:
-                path = best(scores(page))
-                text = text_by(page, path) if path else ""
-            texts.append(text)
-            used.append(path)
+        for html, winners in zip(batch.column("html"), batch.column("winners"), strict=True):
+            page = parse(html.as_py() or "")
+            paths = chosen(page, [(w["path"], w["mean"]) for w in winners.as_py() or []])
+            texts.append(text_by(page, *paths))
+            used.append(paths[0] if paths else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), pa.array(texts, pa.string()), pa.array(used, pa.string())], names=["row", "text", "path"]
         )
@@ -340,14 +374,34 @@ def host_of(url: str = "url"):
     return F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)), F.lit(""))
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path with most votes on each host, ties by name."""
+def _summed(pages: DataFrame) -> DataFrame:
+    """(host, path, vote, n, held, first): votes, pages that vote for it, their plain text in it, first choices."""
     bound_batches(pages.sparkSession)
     ballots = pages.select(host_of().alias("host"), "html").where("host is not null")
-    votes = ballots.mapInArrow(_vote, "host string, path string, vote long")
-    summed = votes.groupBy("host", "path").agg(F.sum("vote").alias("vote"))
+    votes = ballots.mapInArrow(_vote, "host string, path string, vote long, held long, first long")
+    return votes.groupBy("host", "path").agg(
+        F.sum("vote").alias("vote"), F.count(F.lit(1)).alias("n"), F.sum("held").alias("held"), F.sum("first").alias("first")
+    )
+
+
+def host_paths(pages: DataFrame) -> DataFrame:
+    """(host, path): the path with most votes on each host, ties by name."""
     first = Window.partitionBy("host").orderBy(F.desc("vote"), "path")
-    return summed.withColumn("place", F.row_number().over(first)).where("place = 1").select("host", "path")
+    return _summed(pages).withColumn("place", F.row_number().over(first)).where("place = 1").select("host", "path")
+
+
+def host_winners(pages: DataFrame) -> DataFrame:
+    """(host, winners): paths with the mean of the plain text they hold, at most SHARE + 1 a host."""
+    summed = stored(_summed(pages), "host-votes")
+    hosts = summed.groupBy("host").agg(
+        F.sum("first").alias("pages"), F.min(F.struct((-F.col("vote")).alias("vote"), "path"))["path"].alias("top")
+    )
+    slash = F.lit("/")
+    path, top = F.concat("path", slash), F.concat("top", slash)
+    apart = ~path.startswith(top) & ~top.startswith(path)
+    enough = (F.col("first") > 1) & (F.col("first") * SHARE >= F.col("pages"))
+    winners = summed.join(hosts, "host").where((F.col("path") == F.col("top")) | (apart & enough))
+    return winners.groupBy("host").agg(F.collect_list(F.struct("path", (F.col("held") / F.col("n")).alias("mean"))).alias("winners"))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -355,7 +409,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     keep = [c for c in pages.columns if c != "html"]
     rows = pages.select(F.struct(*[F.col(c) for c in keep]).alias("row"), host_of().alias("host"), "html")
     # written first, so that its size is known: a small one is broadcast and no page moves
-    winners = stored(host_paths(pages), "host-paths")
-    placed = rows.join(winners, "host", "left").select("row", "html", "path")
+    winners = stored(host_winners(pages), "host-paths")
+    placed = rows.join(winners, "host", "left").select("row", "html", "winners")
     schema = widened([placed.schema["row"]], "text string, path string")
     return placed.mapInArrow(_extract, schema)

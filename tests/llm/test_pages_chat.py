@@ -96,6 +96,27 @@ def test_hosts_vote(spark):
     assert dict(pages.host_paths(df).collect())["www.a.org"].endswith("/div.layout/div.entry.post-#")
 
 
+def test_hosts_of_several_templates(spark):
+    def story(n):
+        return f"<p>{f'Story {n} goes on and on. ' * 30}</p>"
+
+    def want(n):
+        return (f"Story {n} goes on and on. " * 30).strip()
+
+    blog = "<div class='post'>{}</div>"
+    # the winner of the host is a small box on the pages of the forum and of the old layout
+    forum = "<div class='post'><p>Rules of this board</p></div><div class='board'><div class='thread'>{}</div></div>"
+    old = "<div class='post'><p>From our archive</p></div><table><tr><td class='c'>{}</table>"
+    split = "<div class='post'>{}</div><div class='text-more'>{}</div>"
+    rows = [(n, "http://h.org/x", blog.format(story(n))) for n in range(12)]
+    rows += [(n, "http://h.org/x", forum.format(story(n))) for n in range(12, 16)]
+    rows += [(16, "http://h.org/x", old.format(story(16))), (17, "http://h.org/x", split.format(story(17), story(99)))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.extracted(df).select("row.page_id", "text").collect()}
+    assert got == {n: want(n) for n in range(17)} | {17: want(17) + "\n" + want(99)}
+    assert {w["path"].rpartition(".")[2] for w in pages.host_winners(df).head()["winners"]} == {"post", "thread"}
+
+
 def render(turns, speaker):
     text, mask = "", []
     for _, role, body in sorted(set(turns), key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2])):
