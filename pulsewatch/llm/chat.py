@@ -4,8 +4,12 @@ For every participant of a dialogue, the dialogue is rendered with that speaker
 the others as named users; system turns stay system turns for all. The mask lists the code points
 to train on: what the speaker of the perspective says, with the end marker.
 
-A dialogue is rendered in stretches of SEGMENT consecutive turn numbers, so that the group that one
-task holds is bounded however long a dialogue is; a stretch is rendered for those who speak in it.
+``whole`` renders each dialogue in one row for every participant, who may be silent for long; the
+row, and so the task that makes it, holds the dialogue whatever its length.
+
+``rotated`` renders stretches of SEGMENT consecutive turn numbers, as its SQL twin does, each for
+those who speak in it. What it loses: a stretch starts without the turns before it, also without
+system turns, and who is silent in a stretch gets no row of it.
 
 Edge cases: equal rows of a dialogue are one turn; turns with one number are ordered by role, then
 text; a null turn number comes before all others, in a stretch of its own (-1); a null or empty role
@@ -36,18 +40,34 @@ def head(role: Column, speaker: Column) -> Column:
     )
 
 
-def rotated(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """conv_id, segment, speaker, text, mask (array of start, end), n_turns, n_trained."""
+def _said(turns: DataFrame, segment: int) -> DataFrame:
     role = F.when(F.coalesce("role", F.lit("")) == "", F.lit("unknown")).otherwise(plain(F.col("role")))
-    said = turns.select(
+    return turns.select(
         "conv_id",
         F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text")).alias("own"),
         F.coalesce(F.floor(F.col("turn") / segment), F.lit(-1)).alias("segment"),
         F.struct("turn", role.alias("role"), plain(F.coalesce("text", F.lit(""))).alias("text")).alias("said"),
     )
+
+
+def rotated(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """conv_id, segment, speaker, text, mask (array of start, end), n_turns, n_trained."""
+    said = _said(turns, segment)
     held = said.groupBy("conv_id", "own", "segment").agg(F.sort_array(F.collect_set("said")).alias("said"))
+    return _rendered(held, "conv_id", "segment")
+
+
+def whole(turns: DataFrame) -> DataFrame:
+    """conv_id, speaker, text, mask (array of start, end), n_turns, n_trained: a row for each participant of a dialogue."""
+    said = _said(turns, SEGMENT)
+    held = said.groupBy("conv_id", "own").agg(F.sort_array(F.collect_set("said")).alias("said"))
+    return _rendered(held, "conv_id")
+
+
+def _rendered(held: DataFrame, *keys: str) -> DataFrame:
+    """A rendering of ``said``, the turns in order, for everybody who speaks in it."""
     speakers = F.array_distinct(F.filter(F.transform("said", lambda s: s["role"]), lambda r: r != "system"))
-    each = held.select("conv_id", "segment", "said", F.explode(speakers).alias("speaker"))
+    each = held.select(*keys, "said", F.explode(speakers).alias("speaker"))
     speaker = F.col("speaker")
     each = each.withColumn("heads", F.transform("said", lambda s: head(s["role"], speaker)))
     bodies = F.transform("said", lambda s: F.concat(s["text"], F.lit(END)))
@@ -63,8 +83,7 @@ def rotated(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
 
     trained = F.filter(F.transform("said", span), lambda x: x["own"])
     return each.select(
-        "conv_id",
-        "segment",
+        *keys,
         "speaker",
         F.array_join(F.zip_with("heads", "bodies", lambda h, b: F.concat(h, b)), "").alias("text"),
         F.transform(trained, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("mask"),

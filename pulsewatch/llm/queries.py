@@ -194,9 +194,17 @@ FROM documents d JOIN copied c USING (doc_id)
 
 @query
 def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = chat.rotated(table(spark, sf_dir, "conversations"))
+    return spans_listed(chat.rotated(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op6_whole_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans_listed(chat.whole(table(spark, sf_dir, "conversations")))
+
+
+def spans_listed(rendered: DataFrame) -> DataFrame:
     spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
-    return out.withColumn("mask", F.array_join(spans, ","))
+    return rendered.withColumn("mask", F.array_join(spans, ","))
 
 
 ORACLES["op6_perspectives"] = r"""

@@ -158,3 +158,16 @@ def test_rotation_edges(spark):
     assert by[3, 0, "a< |b"]["text"] == "<|assistant|>\nagain<|end|>\n<|assistant|>\nsay < |end|> now<|end|>\n"
     assert by[2, -1, "unknown"]["text"] == "<|assistant|>\n<|end|>\n"
     assert chat.rotated(spark.createDataFrame([], CHAT)).count() == 0
+
+
+def test_whole_dialogues_for_every_participant(spark):
+    rows = [(1, t, "ab"[t % 2], f"t{t}") for t in range(1, 150)] + [(1, 0, "system", "rules"), (1, 70, "c", "only here")]
+    rows += [(2, 100 * t, "ab"[t % 2], f"sparse {t}") for t in range(5)] + [(2, None, "d", "before all")]
+    got = {(r["conv_id"], r["speaker"]): r for r in chat.whole(spark.createDataFrame(rows, CHAT)).collect()}
+    assert set(got) == {(1, "a"), (1, "b"), (1, "c"), (2, "a"), (2, "b"), (2, "d")}
+    for (conv, speaker), r in got.items():
+        own = [x[1:] for x in rows if x[0] == conv]
+        text, mask = render(own, speaker)
+        assert r["text"] == text and [(m["start"], m["end"]) for m in r["mask"]] == mask
+        assert (r["n_turns"], r["n_trained"]) == (len(own), len(mask))
+    assert chat.whole(spark.createDataFrame([], CHAT)).count() == 0
