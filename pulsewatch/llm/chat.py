@@ -9,11 +9,13 @@ row, and so the task that makes it, holds the dialogue whatever its length.
 
 ``rotated`` renders stretches of SEGMENT consecutive turn numbers, as its SQL twin does, each for
 those who speak in it. What it loses: a stretch starts without the turns before it, also without
-system turns, and who is silent in a stretch gets no row of it.
+system turns, and who is silent in a stretch gets no row of it. Turns without a number are one
+stretch (-1), and so are turns that share a number: such a stretch is not bounded.
 
-Edge cases: equal rows of a dialogue are one turn; turns with one number are ordered by role, then
-text; a null turn number comes before all others, in a stretch of its own (-1); a null or empty role
-is "unknown"; a null text is empty; a row without conv_id is a dialogue of its own; dialogues in
+Edge cases: equal rows of a dialogue are one turn, but in ``whole`` each row without a number is a
+turn; turns with one number are ordered by role, then text; a null turn number comes before all
+others; a null or empty role is "unknown"; a null text is empty; each row without conv_id, also an
+equal one, is a dialogue of its own; dialogues in
 which only the system speaks give no row. Markers in texts or names are broken up by a blank.
 """
 
@@ -44,7 +46,6 @@ def _said(turns: DataFrame, segment: int) -> DataFrame:
     role = F.when(F.coalesce("role", F.lit("")) == "", F.lit("unknown")).otherwise(plain(F.col("role")))
     return turns.select(
         "conv_id",
-        F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text")).alias("own"),
         F.coalesce(F.floor(F.col("turn") / segment), F.lit(-1)).alias("segment"),
         F.struct("turn", role.alias("role"), plain(F.coalesce("text", F.lit(""))).alias("text")).alias("said"),
     )
@@ -53,15 +54,24 @@ def _said(turns: DataFrame, segment: int) -> DataFrame:
 def rotated(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """conv_id, segment, speaker, text, mask (array of start, end), n_turns, n_trained."""
     said = _said(turns, segment)
-    held = said.groupBy("conv_id", "own", "segment").agg(F.sort_array(F.collect_set("said")).alias("said"))
-    return _rendered(held, "conv_id", "segment")
+    held = said.where("conv_id is not null").groupBy("conv_id", "segment").agg(F.sort_array(F.collect_set("said")).alias("said"))
+    lone = said.where("conv_id is null").select("conv_id", "segment", F.array("said").alias("said"))
+    return _rendered(held.unionByName(lone), "conv_id", "segment")
 
 
 def whole(turns: DataFrame) -> DataFrame:
     """conv_id, speaker, text, mask (array of start, end), n_turns, n_trained: a row for each participant of a dialogue."""
     said = _said(turns, SEGMENT)
-    held = said.groupBy("conv_id", "own").agg(F.sort_array(F.collect_set("said")).alias("said"))
-    return _rendered(held, "conv_id")
+    numbered = F.when(F.col("said")["turn"].isNotNull(), F.col("said"))
+    other = F.when(F.col("said")["turn"].isNull(), F.col("said"))
+    # a number tells that equal rows are one turn; without one each row is a turn
+    held = (
+        said.where("conv_id is not null")
+        .groupBy("conv_id")
+        .agg(F.concat(F.sort_array(F.collect_list(other)), F.sort_array(F.collect_set(numbered))).alias("said"))
+    )
+    lone = said.where("conv_id is null").select("conv_id", F.array("said").alias("said"))
+    return _rendered(held.unionByName(lone), "conv_id")
 
 
 def _rendered(held: DataFrame, *keys: str) -> DataFrame:

@@ -171,3 +171,15 @@ def test_whole_dialogues_for_every_participant(spark):
         assert r["text"] == text and [(m["start"], m["end"]) for m in r["mask"]] == mask
         assert (r["n_turns"], r["n_trained"]) == (len(own), len(mask))
     assert chat.whole(spark.createDataFrame([], CHAT)).count() == 0
+
+
+def test_rows_without_a_number_or_a_dialogue_stay(spark):
+    rows = [(None, 0, "a", "lone")] * 3 + [(1, None, "a", "yes")] * 2 + [(1, None, "b", "no"), (1, 4, "b", "hm"), (1, 4, "b", "hm")]
+    df = spark.createDataFrame(rows, CHAT)
+    assert chat.rotated(df).where("conv_id is null").count() == 3
+    got = chat.whole(df).collect()
+    assert sum(r["conv_id"] is None for r in got) == 3
+    one = {r["speaker"]: r for r in got if r["conv_id"] == 1}
+    yes, no, hm = "<|assistant|>\nyes<|end|>\n", "<|user name=b|>\nno<|end|>\n", "<|user name=b|>\nhm<|end|>\n"
+    assert one["a"]["text"] == yes + yes + no + hm
+    assert (one["a"]["n_turns"], one["a"]["n_trained"], one["b"]["n_trained"]) == (4, 2, 2)
