@@ -340,9 +340,29 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, numer: int, den
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``: one row for each component, and all rows without a doc_id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+def deduplicated(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    numer: int = NUMER,
+    denom: int = DENOM,
+) -> DataFrame:
+    """The columns of ``docs``: one row for each component, and all rows without a doc_id.
+
+    Where a doc_id repeats with different texts, each of its texts is a document.
+    """
     with_id = docs.where("doc_id is not null")
-    one = with_id.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return one.unionByName(docs.where("doc_id is null"))
+    bounds = with_id.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"))
+    if bounds.where("low <> high").isEmpty():
+        nodes = near_duplicates(docs, shingle, bands, rows, numer, denom)
+        kept = nodes.where("kept").select("doc_id").distinct()
+        one = with_id.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    else:
+        part = F.md5(F.coalesce("text", F.lit("")))
+        keyed = with_id.select(F.struct(F.col("doc_id").alias("id"), part.alias("part")).alias("doc_id"), "text")
+        nodes = near_duplicates(keyed, shingle, bands, rows, numer, denom)
+        kept = nodes.where("kept").select("doc_id.id", "doc_id.part").distinct()
+        named = with_id.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), part.alias("part"))
+        one = named.join(kept, ["id", "part"], "left_semi").dropDuplicates(["id", "part"]).select("row.*")
+    return one.select(*docs.columns).unionByName(docs.where("doc_id is null"))

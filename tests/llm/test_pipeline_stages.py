@@ -49,3 +49,11 @@ def test_stages_of_an_empty_table(spark):
 def test_run(spark):
     out = pipeline.run(spark, SMALL)
     assert out.count() > 100 and out.where("doc_id is null or text is null").count() == 0
+
+
+def test_near_copies_of_five_word_shingles(spark):
+    words = [f"w{i}" for i in range(245)]
+    rows = [(1, " ".join(words[:200])), (2, " ".join(words)), (3, "one clean text of its own"), (3, "and quite another text here"), (3, "one clean text of its own"), (4, "and quite another text here"), (4, "last text that only four has")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], table(spark, SMALL, "documents").schema)
+    kept = sorted((r["doc_id"], r["text"]) for r in pipeline.drop_near_duplicates(spark, docs, SMALL).collect())
+    assert kept == sorted({rows[0], rows[2], rows[3], rows[6]})
