@@ -15,17 +15,29 @@ from pyspark.sql import functions as F
 from pulsewatch.llm import decontaminate, langid, minhash, mixing, pii
 from pulsewatch.llm.common import stored, table
 
-#: Documents below this posterior of the best language are rejected, as are those without a letter.
-LEAST_LANGUAGE_SCORE = 0.5
+#: Documents of whose letters a smaller share occurs in any learned language are rejected, as are those without a letter.
+LEAST_LEARNED_LETTERS = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of no language; name the language where none is given."""
-    found = langid.identified(docs, langid.fit(docs))
-    kept = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    """Drop documents without a letter or in letters of no learned language; name the language where none is given.
+
+    Neither depends on the length of a text: a short text that several languages share stays. If no
+    document names a language, all with a letter stay and none is named.
+    """
+    model = langid.fit(docs)
+    found = langid.identified(docs, model)
+    text = F.lower("row.text")
+    letters = F.length(F.regexp_replace(text, r"\P{L}", ""))
+    kept = found.where(letters > 0)
+    known = langid.letters_of(model) if model.languages else []
+    if known:
+        learned = F.length(F.regexp_replace(text, f"[^{''.join(known)}]", ""))
+        kept = kept.where(learned >= LEAST_LEARNED_LETTERS * letters)
+    named = F.nullif("lang_pred", F.lit(langid.UNDETERMINED))
     return kept.select(
         *[
-            (F.coalesce("row.lang", "lang_pred") if c == "lang" else F.col("row")[c]).alias(c)
+            (F.coalesce("row.lang", named) if c == "lang" else F.col("row")[c]).alias(c)
             for c in docs.columns
         ]
     )

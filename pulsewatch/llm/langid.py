@@ -216,6 +216,14 @@ def fit(labelled: DataFrame, vocabulary: str = VOCABULARY, sample_docs: int = SA
     return Model(languages, pieces, table)
 
 
+def letters_of(model: Model) -> list[str]:
+    """The letters of all pieces that the fit met in any language."""
+    table = model.table[: len(model.pieces)]
+    # a piece that was not met has the least probability, that of smoothing
+    met = (table > table.min(axis=0) * (1 + 1e-9)).any(axis=1)
+    return sorted({c for piece, seen in zip(model.pieces, met, strict=True) if seen for c in piece if c.isalpha()})
+
+
 class Scorer:
     """Log probabilities of words, remembered up to a bound."""
 

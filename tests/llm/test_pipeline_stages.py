@@ -1,5 +1,7 @@
 """The pipeline's stages take effect, keep clean documents, and take what the stage before left."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 from pulsewatch.llm.common import table
 
@@ -57,3 +59,20 @@ def test_near_copies_of_five_word_shingles(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], table(spark, SMALL, "documents").schema)
     kept = sorted((r["doc_id"], r["text"]) for r in pipeline.drop_near_duplicates(spark, docs, SMALL).collect())
     assert kept == sorted({rows[0], rows[2], rows[3], rows[6]})
+
+
+def test_language_stage_keeps_all_with_letters(spark):
+    docs = table(spark, SMALL, "documents")
+    short = ["A.", "De.", "Re.", "La", "en", "O", "Les", "Des", "No"]
+    odd = spark.createDataFrame(
+        [(900100 + i, t, None, None, len(t)) for i, t in enumerate(short)]
+        + [(900200, "Это текст на другом языке", None, None, 1), (900201, "?!", "en", None, 1)],
+        docs.schema,
+    )
+    got = {r["doc_id"]: r["lang"] for r in pipeline.identify_language(spark, docs.unionByName(odd), SMALL).collect()}
+    lettered = {r["doc_id"] for r in docs.collect() if r["text"] and any(c.isalpha() for c in r["text"])}
+    assert set(got) == lettered | {900100 + i for i in range(len(short))}
+    assert all(got.values())
+    unlabelled = docs.unionByName(odd).withColumn("lang", F.lit(None).cast("string"))
+    got = {r["doc_id"]: r["lang"] for r in pipeline.identify_language(spark, unlabelled, SMALL).collect()}
+    assert set(got) == lettered | {900100 + i for i in range(len(short))} | {900200} and not any(got.values())
