@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.llm import chat, decontaminate, langid, minhash, mixing, pages, pii, quality, toxicity, vectors
+from pulsewatch.llm import chat, decontaminate, langid, minhash, mixing, pages, pii, quality, spelling, toxicity, vectors
 from pulsewatch.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,6 +241,50 @@ def op8_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+# the checksum's table comes from its rule; words are near if they share a rest at the same place, or one is the other's rest
+ORACLES["op11_spelling_variants"] = r"""
+WITH RECURSIVE steps AS (
+    SELECT i, 0 AS k, CAST(i AS BIGINT) AS v FROM range(0, 256) t(i)
+    UNION ALL
+    SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8
+), crc AS (SELECT list(v ORDER BY i) AS tab FROM steps WHERE k = 8),
+runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+        FROM documents) GROUP BY doc_id, run
+), hexed AS (
+    SELECT run, n, hex(encode(concat(doc_id, ':', run))) AS x FROM runs
+), hashed AS (
+    SELECT run, n, xor(list_reduce(list_transform(range(1, len(x) // 2 + 1), lambda i: CAST('0x' || x[2 * i - 1:2 * i] AS BIGINT)),
+        lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+    FROM hexed, crc
+), vocabulary AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), rests AS (
+    SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+), shorter AS (SELECT DISTINCT r.word AS a, r.n AS na, v.word AS b, v.n AS nb FROM rests r JOIN vocabulary v ON v.word = r.rest
+), near AS (
+    SELECT x.word, x.n, y.word AS other, y.n AS m FROM rests x JOIN rests y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+    UNION ALL SELECT a, na, b, nb FROM shorter UNION ALL SELECT b, nb, a, na FROM shorter
+), best AS (
+    SELECT word, any_value(n) AS n, count(*) AS n_near, min(struct_pack(less := -m, other := encode(other))) AS top FROM near GROUP BY word
+), forms AS (SELECT word, n_near, CASE WHEN -top.less >= 2 * n THEN decode(top.other) END AS form, CASE WHEN -top.less >= 2 * n THEN -top.less END AS form_n FROM best
+), walks AS (
+    SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+    UNION ALL SELECT w.word, f.form FROM walks w JOIN forms f ON f.word = w.at WHERE f.form IS NOT NULL
+), ends AS (SELECT w.word, w.at FROM walks w JOIN forms f ON f.word = w.at WHERE f.form IS NULL)
+SELECT v.word, f.form, coalesce(e.at, v.word) AS root, v.n, coalesce(f.n_near, 0) AS n_near, f.form_n
+FROM vocabulary v LEFT JOIN forms f ON f.word = v.word LEFT JOIN ends e ON e.word = v.word
+"""
+
+
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.described(table(spark, sf_dir, "documents"))
