@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.llm import chat, decontaminate, langid, minhash, mixing, pages, pii, quality, spelling, toxicity, vectors
+from pulsewatch.llm import centroids, chat, decontaminate, langid, minhash, mixing, pages, pii, quality, spelling, toxicity, vectors
 from pulsewatch.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -285,6 +285,44 @@ FROM vocabulary v LEFT JOIN forms f ON f.word = v.word LEFT JOIN ends e ON e.wor
 """
 
 
+@query
+def op12_threshold_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def _rounds(rounds: int) -> str:
+    """Assignment and means, round by round: the nearest of all centroids, ties to the smaller number."""
+    parts = []
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+    SELECT row, vec_id, x, pick.c AS c, pick.d AS d FROM (
+        SELECT row, vec_id, x, min(struct_pack(d := list_sum(list_transform(list_zip(x, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c := c)) AS pick
+        FROM kept, c{i} GROUP BY row, vec_id, x)
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+    SELECT c, coalesce(any_value(v.m), any_value(o.m)) AS m FROM c{i} o LEFT JOIN (
+        SELECT c, list(CAST(CASE WHEN s % n < 0 THEN (s - s % n) / n - 1 ELSE (s - s % n) / n END AS BIGINT) ORDER BY j) AS m
+        FROM (SELECT c, j, CAST(sum(v) AS BIGINT) AS s, count(*) AS n
+              FROM (SELECT c, unnest(x) AS v, unnest(range(1, 65)) AS j FROM a{i}) GROUP BY c, j) GROUP BY c
+    ) v USING (c) GROUP BY c
+)""")
+    return ", ".join(parts)
+
+
+ORACLES["op12_threshold_clusters"] = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, x AS m FROM kept ORDER BY sha256('3:' || vec_id) LIMIT 8
+), {_rounds(10)}
+SELECT vec_id, CAST(c AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a10 JOIN c10 USING (c)
+"""
+
+
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.described(table(spark, sf_dir, "documents"))
