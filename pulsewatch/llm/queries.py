@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.llm import centroids, chat, decontaminate, langid, minhash, mixing, pages, pii, quality, spelling, toxicity, vectors
+from pulsewatch.llm import centroids, chat, decontaminate, langid, minhash, mixing, pages, pii, quality, spelling, toxicity, vectors, warc
 from pulsewatch.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -323,6 +323,24 @@ FROM a10 JOIN c10 USING (c)
 """
 
 
+@query
+def op13_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("status")
+
+
+ORACLES["op13_warc_segments"] = """
+WITH digests AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS h FROM pages
+), origins AS (SELECT payload, max(page_id) AS origin FROM digests GROUP BY payload)
+SELECT page_id, octet_length(d.payload) AS payload_bytes,
+    array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[CAST((CAST('0x' || h[5 * i + 1:5 * i + 5] AS BIGINT) >> s) % 32 + 1 AS INT)]), '')), '') AS payload_digest,
+    CASE WHEN page_id IS DISTINCT FROM origin AND origin IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id IS DISTINCT FROM origin THEN origin END AS refers_to
+FROM digests d JOIN origins o ON o.payload = d.payload
+"""
+
+
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.described(table(spark, sf_dir, "documents"))
