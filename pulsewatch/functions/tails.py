@@ -7,6 +7,7 @@ only ever see the one or few result rows of a test, never data rows.
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -63,25 +64,44 @@ def student_p(t: float | None, dof: float | None) -> float | None:
 
 def exact_rank_sum_p(u: float, n1: int, n2: int) -> float:
     """Two-sided exact p-value of U without ties, from the null distribution's counts."""
+    few, many = min(n1, n2), max(n1, n2)
     counts = np.zeros(n1 * n2 + 1)
     counts[0] = 1.0
-    for i in range(1, min(n1, n2) + 1):
-        # multiply by (1 - q^(max+i)) / (1 - q^i), the Gaussian binomial recurrence
-        top = max(n1, n2) + i
+    for i in range(1, few + 1):
+        # multiply by (1 - q^(many+i)) / (1 - q^i), the Gaussian binomial recurrence
+        top = many + i
         if top <= n1 * n2:
             counts[top:] -= counts[: n1 * n2 + 1 - top].copy()
-        for j in range(i, n1 * n2 + 1):
-            counts[j] += counts[j - i]
+        for start in range(i):
+            counts[start::i] = np.cumsum(counts[start::i])
+        counts /= counts.max()
     upper = counts[int(math.ceil(max(u, n1 * n2 - u))) :].sum() / counts.sum()
     return min(1.0, 2.0 * upper)
 
 
+def uniform_sum_p(u: float, n1: int, n2: int) -> float:
+    """Two-sided p-value of U for one tiny and one huge sample: the limit is a sum of uniforms.
+
+    Differs from the exact value by the order of 1 / max(n1, n2).
+    """
+    few, many = min(n1, n2), max(n1, n2)
+    x = Fraction(int(math.floor(min(u, n1 * n2 - u)))) / many + Fraction(1, 2 * many)
+    lower = sum((-1) ** k * math.comb(few, k) * max(x - k, 0) ** few for k in range(few + 1))
+    return min(1.0, 2.0 * float(lower / math.factorial(few)))
+
+
+EXACT_CELLS = 1 << 23
+
+
 def rank_sum_p(u: float, n1: int, n2: int, tie_sum: float) -> float | None:
-    """Two-sided p-value of U: exact for small samples without ties, else normal."""
+    """Two-sided p-value of U: exact for a sample of up to 8 without ties, else normal.
+
+    Where the null distribution has more than EXACT_CELLS places, its limit is used.
+    """
     if not n1 or not n2 or u is None:
         return None
-    if tie_sum == 0 and min(n1, n2) <= 8 and n1 * n2 <= 20_000:
-        return exact_rank_sum_p(u, n1, n2)
+    if tie_sum == 0 and min(n1, n2) <= 8:
+        return exact_rank_sum_p(u, n1, n2) if n1 * n2 < EXACT_CELLS else uniform_sum_p(u, n1, n2)
     n = n1 + n2
     spread = math.sqrt(n1 * n2 / 12.0 * ((n + 1) - tie_sum / (n * (n - 1.0))))
     if spread == 0:

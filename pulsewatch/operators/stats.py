@@ -10,20 +10,24 @@ from pulsewatch.functions.tails import t_p_value, u_p_value
 from pulsewatch.session import materialize
 
 
+# the sketch places a value within n / ACCURACY ranks; a bracket is MARGIN of a key's rows wide on either side
+ACCURACY = 10_000
+MARGIN = 3 / ACCURACY
+RANGE_ROWS = 200_000
+
+
 def running_totals(
-    counts: DataFrame, keys: list[str], order: str, columns: list[str], parts: int = 64
+    counts: DataFrame, keys: list[str], order: str, columns: list[str], parts: int | None = None
 ) -> DataFrame:
     """Add ``<c>_below`` (sum over smaller ``order`` values) and ``<c>_all`` per key.
 
-    Values are cut into ``parts`` ranges at approximate quantiles. Totals of the
-    ranges give each range its offset, and a window inside the range does the
-    rest, so no task ever sorts a whole key.
+    Rows are dealt to ranges of keys and values, as many as the rows need. Totals of the
+    ranges give each range its offset, and a window inside the range does the rest, so no
+    task ever sorts a whole key.
     """
-    steps = [i / parts for i in range(1, parts)]
-    cuts = counts.agg(F.percentile_approx(order, steps, F.lit(1000)).alias("cuts")).scalar()
-    split = counts.withColumn("_cuts", cuts).withColumn(
-        "_part", F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col(order))), F.lit(0))
-    ).drop("_cuts")
+    parts = parts or 1 + counts.count() // RANGE_ROWS
+    dealt = counts.repartitionByRange(parts, *keys, order)
+    split = materialize(dealt.withColumn("_part", F.spark_partition_id()))
     totals = split.groupBy(*keys, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
     whole = Window.partitionBy(*keys)
     earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,29 +51,86 @@ def running_totals(
 
 
 def distribution(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float]
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], margin: float = MARGIN
 ) -> DataFrame:
     """n, mean, std, min, max and exact linear-interpolated quantiles per key.
 
-    One pass over the rows collapses them to counted values, which are written
-    once; everything else reads those. The built-in percentile would keep every
-    distinct value of a group in one buffer, this never does. Keys whose values are
-    all NULL stay, with n = 0.
+    The first pass sums moments and merges one quantile sketch a key, which brackets every
+    wanted rank; the second counts the rows below each bracket and keeps those inside. Only
+    these are sorted, a few ten-thousandths of a key. Ranks are exact, since they count rows:
+    a bracket that misses its ranks is seen and its key ranked whole. Keys with few rows are
+    ranked whole at once. Keys whose values are all NULL stay, with n = 0.
     """
     rows = df.na.drop(subset=keys) if keys else df
-    filled = F.count(value).alias("n")
-    counts = materialize(rows.groupBy(*keys, value).agg(filled))
-    weighted = counts.withColumn("total", F.coalesce(F.col(value) * F.col("n"), F.lit(0.0)))
-    ranked = running_totals(weighted, keys, value, ["n", "total"])
-    ranked = ranked.withColumn("mean", F.col("total_all") / F.nullif("n_all", F.lit(0)))
+    rows = materialize(rows.select(*keys, F.col(value).alias("_v")))
+    steps = [min(1.0, max(0.0, p + side)) for p in probs.values() for side in (-margin, margin)]
+    sketch = F.percentile_approx("_v", steps, F.lit(ACCURACY))
+    summary = rows.groupBy(*keys).agg(
+        F.count("_v").alias("n_values"),
+        F.avg("_v").alias("mean"),
+        F.stddev_samp("_v").alias("std"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
+        sketch.alias("_cuts"),
+    )
+    summary = materialize(summary)
+    few = F.col("n_values") < 2 / margin
+    cuts = [
+        F.struct(F.get("_cuts", F.lit(2 * i)).alias("low"), F.get("_cuts", F.lit(2 * i + 1)).alias("high"))
+        for i in range(len(probs))
+    ]
+    everything = F.struct(F.col("min").alias("low"), F.col("max").alias("high"))
+    brackets = F.when(few, F.array(everything)).otherwise(F.array(*cuts))
+    found = materialize(_ranked(rows, keys, summary.withColumn("_brackets", brackets), probs))
+    missed = F.col("n_values") > 0
+    for name in probs:
+        missed = missed & F.col(name).isNotNull()
+    unsure = found.where((F.col("n_values") > 0) & ~missed)
+    if not unsure.isEmpty():
+        wide = summary.withColumn("_brackets", F.array(everything))
+        if keys:
+            wide = wide.join(unsure.select(*keys), keys, "left_semi")
+        found = found.where((F.col("n_values") == 0) | missed).unionByName(_ranked(rows, keys, wide, probs))
+    return found.select(*keys, "n_values", "mean", "std", "min", "max", *probs)
+
+
+def _ranked(rows: DataFrame, keys: list[str], summary: DataFrame, probs: dict[str, float]) -> DataFrame:
+    """``summary`` with the quantiles that lie in its brackets (one for all, or one a quantile)."""
+    bounds = summary.select(*keys, "_brackets")
+    if keys:
+        placed = rows.join(bounds, keys)
+    else:
+        placed = rows.withColumn("_brackets", bounds.select("_brackets").scalar())
+    v = F.col("_v")
+    places = range(len(probs))
+    below = placed.groupBy(*keys).agg(
+        F.array(*[F.count_if(v < F.get("_brackets", F.lit(i))["low"]) for i in places]).alias("_below")
+    )
+    hits = F.filter(
+        F.transform("_brackets", lambda b, i: F.when((v >= b["low"]) & (v <= b["high"]), i)),
+        lambda i: i.isNotNull(),
+    )
+    inside = placed.select(*keys, "_v", F.explode(hits).alias("_i")).groupBy(*keys, "_i", "_v").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    up_to = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("_before", F.coalesce(F.sum("_n").over(up_to), F.lit(0)))
+    facts = summary.join(below, keys) if keys else summary.withColumn("_below", below.select("_below").scalar())
+    facts = facts.select(*keys, "n_values", "_below", F.size("_brackets").alias("_size"))
+    if keys:
+        met = inside.join(facts, keys)
+    else:
+        fact = facts.select(F.struct("n_values", "_below", "_size")).scalar()
+        met = inside.withColumn("_f", fact).select("*", "_f.*")
+    start = F.get("_below", F.col("_i")) + F.col("_before")
+    picks, results = [], []
+    for k, (name, p) in enumerate(probs.items()):
+        place = (F.col("n_values") - 1) * F.lit(float(p))
+        here = F.col("_i") == F.when(F.col("_size") == 1, 0).otherwise(k)
 
-    def at(position: Column) -> Column:
-        hit = (F.col("n_below") <= position) & (position < F.col("n_below") + F.col("n"))
-        return F.max(F.when(hit, F.col(value)))
+        def at(position: Column, here: Column = here) -> Column:
+            return F.max(F.when(here & (start <= position) & (position < start + F.col("_n")), v))
 
-    picks, results = [], []
-    for name, p in probs.items():
-        place = (F.col("n_all") - 1) * F.lit(float(p))
         picks += [
             at(F.floor(place)).alias(f"_lo_{name}"),
             at(F.ceil(place)).alias(f"_hi_{name}"),
@@ -77,18 +138,11 @@ def distribution(
         ]
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         results.append((low + (high - low) * F.col(f"_fr_{name}")).alias(name))
-    gap = F.col(value) - F.col("mean")
-    table = ranked.groupBy(*keys).agg(
-        F.max("n_all").alias("n_values"),
-        F.max("mean").alias("mean"),
-        F.sum(F.col("n") * gap * gap).alias("_squares"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        *picks,
-    )
-    n = F.col("n_values")
-    std = F.when(n > 1, F.sqrt(F.col("_squares") / (n - 1))).alias("std")
-    return table.select(*keys, "n_values", "mean", std, "min", "max", *results)
+    picked = met.groupBy(*keys).agg(*picks).select(*keys, *results)
+    out = summary.drop("_cuts", "_brackets")
+    if keys:
+        return out.join(picked, keys, "left")
+    return out.withColumn("_p", picked.select(F.struct(*probs)).scalar()).select("*", "_p.*").drop("_p")
 
 
 def t_test(df: DataFrame, group: str, value: str, min_rows: int = 1) -> DataFrame:

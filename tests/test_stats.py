@@ -155,3 +155,54 @@ def test_response_summary_cuts_outliers(spark):
     assert got["Mean (sec)"] == (20.0, 60.0)
     assert got["Median (min)"] == (20 / 60, 1.0)
     assert got["Std Dev"][1] is None
+
+
+def test_brackets_of_narrow_wide_and_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(stats, "ACCURACY", 500)
+    rnd = random.Random(11)
+    rows = [("narrow", 7 + rnd.random() * 1e-9) for _ in range(4000)]
+    rows += [("wide", rnd.lognormvariate(0, 8)) for _ in range(4000)]
+    rows += [("tied", float(rnd.choice([1, 1, 1, 2, 5]))) for _ in range(4000)]
+    rows += [("few", float(i)) for i in range(5)] + [("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(6)
+    probs = {"low": 0.0, "q1": 0.25, "q5": 0.5, "q999": 0.999, "high": 1.0}
+    got = {r["k"]: r for r in stats.distribution(df, ["k"], "v", probs, margin=0.006).collect()}
+    for key in ("narrow", "wide", "tied", "few"):
+        values = [v for k, v in rows if k == key]
+        for name, p in probs.items():
+            assert got[key][name] == pytest.approx(np.quantile(values, p), rel=1e-12)
+    assert got["none"]["q5"] is None and got["none"]["n_values"] == 0
+    values = [v for k, v in rows if k == "wide"]
+    alone = stats.distribution(df.where("k = 'wide'"), [], "v", probs, margin=0.006).first()
+    assert [alone[n] for n in probs] == pytest.approx([np.quantile(values, p) for p in probs.values()], rel=1e-12)
+
+
+def test_brackets_that_miss_are_ranked_whole(spark, monkeypatch):
+    monkeypatch.setattr(stats, "ACCURACY", 3)  # a sketch far too coarse for its margin
+    rows = [(k, float((i * 7919) % 3001)) for k in ("a", "b") for i in range(3001)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    for r in stats.distribution(df, ["k"], "v", {"q3": 0.3, "q7": 0.7}, margin=0.001).collect():
+        assert (r["q3"], r["q7"]) == (900.0, 2100.0)
+
+
+def test_only_the_rows_in_brackets_are_ranked(spark, monkeypatch):
+    seen = []
+    ranked = stats._ranked
+
+    def spy(rows, keys, summary, probs):
+        seen.append(summary.select("_brackets").collect())
+        return ranked(rows, keys, summary, probs)
+
+    monkeypatch.setattr(stats, "_ranked", spy)
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("v"))
+    row = stats.distribution(df, [], "v", {"m": 0.5}).first()
+    assert row["m"] == pytest.approx(np.median([(i * 7919) % 200_003 for i in range(200_000)]))
+    ((bracket,),) = seen[0][0]
+    assert len(seen) == 1 and bracket["high"] - bracket["low"] < 400
+
+
+def test_rank_sum_tail_of_a_tiny_and_a_large_sample():
+    few = [tails.exact_rank_sum_p(u, 5, 3000) for u in (100, 3000, 7000)]
+    assert few == pytest.approx([tails.uniform_sum_p(u, 5, 3000) for u in (100, 3000, 7000)], rel=0.02, abs=1e-6)
+    assert tails.rank_sum_p(10**7, 4, 10**7, 0) == pytest.approx(2 / 24, rel=1e-4)
+    assert tails.rank_sum_p(0, 8, 40_000, 0) < 1e-30
