@@ -1,26 +1,30 @@
-"""Exact k-nearest-neighbour classification as joins on pivot cells.
+"""Exact k-nearest-neighbour classification in the cells of a k-d tree.
 
-Every training vector belongs to the cell of its nearest pivot. A test vector first
-looks into its nearest cells; the k-th distance found there is an upper bound, and
-cells that lie wholly beyond it are never visited. The bound is valid for any data,
-so the result equals a full comparison; only the amount of work depends on how well
-the data clusters.
+A k-d tree, fitted on a sample that grows with the data, deals the training vectors to cells. A
+test vector first asks the smallest branch around it that holds k rows; the k-th distance found
+is a bound, and it goes on to cells whose boxes lie within half of it, then within what is left of
+it. A cell answers with its k nearest only, so what moves is visits, not pairs. The bound is valid
+for any data: the result equals a full comparison, only the work depends on how well data cluster.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pulsewatch.functions import values as V
 from pulsewatch.session import materialize
 
-# Training vectors of one cell handled under one join key before the cell is split.
+# Visits to one cell handled under one key before they are split, the cell being copied.
 CELL_SPLIT = 200_000
-MAX_PIVOTS = 4096
+# Training vectors that a cell is to hold, and sampled vectors for each cell.
+CELL_ROWS, CELL_SAMPLE = 8192, 8
+ASKED = 512  # test vectors compared at once
 _SLACK = 1e-9
 
 
@@ -91,12 +95,193 @@ def _moments(train: DataFrame, columns: list[str]) -> dict[str, tuple[float, flo
     return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
 
 
-def _distances(vectors: pd.Series, pivots: np.ndarray) -> np.ndarray:
-    rows = np.stack(vectors.to_numpy()) if len(vectors) else np.empty((0, pivots.shape[1]))
-    squares = np.zeros((len(rows), len(pivots)))
-    for d in range(pivots.shape[1]):
-        squares += (rows[:, d : d + 1] - pivots[None, :, d]) ** 2
-    return np.sqrt(squares)
+class Tree:
+    """Cells of a k-d tree: halved at the median of the widest column until a leaf is small."""
+
+    def __init__(self, sample: np.ndarray, leaves: int) -> None:
+        self.dim: list[int] = []
+        self.cut: list[float] = []
+        self.below: list[list[int]] = []
+        self.cell: list[int] = []
+        leaf, count = max(1, -(-len(sample) // leaves)), 0
+        todo = [(sample, -1)]
+        while todo:
+            held, parent = todo.pop()
+            node = len(self.cell)
+            if parent >= 0:
+                self.below[parent].append(node)
+            spread = np.ptp(held, axis=0) if len(held) > leaf else np.zeros(1)
+            dim = int(spread.argmax())
+            cut = 0.0
+            if spread[dim] > 0:
+                column = np.sort(held[:, dim])
+                cut = float(column[(len(column) - 1) // 2])
+                if cut == column[-1]:
+                    cut = float(column[np.searchsorted(column, cut) - 1])
+            self.dim.append(dim)
+            self.cut.append(cut)
+            self.below.append([])
+            self.cell.append(count if spread[dim] == 0 else -1)
+            if spread[dim] == 0:
+                count += 1
+                continue
+            left = held[:, dim] <= cut
+            todo += [(held[~left], node), (held[left], node)]
+        # the order in which they come: the left branch first
+        self.cells = count
+
+    def fill(self, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        """Rows and tight boxes of the cells, and of the branches above them."""
+        n = len(self.cell)
+        self.rows = np.zeros(n, np.int64)
+        self.low = np.full((n, low.shape[1]), np.inf)
+        self.high = np.full((n, low.shape[1]), -np.inf)
+        for node in reversed(range(n)):
+            at = self.cell[node]
+            if at >= 0:
+                self.rows[node], self.low[node], self.high[node] = rows[at], low[at], high[at]
+            else:
+                parts = self.below[node]
+                self.rows[node] = self.rows[parts].sum()
+                self.low[node], self.high[node] = self.low[parts].min(0), self.high[parts].max(0)
+
+    def branch(self, vectors: np.ndarray, least: int) -> np.ndarray:
+        """The smallest node around each vector with ``least`` rows (0: the cell)."""
+        out = np.zeros(len(vectors), np.int64)
+        todo = [(0, np.arange(len(vectors)))]
+        while todo:
+            node, who = todo.pop()
+            out[who] = node
+            if not len(who) or not self.below[node]:
+                continue
+            left = vectors[who, self.dim[node]] <= self.cut[node]
+            for child, part in zip(self.below[node], (who[left], who[~left])):
+                if not least or self.rows[child] >= least:
+                    todo.append((child, part))
+        return out
+
+    def visits(
+        self, vectors: np.ndarray, floor: np.ndarray, bound: np.ndarray, home: np.ndarray
+    ) -> Iterator[tuple[int, np.ndarray]]:
+        """Cells whose boxes lie beyond ``floor`` and within ``bound`` (squared), outside of the home branch."""
+        todo = [(0, np.arange(len(vectors)))]
+        while todo:
+            node, who = todo.pop()
+            who = who[home[who] != node]
+            gap = np.maximum(np.maximum(self.low[node] - vectors[who], vectors[who] - self.high[node]), 0.0)
+            far = (gap * gap).sum(1)
+            near = far <= bound[who]
+            if self.below[node]:
+                if near.any():
+                    todo += [(child, who[near]) for child in self.below[node]]
+                continue
+            who = who[near & (far > floor[who])]
+            if len(who):
+                yield self.cell[node], who
+
+    def under(self, node: int) -> list[int]:
+        """The cells of a branch."""
+        found, todo = [], [node]
+        while todo:
+            at = todo.pop()
+            todo += self.below[at]
+            if self.cell[at] >= 0:
+                found.append(self.cell[at])
+        return found
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+
+
+def _at_home(tree: Tree, k: int):
+    """Each vector with the cells of the smallest branch around it that holds k rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [tree.under(node) for node in tree.branch(_matrix(batch.column("v")), k)]
+            yield _visits(batch, [(i, c) for i, found in enumerate(cells) for c in found])
+
+    return run
+
+
+def _abroad(tree: Tree, k: int):
+    """Each vector with the cells outside of that branch between ``floor`` and ``bound``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = _matrix(batch.column("v"))
+            floor, bound = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("floor", "bound"))
+            found = tree.visits(vectors, floor, bound, tree.branch(vectors, k)) if len(vectors) else ()
+            yield _visits(batch, [(i, cell) for cell, who in found for i in who.tolist()])
+
+    return run
+
+
+def _visits(batch: pa.RecordBatch, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    rows, cells = pa.array([i for i, _ in pairs], pa.int64()), pa.array([c for _, c in pairs], pa.int32())
+    return pa.RecordBatch.from_arrays([batch.column("v").take(rows), cells], names=["v", "cell"])
+
+
+def _answer(k: int):
+    """The k nearest rows of the cell for each vector that asks; a cell's own vectors come first."""
+
+    def nearest(points: np.ndarray, starts: np.ndarray, rows: pa.Array, asked: pa.Array) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(asked), ASKED):
+            some = asked.slice(at, ASKED)
+            vectors = _matrix(some)
+            squares = np.zeros((len(vectors), len(points)))
+            for d in range(points.shape[1]):
+                squares += (vectors[:, d : d + 1] - points[None, :, d]) ** 2
+            squares = np.round(squares, 9)
+            if len(points) > k:
+                least = np.partition(squares, k - 1, axis=1)[:, k - 1]
+                who, which = np.nonzero(squares <= least[:, None])
+            else:
+                who, which = np.nonzero(squares >= 0)
+            # points stand in the order of their first rows, which breaks ties
+            order = np.lexsort((which, squares[who, which], who))
+            who, which = who[order], which[order]
+            first = np.searchsorted(who, np.arange(len(vectors)))
+            kept = np.arange(len(who)) - first[who] < k
+            who, which = who[kept], which[kept]
+            sizes = starts[which + 1] - starts[which]
+            row = np.repeat(starts[which] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+            taken = rows.take(pa.array(row))
+            found = pa.StructArray.from_arrays(
+                [pa.array(np.repeat(squares[who, which], sizes)), taken.field("id"), taken.field("label")], ["d2", "id", "label"]
+            )
+            ends = np.concatenate(([0], np.cumsum(np.bincount(who, sizes, len(vectors)))))
+            yield pa.RecordBatch.from_arrays(
+                [some, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], names=["v", "found"]
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = None
+        held: list[pa.RecordBatch] = []
+        cell: tuple | None = None
+        for batch in batches:
+            place = np.stack([batch.column(c).to_numpy() for c in ("cell", "part", "kind")])
+            edges = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1
+            for start, end in zip([0, *edges], [*edges, batch.num_rows]):
+                if start == end:
+                    continue
+                here, kind = tuple(place[:2, start]), place[2, start]
+                part = batch.slice(start, end - start)
+                if here != at:
+                    at, held, cell = here, [], None
+                if kind == 0:
+                    held.append(part)
+                elif held:
+                    if cell is None:
+                        lists = pa.chunked_array([h.column("rows") for h in held]).combine_chunks()
+                        points = np.concatenate([_matrix(h.column("v")) for h in held])
+                        starts = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+                        cell = (points, starts.astype(np.int64), lists.flatten())
+                    yield from nearest(*cell, part.column("v"))
+
+    return run
 
 
 def neighbours(
@@ -110,155 +295,90 @@ def neighbours(
 ) -> tuple[DataFrame, list[str]]:
     """The ``k`` nearest training rows of every distinct test vector.
 
-    Ties in distance go to the smaller key. Rows with equal features are one vector:
-    a training vector keeps only its first ``k`` rows, which are all that can count,
-    and a test vector is searched once for all its rows. By default there are as many
-    pivots as the square root of the number of training vectors (at most 4096), so a
-    cell grows far slower than the data. Returns the frame (x0.., rank, label) and the
-    names of the vector columns.
+    Ties in distance (to nine digits of its square) go to the smaller key. Rows with equal
+    features are one vector: a training vector keeps only its first ``k`` rows, which are all
+    that can count, and a test vector is searched once for all its rows. By default a cell is
+    to hold CELL_ROWS vectors, so cells grow with the data; ``pivots`` sets their number.
+    Returns the frame (x0.., rank, label) and the names of the vector columns.
     """
+    spark = train.sparkSession
     xs = [f"x{i}" for i in range(len(columns))]
     moments = _moments(train, columns)
     first = Window.partitionBy(*xs).orderBy(key)
-    points = (
+    row_type = f"array<struct<id:{train.schema[key].dataType.simpleString()},label:{train.schema[label].dataType.simpleString()}>>"
+    points = materialize(
         _scaled_columns(train.select(key, label, *columns), columns, moments)
         .withColumn("_place", F.row_number().over(first))
         .where(F.col("_place") <= k)
         .groupBy(*xs)
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("id"),
-                                                  F.col(label).alias("label")))).alias("rows"))
-    )
-    points = materialize(points.withColumn("_v", F.array(*xs)))
-
-    if pivots is None:
-        pivots = int(min(MAX_PIVOTS, max(16, points.count() ** 0.5)))
-    spread = F.md5(F.concat_ws(",", *xs))
-    chosen = points.orderBy(spread, *xs).limit(pivots).select("_v").collect()
-    if not chosen:
-        empty = points.select(*xs, F.lit(0).alias("rank"), F.lit(None).cast("string").alias("label"))
-        return empty.where("false"), xs
-    centres = np.array([row["_v"] for row in chosen], dtype="float64")
-
-    place_type = T.StructType([T.StructField("cell", T.IntegerType()),
-                               T.StructField("reach", T.DoubleType())])
-
-    @F.pandas_udf(place_type)
-    def nearest_pivot(vectors: pd.Series) -> pd.DataFrame:
-        d = _distances(vectors, centres)
-        best = d.argmin(axis=1)
-        return pd.DataFrame({"cell": best.astype("int32"), "reach": d[np.arange(len(d)), best]})
-
-    placed = materialize(
-        points.withColumn("_p", nearest_pivot("_v")).select(
-            *xs, "rows", F.col("_p.cell").alias("cell"), F.col("_p.reach").alias("reach")
-        )
-    )
-    # one row per pivot comes to the driver
-    cells = (
-        placed.groupBy("cell")
-        .agg(
-            F.sum(F.size("rows")).alias("n"),
-            F.count("*").alias("vectors"),
-            F.max("reach").alias("radius"),
-        )
-        .collect()
-    )
-    ids = np.array([c["cell"] for c in cells])
-    sizes = np.array([c["n"] for c in cells], dtype="int64")
-    radii = np.array([c["radius"] for c in cells])
-    used = centres[ids]
-    splits = {c["cell"]: 1 + (c["vectors"] - 1) // CELL_SPLIT for c in cells}
-    split_map = F.create_map(*[F.lit(int(x)) for item in splits.items() for x in item])
-
-    visit_type = T.StructType([
-        T.StructField("home", T.IntegerType()),
-        T.StructField("cells", T.ArrayType(T.IntegerType())),
-        T.StructField("gaps", T.ArrayType(T.DoubleType())),
-        T.StructField("radii", T.ArrayType(T.DoubleType())),
-    ])
-
-    @F.pandas_udf(visit_type)
-    def cells_to_visit(vectors: pd.Series) -> pd.DataFrame:
-        """Cells by distance; the first ``home`` ones hold at least k rows together."""
-        d = _distances(vectors, used)
-        upper = d + radii
-        homes, visits, gaps, reaches = [], [], [], []
-        for row, limit in zip(d, upper):
-            order = np.argsort(limit, kind="stable")
-            filled = np.searchsorted(np.cumsum(sizes[order]), k)
-            bound = limit[order[filled]] if filled < len(order) else np.inf
-            near = np.argsort(row, kind="stable")
-            home = min(int(np.searchsorted(np.cumsum(sizes[near]), k)) + 1, len(near))
-            useful = row[near] - radii[near] <= bound * (1 + _SLACK) + _SLACK
-            useful[:home] = True
-            kept = near[useful]
-            homes.append(home)
-            visits.append(ids[kept].astype("int32"))
-            gaps.append(row[kept])
-            reaches.append(radii[kept])
-        return pd.DataFrame({"home": homes, "cells": visits, "gaps": gaps, "radii": reaches})
-
-    ts = [f"t{i}" for i in range(len(xs))]
-    wanted = _scaled_columns(test.select(*columns), columns, moments).select(*xs).distinct()
-    wanted = materialize(
-        wanted.withColumn("_c", cells_to_visit(F.array(*xs))).select(
-            *[F.col(x).alias(t) for x, t in zip(xs, ts)],
-            F.col("_c.home").alias("home"),
-            F.arrays_zip(
-                F.col("_c.cells").alias("cell"),
-                F.col("_c.gaps").alias("gap"),
-                F.col("_c.radii").alias("radius"),
-            ).alias("visits"),
-        )
-    )
-    stored = placed.withColumn(
-        "split", F.pmod(F.xxhash64(*xs), split_map[F.col("cell")]).cast("int")
-    )
-    squared: Column = F.lit(0.0)
-    for x, t in zip(xs, ts):
-        squared = squared + (F.col(x) - F.col(t)) * (F.col(x) - F.col(t))
-
-    def meet(trips: DataFrame) -> DataFrame:
-        """Test vectors beside the training vectors of the cells they visit."""
-        every = F.sequence(F.lit(0), split_map[F.col("cell")] - F.lit(1))
-        return trips.withColumn("split", F.explode(every)).join(stored, ["cell", "split"])
-
-    # first the home cells alone: their k-th distance bounds the answer tightly
-    at_home = wanted.select(*ts, F.explode(F.slice("visits", F.lit(1), F.col("home"))).alias("v"))
-    near = meet(at_home.select(*ts, F.col("v.cell").alias("cell"))).select(
-        *ts, squared.alias("d2"), F.size("rows").alias("n")
-    )
-    so_far = F.sum("n").over(
-        Window.partitionBy(*ts).orderBy("d2").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    bounds = (
-        near.withColumn("_seen", so_far)
-        .groupBy(*ts)
-        .agg(F.min(F.when(F.col("_seen") >= k, F.col("d2"))).alias("_b2"))
-    )
-    limit = F.coalesce(F.col("_b2"), F.lit(float("inf"))) * (1 + _SLACK) + _SLACK
-    bounds = materialize(bounds.select(*ts, limit.alias("bound2")))
-
-    # then every cell the bound can reach; only vectors within the bound survive the join
-    bound = F.sqrt("bound2")
-    far = (
-        wanted.join(bounds, ts)
-        .select(*ts, "bound2", F.explode("visits").alias("v"))
-        .where(F.col("v.gap") - F.col("v.radius") <= bound)
-        .select(*ts, "bound2", F.col("v.cell").alias("cell"), F.col("v.gap").alias("gap"))
-    )
-    met = (
-        meet(far)
-        .where((F.abs(F.col("gap") - F.col("reach")) <= bound) & (squared <= F.col("bound2")))
-        .select(*ts, squared.alias("d2"), F.col("rows"), F.element_at("rows", 1)["id"].alias("low"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("id"), F.col(label).alias("label")))).alias("rows"))
+        .select(F.array(*xs).alias("v"), F.col("rows").cast(row_type).alias("rows"))
     )
-    by_vector = Window.partitionBy(*ts).orderBy("d2", "low")
-    close = met.withColumn("_place", F.row_number().over(by_vector)).where(F.col("_place") <= k)
-    listed = close.select(*ts, "d2", F.explode("rows").alias("r"))
-    by_row = Window.partitionBy(*ts).orderBy("d2", F.col("r.id"))
-    ranked = listed.withColumn("rank", F.row_number().over(by_row)).where(F.col("rank") <= k)
+    count = points.count()
+    leaves = pivots or max(16, count // CELL_ROWS)
+    # a sample of as many vectors as the cells need, by a hash of the vector
+    share = min(1.0, leaves * CELL_SAMPLE / max(count, 1))
+    hashed = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = np.array([r["v"] for r in points.where(hashed).select("v").sort("v").collect()], dtype="float64")
+    tree = Tree(sample.reshape(len(sample), len(xs)), leaves)
+
+    @F.pandas_udf("int")
+    def cell_of(vectors: pd.Series) -> pd.Series:
+        nodes = tree.branch(np.stack(vectors.to_numpy()), 0) if len(vectors) else []
+        return pd.Series([tree.cell[n] for n in nodes], dtype="int32")
+
+    placed = materialize(points.withColumn("cell", cell_of("v")))
+    sides = [f(F.get("v", F.lit(i))).alias(f"{n}{i}") for i in range(len(xs)) for n, f in (("low", F.min), ("high", F.max))]
+    boxes = placed.groupBy("cell").agg(F.sum(F.size("rows")).alias("n"), *sides).collect()  # one row a cell
+    rows = np.zeros(tree.cells, np.int64)
+    low, high = np.full((tree.cells, len(xs)), np.inf), np.full((tree.cells, len(xs)), -np.inf)
+    for box in boxes:
+        rows[box["cell"]] = box["n"]
+        low[box["cell"]] = [box[f"low{i}"] for i in range(len(xs))]
+        high[box["cell"]] = [box[f"high{i}"] for i in range(len(xs))]
+    tree.fill(rows, low, high)
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found_type = f"v array<double>, found array<struct<d2:double,{row_type[len('array<struct<') : -2]}>>"
+
+    def answers(visits: DataFrame) -> DataFrame:
+        """(v, found): what each visited cell answers."""
+        crowded = visits.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CELL_SPLIT).collect()
+        parts = F.lit(1)
+        if crowded:
+            known = F.create_map(*[F.lit(x) for r in crowded for x in (r["cell"], 1 + r["n"] // CELL_SPLIT)])
+            parts = F.coalesce(known[F.col("cell")], F.lit(1))
+        used = placed.join(visits.select("cell").distinct(), "cell", "left_semi")
+        held = used.select(
+            "cell", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"), F.lit(0).alias("kind"),
+            "v", "rows", F.get("rows", F.lit(0))["id"].alias("low"),
+        )
+        asked = visits.select(
+            "cell", F.pmod(F.xxhash64("v"), parts).cast("int").alias("part"), F.lit(1).alias("kind"), "v",
+            F.lit(None).cast(row_type).alias("rows"), F.lit(None).cast(train.schema[key].dataType).alias("low"),
+        )
+        met = held.unionByName(asked).repartition(tasks, "cell", "part").sortWithinPartitions("cell", "part", "kind", "low")
+        return met.drop("low").mapInArrow(_answer(k), found_type)
+
+    def merged(found: DataFrame) -> DataFrame:
+        best = F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, k)
+        return found.groupBy("v").agg(best.alias("found"))
+
+    kth = F.when(F.size("found") >= k, F.element_at("found", k)["d2"] * (1 + _SLACK) + _SLACK)
+    bound = F.coalesce(kth, F.lit(float("inf")))
+    wanted = _scaled_columns(test.select(*columns), columns, moments).select(F.array(*xs).alias("v")).distinct()
+    best = materialize(merged(answers(materialize(wanted.mapInArrow(_at_home(tree, k), "v array<double>, cell int")))))
+    best = best.withColumns({"floor": F.lit(-1.0), "half": bound / 4})
+    for limit in (F.col("half"), bound):
+        visits = best.select("v", "floor", limit.alias("bound")).mapInArrow(_abroad(tree, k), "v array<double>, cell int")
+        visits = materialize(visits)
+        if not visits.isEmpty():
+            more = merged(best.select("v", "found").unionByName(answers(visits)))
+            best = materialize(more.join(best.select("v", "half"), "v"))
+        best = best.withColumn("floor", F.col("half"))
+    ranked = best.select("v", F.posexplode("found").alias("place", "r"))
     return ranked.select(
-        *[F.col(t).alias(x) for t, x in zip(ts, xs)], "rank", F.col("r.label").alias("label")
+        *[F.get("v", F.lit(i)).alias(x) for i, x in enumerate(xs)], (F.col("place") + 1).alias("rank"), F.col("r.label").alias("label")
     ), xs
 
 

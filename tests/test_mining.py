@@ -44,7 +44,7 @@ def sample():
     ]
 
 
-@pytest.mark.parametrize("method", ["subsets", "fpgrowth", "auto"])
+@pytest.mark.parametrize("method", ["subsets", "bitmaps", "auto"])
 def test_itemsets_equal_brute_force(spark, sample, method):
     found = mining.frequent_itemsets(baskets(spark, sample), 0.05, method=method).collect()
     assert {tuple(r["items"]): r["n"] for r in found} == brute_itemsets(sample, 0.05)
@@ -74,10 +74,9 @@ def test_long_baskets_go_to_fpgrowth(spark):
 def test_counted_baskets_mine_like_plain_ones(spark, sample):
     plain = baskets(spark, sample)
     counted = plain.groupBy("items").count().withColumnRenamed("count", "n")
-    for method in ("subsets", "fpgrowth"):
+    for method in ("subsets", "bitmaps"):
         found = mining.frequent_itemsets(counted, 0.05, method=method).collect()
         assert {tuple(r["items"]): r["n"] for r in found} == brute_itemsets(sample, 0.05)
-    assert mining._repeat(counted, chunk=2).count() == len(sample)
 
 
 def test_counting_first_gives_the_same_baskets(spark):
@@ -144,3 +143,38 @@ def test_rule_filters_and_labels(spark, sample):
     assert all(r["confidence"] >= 0.5 and r["lift"] >= 1.1 for r in kept)
     top = mining.top_rules(rules, 5).collect()
     assert len(top) == 5 and all(" → " in r["rule"] for r in top)
+
+
+def test_a_basket_of_seventy_items(spark, monkeypatch):
+    monkeypatch.setattr(mining, "BLOCK", 16)
+    monkeypatch.setattr(mining, "CANDIDATES", 700)
+    rnd = random.Random(7)
+    names = [f"i{i:02}" for i in range(70)]
+    lists = [names] + [rnd.sample(names, rnd.randrange(1, 9)) for _ in range(150)]
+    lists += [names[:4] + rnd.sample(names[4:], 3) for _ in range(100)] + [[]]
+    found = mining.frequent_itemsets(baskets(spark, lists), 0.02, None).collect()
+    got = {tuple(r["items"]): r["n"] for r in found}
+    counts = {}
+    for items in map(sorted, lists[1:]):
+        for size in range(1, len(items) + 1):
+            for combo in itertools.combinations(items, size):
+                counts[combo] = counts.get(combo, 0) + 1
+    # the long basket adds one to each set that another basket has; its other sets are too rare
+    expected = {c: n + 1 for c, n in counts.items() if (n + 1) / len(lists) >= 0.02}
+    assert got == expected and max(map(len, got)) >= 4
+
+
+@pytest.mark.parametrize("method", ["subsets", "bitmaps"])
+def test_retry_support_applies_if_nothing_is_frequent(spark, sample, method):
+    found = mining.frequent_itemsets(baskets(spark, sample), 0.99, 0.1, method).collect()
+    assert {tuple(r["items"]): r["n"] for r in found} == brute_itemsets(sample, 0.1)
+    assert mining.frequent_itemsets(baskets(spark, sample), 0.99, None, method).collect() == []
+    assert mining.frequent_itemsets(baskets(spark, []), 0.01, method=method).collect() == []
+
+
+def test_counted_baskets_weigh_in_bitmaps(spark):
+    counted = spark.createDataFrame([(["a", "b"], 10**12), (["a"], 5), (["a", "b", "c"], 2)], "items array<string>, n long")
+    found = mining.frequent_itemsets(counted, 1e-12, None, "bitmaps").collect()
+    assert {tuple(r["items"]): r["n"] for r in found} == {
+        ("a",): 10**12 + 7, ("b",): 10**12 + 2, ("a", "b"): 10**12 + 2, ("c",): 2, ("a", "c"): 2, ("b", "c"): 2, ("a", "b", "c"): 2
+    }
