@@ -1166,6 +1166,66 @@ _oracle(
       "precipitation_mm",
     i="day_num is_weekend priority_numeric",
 )
+_KNN_COLUMNS = (
+    "latitude_centroid longitude_centroid hour_sin hour_cos day_num is_weekend temperature_f humidity_pct "
+    "precipitation_mm priority_numeric"
+).split()
+
+
+def _knn() -> str:
+    """All training rows against all test vectors, ranked by distance, then by key."""
+    moments = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_KNN_COLUMNS))
+    scaled = ", ".join(
+        f"(CAST({c} AS DOUBLE) - m{i}) / CASE WHEN s{i} = 0 THEN 1 ELSE s{i} END AS x{i}" for i, c in enumerate(_KNN_COLUMNS)
+    )
+    xs = ", ".join(f"x{i}" for i in range(len(_KNN_COLUMNS)))
+    squares = " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(len(_KNN_COLUMNS)))
+    same = " AND ".join(f"t.x{i} = v.x{i}" for i in range(len(_KNN_COLUMNS)))
+    return f"""features AS (
+  SELECT incident_number, latitude_centroid, longitude_centroid, {_TIMES}, temperature_f, humidity_pct,
+         precipitation_mm, priority_numeric, final_problem_category AS label
+  FROM calls_weather WHERE latitude_centroid IS NOT NULL AND precipitation_mm IS NOT NULL),
+halves AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(incident_number || '-42'), incident_number)
+            <= floor(count(*) OVER (PARTITION BY label) * 0.8e0) AS is_train FROM features),
+moments AS (SELECT {moments} FROM halves WHERE is_train),
+scaled AS MATERIALIZED (SELECT incident_number, label, is_train, {scaled} FROM halves, moments),
+vectors AS (SELECT *, row_number() OVER () AS id FROM (SELECT DISTINCT {xs} FROM scaled WHERE NOT is_train)),
+near AS (
+  SELECT id, label, row_number() OVER (PARTITION BY id ORDER BY d, incident_number) AS place
+  FROM (SELECT b.id, a.label, a.incident_number, round({squares}, 9) AS d FROM scaled a, vectors b WHERE a.is_train)
+  QUALIFY place <= 13),
+votes AS (
+  SELECT id, k, label, count(*) AS n FROM near JOIN (SELECT unnest([3, 5, 7, 9, 11, 13]) AS k) ON place <= k
+  GROUP BY id, k, label),
+elected AS (
+  SELECT id, k, label AS prediction FROM votes
+  QUALIFY row_number() OVER (PARTITION BY id, k ORDER BY n DESC, label) = 1),
+predicted AS (
+  SELECT t.incident_number, t.label, e.prediction, e.k
+  FROM scaled t JOIN vectors v ON {same} JOIN elected e ON e.id = v.id WHERE NOT t.is_train),
+accuracies AS (
+  SELECT k, count(*) FILTER (label = prediction) / CAST(count(*) AS DOUBLE) AS accuracy FROM predicted GROUP BY k)"""
+
+
+_oracle(
+    "knn_classify",
+    f"""WITH {_knn()}
+---
+SELECT incident_number, label, prediction, k FROM predicted
+WHERE k = (SELECT k FROM accuracies ORDER BY accuracy DESC, k LIMIT 1)""",
+    i="k",
+)
+_oracle("knn_accuracy", f"WITH {_knn()}\n---\nSELECT k, accuracy FROM accuracies", d="accuracy", i="k")
+_oracle(
+    "rules_retry",
+    f"""WITH {_mined('slots', 0.005)}
+---
+SELECT array_to_string(a, '|') AS antecedents, array_to_string(b, '|') AS consequents, support, confidence, lift
+FROM mined WHERE lift >= 1.2e0
+  AND NOT EXISTS (SELECT 1 FROM itemsets WHERE support >= 0.9e0)""",
+    d=_RULE,
+)
 _oracle(
     "priority_features",
     f"""SELECT incident_number, latitude_centroid, longitude_centroid, {_TIMES}, response_hour,
