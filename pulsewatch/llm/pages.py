@@ -11,9 +11,12 @@ article beside the one taken is a part of the same article and is joined.
 
 Left out everywhere: menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments, told by tag, role, class or id. A header inside the container gives
-its headings. What only a class or id tells is decided when the page has been read: a name of an
-article ("content has-sidebar") or of a state ("no-sidebar", "ad-free") leaves nothing out, a part
-that outweighs all that remains is taken for a wrapper, and if nothing remains the largest is kept.
+its headings. What a form, an aside, a role, a hidden mark, a class or an id tells is decided when the
+page has been read: a name of an article ("content has-sidebar") or of a state ("no-sidebar",
+"ad-free") leaves nothing out, a part that outweighs all that remains is taken for a wrapper (if a
+mark says plainly what it is, only with an article or a main heading in it), and if nothing remains
+the largest is kept. Attributes are read one by one, so words in values are never taken for marks.
+Of the cells of a layout table those with little prose beside the fullest are left out.
 
 Edge cases: null or empty html gives an empty text; cut-off pages are read to their end; repeated
 rows each give a row; pages of one host are never gathered in one task, only its votes are summed.
@@ -47,7 +50,7 @@ CONTAINERS = {"article", "body", "div", "main", "section", "td", "center", "html
 #: Tags that an opening tag ends if they are open in the same scope.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body"}
-OUT_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "head", "audio", "video", "canvas"}
+OUT_TAGS = {"nav", "footer", "menu", "dialog", "button", "select", "head", "audio", "video", "canvas"}
 OUT_ROLES = {"navigation", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
 OUT_WORDS = {
     "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "sidebar", "aside", "cookie", "cookies",
@@ -71,7 +74,8 @@ _TOKEN = re.compile(
       | <[!?/][^>]*+(?:>|\Z)""",
     re.S | re.X,
 )
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/>]|\Z)""", re.I)
+#: One attribute after the other: name, and value if it has one, whose words are never taken for names.
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]+))?|["'=/<>]""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _NUMBER = re.compile(r"\d+")
 
@@ -115,7 +119,11 @@ class Page:
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {k.lower(): (v or "").strip("\"'") for k, v in _ATTR.findall(text)} if text else {}
+    found: dict[str, str] = {}
+    for name, value in _ATTR.findall(text) if text else ():
+        if name and name.lower() not in found:  # of two equal names the first counts
+            found[name.lower()] = entities.unescape(value[1:].rstrip(value[0]) if value[:1] in ("'", '"') else value)
+    return found
 
 
 def prose(block: Block) -> float:
@@ -236,8 +244,7 @@ def parse(html: str) -> Page:
                     break
         own = _attributes(attributes)
         top = stack[-1]
-        out = top.out or tag in OUT_TAGS or own.get("role", "").lower() in OUT_ROLES or "hidden" in own
-        out = out or own.get("aria-hidden", "") == "true"
+        out = top.out or tag in OUT_TAGS
         article = top.article or tag in ("article", "main")
         header, region, heading_region = top.header, top.region, top.heading_region
         names = [{w.lower() for w in _WORD.findall(n)} for n in f"{own.get('class', '')} {own.get('id', '')}".split()]
@@ -253,7 +260,10 @@ def parse(html: str) -> Page:
             while at_region:
                 regions[at_region].article = True
                 at_region = regions[at_region].parent
-        if not proper and words & OUT_WORDS:
+        told = tag == "aside" or own.get("role", "").lower() in OUT_ROLES or "hidden" in own
+        told = (told or own.get("aria-hidden", "").lower() == "true") and tag not in ("html", "body")
+        if told or tag == "form" or (not proper and words & OUT_WORDS):
+            named = told or (not proper and named)
             regions.append(Region(region, named, bool(words & TALK_WORDS), tag in ("article", "main")))
             region = heading_region = len(regions) - 1
         if tag == "header" or own.get("role", "").lower() == "banner":
@@ -309,6 +319,13 @@ def scores(page: Page) -> dict[str, float]:
 
 def text_by(page: Page, *paths: str) -> str:
     inside = {i for i, p in enumerate(page.paths) if p in paths}
+    cells = {i: 0.0 for i in inside if page.paths[i].rpartition("/")[2].split(".")[0] == "td"}
+    if len(cells) > 1:
+        # the cells of a layout table have one path: those with little prose beside the fullest are not the article
+        for b in page.blocks:
+            for i in cells.keys() & set(b.containers):
+                cells[i] += prose(b)
+        inside -= {i for i, held in cells.items() if 4 * held < max(cells.values())}
     return "\n".join(b.text for b in page.blocks if not inside.isdisjoint(b.containers))
 
 

@@ -183,3 +183,46 @@ def test_rows_without_a_number_or_a_dialogue_stay(spark):
     yes, no, hm = "<|assistant|>\nyes<|end|>\n", "<|user name=b|>\nno<|end|>\n", "<|user name=b|>\nhm<|end|>\n"
     assert one["a"]["text"] == yes + yes + no + hm
     assert (one["a"]["n_turns"], one["a"]["n_trained"], one["b"]["n_trained"]) == (4, 2, 2)
+
+
+BODY = "<h1>The head line</h1><p>First paragraph of the story, long enough to be one.</p><p>Second paragraph, just as long as that.</p>"
+BODY_TEXT = "The head line\nFirst paragraph of the story, long enough to be one.\nSecond paragraph, just as long as that."
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<article data-title="The hidden cost of things">{BODY}</article>',
+        f'<article data-hidden="false">{BODY}</article>',
+        f'<article data-role="navigation">{BODY}</article>',
+        f'<article style="overflow: hidden ;x:y">{BODY}</article>',
+        f"<article title='role=navigation hidden'>{BODY}</article>",
+        f"<body><form action='/x' method=post><div>{BODY}</div></form></body>",
+        f"<body><form><nav>Menu</nav><main>{BODY}</main><footer>Foot</footer></form></body>",
+        f'<body><div aria-hidden="true"><article>{BODY}</article></div><p>Small.</p></body>',
+        f'<body><article>{BODY}</article><aside><p>Beside the story there is this.</p></aside></body>',
+        f'<body><article>{BODY}</article><form><p>Sign up for our letter</p><input></form></body>',
+        f'<body><article>{BODY}</article><div hidden><p>Hidden words here.</p></div></body>',
+        f'<body><article>{BODY}</article><div role="complementary"><p>Beside the story.</p></div></body>',
+        f"<body><table><tr><td>Menu</td><td>{BODY}</td></tr></table></body>",
+        f"<body><table><tr><td><a href=x>Menu</a></td><td>{BODY}</td><td><p>Advert</p></td></tr></table></body>",
+    ],
+)
+def test_marks_in_values_and_wrappers_lose_no_article(spark, html):
+    rows = [(i, f"http://h{i % 2}/x", html) for i in range(3)]
+    found = pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["text"] for r in found} == {BODY_TEXT}
+
+
+def test_titles_of_links_do_not_hide_their_words(spark):
+    html = f'<article>{BODY}<p>See <a title="a hidden gem" href="/x">this place</a> for more of it.</p></article>'
+    row = pages.extracted(spark.createDataFrame([(1, "http://h/", html)], "page_id long, url string, html string")).first()
+    assert row["text"] == BODY_TEXT + "\nSee this place for more of it."
+
+
+def test_attributes_are_read_one_by_one():
+    read = pages._attributes
+    assert read(""" class="a b" id=x hidden data-id='y' CLASS=c """) == {"class": "a b", "id": "x", "hidden": "", "data-id": "y"}
+    assert read(""" title="class=nav id=ad" role = 'main' a=b/c """) == {"title": "class=nav id=ad", "role": "main", "a": "b/c"}
+    assert read(""" x="unclosed hidden role=form""") == {"x": "unclosed hidden role=form"}
+    assert read("") == {} and read(" / ") == {}
