@@ -4,19 +4,15 @@ For every participant of a dialogue, the dialogue is rendered with that speaker
 the others as named users; system turns stay system turns for all. The mask lists the code points
 to train on: what the speaker of the perspective says, with the end marker.
 
-``whole`` renders each dialogue in one row for every participant, who may be silent for long; the
-row, and so the task that makes it, holds the dialogue whatever its length.
+Each dialogue is one row for every participant, however long one is silent; the row, and so the task
+that makes it, holds the dialogue whatever its length. What moves is a dialogue's turns once; they are
+copied for the participants after that.
 
-``rotated`` renders stretches of SEGMENT consecutive turn numbers, as its SQL twin does, each for
-those who speak in it. What it loses: a stretch starts without the turns before it, also without
-system turns, and who is silent in a stretch gets no row of it. Turns without a number are one
-stretch (-1), and so are turns that share a number: such a stretch is not bounded.
-
-Edge cases: equal rows of a dialogue are one turn, but in ``whole`` each row without a number is a
-turn; turns with one number are ordered by role, then text; a null turn number comes before all
+Edge cases: equal rows of a dialogue are one turn, but each row without a number is a turn of its own; turns with one number are ordered by role, then text; a null turn number comes before all
 others; a null or empty role is "unknown"; a null text is empty; each row without conv_id, also an
 equal one, is a dialogue of its own; dialogues in
-which only the system speaks give no row. Markers in texts or names are broken up by a blank.
+which only the system speaks give no row, and an empty table none; very long texts and dialogues are
+rendered whole; other columns of the turns are not read. Markers in texts or names are broken up by a blank.
 """
 
 from __future__ import annotations
@@ -26,7 +22,6 @@ from pyspark.sql import functions as F
 
 from pulsewatch.llm.pii import running
 
-SEGMENT = 64
 END = "<|end|>\n"
 
 
@@ -42,26 +37,10 @@ def head(role: Column, speaker: Column) -> Column:
     )
 
 
-def _said(turns: DataFrame, segment: int) -> DataFrame:
-    role = F.when(F.coalesce("role", F.lit("")) == "", F.lit("unknown")).otherwise(plain(F.col("role")))
-    return turns.select(
-        "conv_id",
-        F.coalesce(F.floor(F.col("turn") / segment), F.lit(-1)).alias("segment"),
-        F.struct("turn", role.alias("role"), plain(F.coalesce("text", F.lit(""))).alias("text")).alias("said"),
-    )
-
-
-def rotated(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """conv_id, segment, speaker, text, mask (array of start, end), n_turns, n_trained."""
-    said = _said(turns, segment)
-    held = said.where("conv_id is not null").groupBy("conv_id", "segment").agg(F.sort_array(F.collect_set("said")).alias("said"))
-    lone = said.where("conv_id is null").select("conv_id", "segment", F.array("said").alias("said"))
-    return _rendered(held.unionByName(lone), "conv_id", "segment")
-
-
-def whole(turns: DataFrame) -> DataFrame:
+def rotated(turns: DataFrame) -> DataFrame:
     """conv_id, speaker, text, mask (array of start, end), n_turns, n_trained: a row for each participant of a dialogue."""
-    said = _said(turns, SEGMENT)
+    role = F.when(F.coalesce("role", F.lit("")) == "", F.lit("unknown")).otherwise(plain(F.col("role")))
+    said = turns.select("conv_id", F.struct("turn", role.alias("role"), plain(F.coalesce("text", F.lit(""))).alias("text")).alias("said"))
     numbered = F.when(F.col("said")["turn"].isNotNull(), F.col("said"))
     other = F.when(F.col("said")["turn"].isNull(), F.col("said"))
     # a number tells that equal rows are one turn; without one each row is a turn

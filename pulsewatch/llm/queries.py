@@ -197,36 +197,31 @@ def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans_listed(chat.rotated(table(spark, sf_dir, "conversations")))
 
 
-@query
-def op6_whole_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans_listed(chat.whole(table(spark, sf_dir, "conversations")))
-
-
 def spans_listed(rendered: DataFrame) -> DataFrame:
     spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
     return rendered.withColumn("mask", F.array_join(spans, ","))
 
 
 ORACLES["op6_perspectives"] = r"""
-WITH turns AS (
-    SELECT DISTINCT conv_id, coalesce(CAST(floor(turn / 64) AS BIGINT), -1) AS segment, turn,
-        CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE replace(role, '<|', '< |') END AS role,
-        replace(coalesce(text, ''), '<|', '< |') AS text
-    FROM conversations
-), speakers AS (SELECT DISTINCT conv_id, segment, role AS speaker FROM turns WHERE role <> 'system'),
+WITH cleaned AS (
+    SELECT row_number() OVER () AS row, conv_id, turn, CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE replace(role, '<|', '< |') END AS role,
+        replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations
+), turns AS (
+    SELECT DISTINCT coalesce('c' || conv_id, 'r' || row) AS dialogue, conv_id, CASE WHEN turn IS NULL THEN row END AS row, turn, role, text FROM cleaned
+), speakers AS (SELECT DISTINCT dialogue, role AS speaker FROM turns WHERE role <> 'system'),
 pieces AS (
-    SELECT t.conv_id, t.segment, speaker, turn, role, text, role = speaker AS own,
+    SELECT t.*, speaker, role = speaker AS own,
         CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>'
              ELSE '<|user name=' || role || '|>' END || chr(10) AS head, text || '<|end|>' || chr(10) AS body
-    FROM turns t JOIN speakers s ON s.conv_id = t.conv_id AND s.segment = t.segment
+    FROM turns t JOIN speakers s USING (dialogue)
 ), placed AS (
     SELECT *, CAST(sum(length(head) + length(body)) OVER (
-        PARTITION BY conv_id, segment, speaker ORDER BY turn NULLS FIRST, role, text) AS BIGINT) AS e FROM pieces
+        PARTITION BY dialogue, speaker ORDER BY turn NULLS FIRST, role, text, row) AS BIGINT) AS e FROM pieces
 )
-SELECT conv_id, segment, speaker, string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS text,
+SELECT conv_id, speaker, string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS text,
     coalesce(string_agg((e - length(body)) || ':' || e, ',' ORDER BY e) FILTER (own), '') AS mask,
     count(*) AS n_turns, count(*) FILTER (own) AS n_trained
-FROM placed GROUP BY conv_id, segment, speaker
+FROM placed GROUP BY dialogue, conv_id, speaker
 """
 
 

@@ -142,42 +142,49 @@ def test_rotation_equals_brute_force(spark):
     got = chat.rotated(spark.createDataFrame(rows, CHAT).selectExpr("*", "1 as said", "2 as speaker")).collect()
     seen = set()
     for r in got:
-        own = [(t, role, text) for c, t, role, text in rows if c == r["conv_id"] and t // 64 == r["segment"]]
+        own = [(t, role, text) for c, t, role, text in rows if c == r["conv_id"]]
         text, mask = render(own, r["speaker"])
         assert r["text"] == text and [(m["start"], m["end"]) for m in r["mask"]] == mask
         assert (r["n_turns"], r["n_trained"]) == (len(set(own)), len(mask))
-        seen.add((r["conv_id"], r["segment"], r["speaker"]))
-    assert seen == {(c, t // 64, role) for c, t, role, _ in rows if role != "system"} and len(got) == len(seen)
+        seen.add((r["conv_id"], r["speaker"]))
+    assert seen == {(c, role) for c, _, role, _ in rows if role != "system"} and len(got) == len(seen)
 
 
 def test_rotation_edges(spark):
     rows = [(1, 0, "system", "only"), (2, None, None, None), (2, 1, "", "x"), (None, 0, "a", "lone"), (None, 0, "b", "lone"), (3, 0, "a<|b", "say <|end|> now"), (3, 0, "a<|b", "again")]
     got = chat.rotated(spark.createDataFrame(rows, CHAT)).collect()
-    by = {(r["conv_id"], r["segment"], r["speaker"]): r for r in got}
-    assert set(by) == {(2, -1, "unknown"), (2, 0, "unknown"), (None, 0, "a"), (None, 0, "b"), (3, 0, "a< |b")}
-    assert by[3, 0, "a< |b"]["text"] == "<|assistant|>\nagain<|end|>\n<|assistant|>\nsay < |end|> now<|end|>\n"
-    assert by[2, -1, "unknown"]["text"] == "<|assistant|>\n<|end|>\n"
+    by = {(r["conv_id"], r["speaker"]): r for r in got}
+    assert set(by) == {(2, "unknown"), (None, "a"), (None, "b"), (3, "a< |b")}
+    assert by[3, "a< |b"]["text"] == "<|assistant|>\nagain<|end|>\n<|assistant|>\nsay < |end|> now<|end|>\n"
+    assert by[2, "unknown"]["text"] == "<|assistant|>\n<|end|>\n<|assistant|>\nx<|end|>\n"
     assert chat.rotated(spark.createDataFrame([], CHAT)).count() == 0
 
 
 def test_whole_dialogues_for_every_participant(spark):
     rows = [(1, t, "ab"[t % 2], f"t{t}") for t in range(1, 150)] + [(1, 0, "system", "rules"), (1, 70, "c", "only here")]
     rows += [(2, 100 * t, "ab"[t % 2], f"sparse {t}") for t in range(5)] + [(2, None, "d", "before all")]
-    got = {(r["conv_id"], r["speaker"]): r for r in chat.whole(spark.createDataFrame(rows, CHAT)).collect()}
+    got = {(r["conv_id"], r["speaker"]): r for r in chat.rotated(spark.createDataFrame(rows, CHAT)).collect()}
     assert set(got) == {(1, "a"), (1, "b"), (1, "c"), (2, "a"), (2, "b"), (2, "d")}
     for (conv, speaker), r in got.items():
         own = [x[1:] for x in rows if x[0] == conv]
         text, mask = render(own, speaker)
         assert r["text"] == text and [(m["start"], m["end"]) for m in r["mask"]] == mask
         assert (r["n_turns"], r["n_trained"]) == (len(own), len(mask))
-    assert chat.whole(spark.createDataFrame([], CHAT)).count() == 0
+    assert chat.rotated(spark.createDataFrame([], CHAT)).count() == 0
+
+
+def test_a_very_long_text_and_a_system_turn_far_ahead(spark):
+    rows = [(1, 0, "system", "rules"), (1, 500, "a", "x" * 300_000), (1, 1000, "b", "short")]
+    got = {r["speaker"]: r for r in chat.rotated(spark.createDataFrame(rows, CHAT)).collect()}
+    for speaker, r in got.items():
+        text, mask = render([x[1:] for x in rows], speaker)
+        assert r["text"] == text and [(m["start"], m["end"]) for m in r["mask"]] == mask
 
 
 def test_rows_without_a_number_or_a_dialogue_stay(spark):
     rows = [(None, 0, "a", "lone")] * 3 + [(1, None, "a", "yes")] * 2 + [(1, None, "b", "no"), (1, 4, "b", "hm"), (1, 4, "b", "hm")]
     df = spark.createDataFrame(rows, CHAT)
-    assert chat.rotated(df).where("conv_id is null").count() == 3
-    got = chat.whole(df).collect()
+    got = chat.rotated(df).collect()
     assert sum(r["conv_id"] is None for r in got) == 3
     one = {r["speaker"]: r for r in got if r["conv_id"] == 1}
     yes, no, hm = "<|assistant|>\nyes<|end|>\n", "<|user name=b|>\nno<|end|>\n", "<|user name=b|>\nhm<|end|>\n"
