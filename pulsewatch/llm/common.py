@@ -48,3 +48,26 @@ def unit(*columns: Column, seed: str = "") -> Column:
 def widened(fields: list[StructField], ddl: str) -> StructType:
     """Fields of an input, whatever their names, and more fields."""
     return StructType([*fields, *StructType.fromDDL(ddl).fields])
+
+
+#: A key that more than one row in so many has is hot; there are at most so many of them.
+HEAVY = 500
+
+
+def spread(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame:
+    """Left join on the text column ``key`` in which no hot key meets in one task.
+
+    ``right`` has each key once, the number ``n`` of left rows that have it, and values whose names
+    ``left`` lacks; ``total`` is the number of left rows. Hot keys meet by broadcast (at most HEAVY
+    rows), all others by a plain join. A key that ``right`` lacks gives null values.
+    """
+    values = [c for c in right.columns if c not in (key, "n")]
+    hot = right.where(F.col("n") * HEAVY > total)
+    hot = hot.select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_{c}") for c in values])
+    out = left.join(F.broadcast(hot), key, "left")
+    # a row that has met its partner has a key of its own, so that these do not meet in one task
+    own = F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string"))
+    cold = right.where(F.col("n") * HEAVY <= total).select(F.col(key).alias("_key"), *values)
+    out = out.withColumn("_key", F.when(F.col("_hot"), own).otherwise(F.col(key))).join(cold, "_key", "left")
+    found = {c: F.when(F.col("_hot"), F.col(f"_{c}")).otherwise(F.col(c)) for c in values}
+    return out.withColumns(found).drop("_key", "_hot", *[f"_{c}" for c in values])

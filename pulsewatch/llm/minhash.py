@@ -12,10 +12,11 @@ A shingle that only one document has can be in no intersection, and the overlap
 hub is known; both bound the overlap of a pair from above, exactly. Only pairs that these bounds
 allow and that no link joins yet are compared. Every link is confirmed on the full sets.
 
-Edge cases: null or blank texts have an empty set and link with nothing. Rows that repeat a doc_id
-are one node, which joins the copies of each of their texts and is compared by the smallest of them;
-each row is returned. A null doc_id links with nothing, has a null component and is kept. Other
-columns of the documents are not read.
+Edge cases: null or blank texts have an empty set and link with nothing; very long texts are taken whole;
+an empty table gives an empty result. Rows that repeat a doc_id with different texts are a node for each
+text, tied to each other afterwards; each row is returned. A null doc_id links with nothing, has a null
+component and is kept. The smallest doc_id names a component, so there are no ties. Other columns of the
+documents are not read.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import bound_batches, stored
+from pulsewatch.llm.common import bound_batches, spread, stored
 from pulsewatch.llm.components import components
 
 SHINGLE = 3
@@ -218,29 +219,54 @@ def near_duplicates(
     reach names the component and stays.
     """
     bound_batches(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    source = docs.select("doc_id", "text")
+    if not _ids_repeat(docs):
+        return _nodes(docs.select("doc_id", "text"), shingle, bands, rows, numer, denom)
+    # a node for each text of a doc_id; the smallest node of a component has its smallest doc_id
+    keyed = docs.where("doc_id is not null").select(F.struct(F.col("doc_id").alias("id"), _part().alias("part")).alias("doc_id"), "text")
+    nodes = stored(_nodes(keyed, shingle, bands, rows, numer, denom).drop("kept"), "text-nodes")
+    texts = nodes.select(F.col("doc_id.id").alias("id"), "component_id").distinct()
+    least = texts.groupBy("id").agg(F.min("component_id").alias("b"))
+    tied = texts.join(least, "id").select(F.col("component_id").alias("a"), "b").where("a <> b")
+    groups = components(tied, "same-id").withColumnRenamed("node", "component_id")
+    found = nodes.join(groups, "component_id", "left").select(
+        F.col("doc_id.id").alias("doc_id"), "n_shingles", F.coalesce("component", "component_id")["id"].alias("component_id")
+    )
+    found = found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return found.unionByName(_nodes(docs.where("doc_id is null").select("doc_id", "text"), shingle, bands, rows, numer, denom))
+
+
+def _part() -> Column:
+    return F.md5(F.coalesce("text", F.lit("")))
+
+
+def _ids_repeat(docs: DataFrame) -> bool:
+    """Whether a doc_id stands at different texts."""
+    ids = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h"))
+    bounds = ids.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    return not bounds.where("low <> high").isEmpty()
+
+
+def _nodes(source: DataFrame, shingle: int, bands: int, rows: int, numer: int, denom: int) -> DataFrame:
+    """``near_duplicates`` where equal ids have equal texts."""
+    kind = source.schema["doc_id"].dataType.simpleString()
     sketches = stored(
         source.mapInArrow(
             _sketch(shingle, bands, rows), f"doc_id {kind}, n long, one long, two long, keys array<long>"
         ),
         "sketches",
     )
-    sets = sketches.where("n > 0 and doc_id is not null")
-    copies = sets.groupBy("one", "two", "n").agg(F.min("doc_id").alias("rep"))
+    sets = sketches.where("n > 0 and doc_id is not null").withColumn("set", F.concat_ws(":", "one", "two", "n"))
+    copies = stored(sets.groupBy("set").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("m")), "copies")
     placed = stored(
-        sets.join(copies, ["one", "two", "n"]).select(
+        spread(sets, copies.withColumnRenamed("m", "n").select("set", "rep", "n"), "set", sets.count()).select(
             "doc_id", "rep", "n", F.when(F.col("doc_id") == F.col("rep"), F.col("keys")).alias("keys")
         ),
         "placed",
     )
     links = _bucket_links(source, placed, shingle, numer, denom)
-    # rows of one doc_id with different texts tie the sets of those texts
-    same_id = placed.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    several = same_id.join(placed.where("doc_id = rep").select(F.col("rep").alias("a")), "a", "left_semi")
-    groups = components(links.unionByName(several), "near")
+    groups = components(links, "near")
     found = placed.select("doc_id", "rep").distinct().join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    found = found.groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
+    found = found.select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     return (
         sketches.select("doc_id", F.col("n").alias("n_shingles"))
         .join(found, "doc_id", "left")
@@ -353,16 +379,12 @@ def deduplicated(
     Where a doc_id repeats with different texts, each of its texts is a document.
     """
     with_id = docs.where("doc_id is not null")
-    bounds = with_id.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"))
-    if bounds.where("low <> high").isEmpty():
-        nodes = near_duplicates(docs, shingle, bands, rows, numer, denom)
-        kept = nodes.where("kept").select("doc_id").distinct()
+    if not _ids_repeat(docs):
+        kept = _nodes(docs.select("doc_id", "text"), shingle, bands, rows, numer, denom).where("kept").select("doc_id").distinct()
         one = with_id.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     else:
-        part = F.md5(F.coalesce("text", F.lit("")))
-        keyed = with_id.select(F.struct(F.col("doc_id").alias("id"), part.alias("part")).alias("doc_id"), "text")
-        nodes = near_duplicates(keyed, shingle, bands, rows, numer, denom)
-        kept = nodes.where("kept").select("doc_id.id", "doc_id.part").distinct()
-        named = with_id.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), part.alias("part"))
+        keyed = with_id.select(F.struct(F.col("doc_id").alias("id"), _part().alias("part")).alias("doc_id"), "text")
+        kept = _nodes(keyed, shingle, bands, rows, numer, denom).where("kept").select("doc_id.id", "doc_id.part").distinct()
+        named = with_id.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), _part().alias("part"))
         one = named.join(kept, ["id", "part"], "left_semi").dropDuplicates(["id", "part"]).select("row.*")
     return one.select(*docs.columns).unionByName(docs.where("doc_id is null"))

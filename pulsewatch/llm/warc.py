@@ -12,8 +12,8 @@ time. Whole records are decoded in place. Segments are grouped by their origin i
 segment number and checked against the total length, then the transfer framing is decoded. A revisit
 takes length and digest of the payload from the record it refers to.
 
-Scale: pages with equal payloads are found on digests. Payloads that more than one page in HEAVY has,
-of which there are at most HEAVY, meet by broadcast, all others by a plain join; nothing is gathered.
+Scale: pages with equal payloads are found on digests. Payloads that more than one page in common.HEAVY
+has, of which there are at most HEAVY, meet by broadcast, all others by a plain join; nothing is gathered.
 Equal copies of a segment collapse before segments are grouped, so a group holds one record. A task
 reads as many files as Spark's bound on partition bytes lets it.
 
@@ -45,13 +45,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import bound_batches, stored
+from pulsewatch.llm.common import bound_batches, spread, stored
 from pulsewatch.session import shared_dir
 
 SEGMENT = 1 << 15  # bytes of a block in one record
 CHUNK = 1 << 13  # bytes of a chunk of the transfer framing
 FILE_RECORDS = 1024
-HEAVY = 500
 DATE = "2000-01-01T00:00:00Z"
 PREFIX = "urn:pulsewatch:page:"
 _VERSION = re.compile(rb"WARC/\d+\.\d+\s*\Z")
@@ -249,18 +248,6 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([{"origin": origin, "payload": payload, "status": status}], schema)
 
 
-def spread(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame:
-    """Left join to ``right`` (key once each, ``n`` left rows that have it): hot keys by broadcast, the others by a plain join."""
-    hot = right.where(F.col("n") * HEAVY > total).drop("n")  # at most HEAVY keys have so many of ``total`` rows
-    values = [c for c in hot.columns if c != key]
-    out = left.join(F.broadcast(hot.withColumns({f"_{c}": F.col(c) for c in values}).select(key, F.lit(True).alias("_hot"), *[f"_{c}" for c in values])), key, "left")
-    # a row that has met its partner has a key of its own, so that these do not meet in one task
-    own = F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string"))
-    cold = right.where(F.col("n") * HEAVY <= total).drop("n").withColumnRenamed(key, "_key")
-    out = out.withColumn("_key", F.when(F.col("_hot"), own).otherwise(F.col(key))).join(cold, "_key", "left")
-    return out.withColumns({c: F.when(F.col("_hot"), F.col(f"_{c}")).otherwise(F.col(c)) for c in values}).drop("_key", "_hot", *[f"_{c}" for c in values])
-
-
 def write(pages: DataFrame, path: str, least_bytes: int = 0, segment: int = SEGMENT, date: str = DATE) -> None:
     """Write ``pages`` (page_id, url, html) as archives below ``path``.
 

@@ -157,3 +157,16 @@ def test_graph_recall():
     found = graph.search(x[:300], 64)[0][:, :10]
     truth = np.argsort(-(x[:300] @ x.T), axis=1)[:, :10]
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(found, truth, strict=True)]) > 0.95
+
+
+def test_each_text_of_a_repeated_id_links(spark):
+    draw = random.Random(9)
+    a, b, c = (" ".join(f"{x}{draw.randrange(10**6)}" for _ in range(60)) for x in "abc")
+    schema = "doc_id long, text string"
+    for one, two, other in ((1, 1, 2), (5, 5, 2), (1, 3, 2)):
+        rows = [(one, a), (two, b), (other, b + " more"), (9, a + " more"), (10, c), (None, a), (10, c)]
+        got = minhash.near_duplicates(spark.createDataFrame(rows, schema)).collect()
+        ids = [{x for x in (one, two, other, 9) if x}] if one == two else [{one, 9}, {two, other}]
+        want = {i: min(group) for group in ids for i in group} | {10: 10, None: None}
+        assert len(got) == len(rows) and {(r["doc_id"], r["component_id"]) for r in got} == set(want.items())
+        assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)

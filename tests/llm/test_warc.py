@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from pulsewatch.llm import warc
+from pulsewatch.llm import common, warc
 
 SCHEMA = "page_id long, url string, html string, payload string, n int, sha string"
 
@@ -42,7 +42,7 @@ def test_round_trip(spark, segment, least):
 
 
 def test_hot_payload_meets_by_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(warc, "HEAVY", 4)
+    monkeypatch.setattr(common, "HEAVY", 4)
     rows = [(i, "u", "same" if i % 3 else f"own {i // 6}") for i in range(90)]
     assert found(pages_of(spark, rows)) == brute(rows)
 
