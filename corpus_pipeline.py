@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the
 last return the columns of documents; the last adds the number of the copy and its place in the
 shuffled order.
+
+Edge cases, in every stage: an empty table gives an empty one; further columns are kept as they are,
+whatever their names, but columns named copy and mix_key give way to those of the last stage; very
+long texts are taken whole. Null texts and texts without a letter go in the first stage; a null
+doc_id, source or lang does not matter. Equal rows are near duplicates, of which one stays.
 """
 
 from __future__ import annotations
@@ -62,7 +67,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat documents to the target weights of their sources and shuffle them."""
     out = mixing.mixed(docs)
-    return out.select("row.*", "copy", "mix_key")
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in ("copy", "mix_key")], "copy", "mix_key")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
