@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pulsewatch import schemas
 from pulsewatch.functions.geo import Grid, bounding_box, haversine_km
 from pulsewatch.operators.clean import keep_first
-from pulsewatch.session import at_most
+from pulsewatch.session import at_most, materialize
 
 # Event copies (day x cell) that are broadcast at most; about 100 bytes each.
 BROADCAST_COPIES = 200_000
@@ -111,12 +111,46 @@ def events_in_range(
     )
 
 
+# days are grouped by fours, those by fours, and so on: an event covers few nodes, however long it lasts
+RADIX_BITS, LEVELS = 2, 10
+
+
+def _time_nodes(first: Column, last: Column) -> Column:
+    """The fewest whole nodes (level, node) that make up the days ``first`` to ``last``.
+
+    Nodes of one event are disjoint, at most six a level, and a day lies in one at most.
+    """
+
+    def between(level: int) -> tuple[Column, Column]:
+        size = 1 << (RADIX_BITS * level)
+        return F.ceil(first / size).cast("long"), F.floor((last + 1) / size).cast("long")
+
+    def nodes(level: int, start: Column, end: Column) -> Column:
+        places = F.when(start < end, F.sequence(start, end - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(places, lambda node: F.struct(F.lit(level).alias("_level"), node.alias("_node")))
+
+    found = []
+    for level in range(LEVELS):
+        (start, end), (up, over) = between(level), between(level + 1)
+        radix = 1 << RADIX_BITS
+        # where whole nodes of the next level fit in, only what sticks out on either side is left here
+        left = F.when(up < over, up * radix).otherwise(end)
+        right = F.when(up < over, over * radix).otherwise(end)
+        found += [nodes(level, start, left), nodes(level, right, end)]
+    return F.flatten(F.array(*found))
+
+
+def _node_of(day: Column, levels: list[int]) -> Column:
+    """The nodes of ``levels`` that a day lies in."""
+    return F.array(*[
+        F.struct(F.lit(n).alias("_level"), F.shiftright(day, RADIX_BITS * n).cast("long").alias("_node")) for n in levels
+    ])
+
+
 def _event_cells(events: DataFrame, grid: Grid) -> DataFrame:
-    """Every (day, band, cell) an event can meet a call in."""
-    days = events.where(F.col("_from") <= F.col("_to")).withColumn(
-        "_day", F.explode(F.sequence("_from", "_to"))
-    )
-    banded = days.withColumn("_band", F.explode(grid.bands_around(F.col("event_lat"))))
+    """Every (level, node, band, cell) an event can meet a call in."""
+    timed = events.where(F.col("_from") <= F.col("_to")).select("*", F.inline(_time_nodes(F.col("_from"), F.col("_to"))))
+    banded = timed.withColumn("_band", F.explode(grid.bands_around(F.col("event_lat"))))
     return banded.withColumn(
         "_cell",
         F.explode(grid.cells_around(F.col("event_lat"), F.col("event_lon"), F.col("_band"))),
@@ -159,9 +193,11 @@ def pair_calls_with_events(
 ) -> DataFrame:
     """All (call, event) pairs inside the period and the radius.
 
-    A call has one day and one grid cell; an event is copied to the days and cells
-    it can reach. The two meet on equal keys, so no pair is tested or produced
-    twice, and the exact time and distance conditions are checked on the match.
+    A call has one day and one grid cell; an event is copied to the time nodes that make up
+    its days (logarithmically many) and the cells it can reach. A call looks at the node of its
+    day on each level that some event uses; short events use the lowest only. The two meet on
+    equal keys, no pair is tested or produced twice, and the exact time and distance conditions
+    are checked on the match.
 
     Up to ``broadcast_rows`` copies (those are counted, not the events) are broadcast and
     calls never move. Beyond, both sides shuffle; calls of a crowded (day, cell) are
@@ -174,20 +210,23 @@ def pair_calls_with_events(
     band = grid.band(F.col("latitude_centroid"))
     keyed = located.withColumns(
         {
-            "_day": F.to_date("response_datetime"),
+            "_day": F.date_diff(F.to_date("response_datetime"), F.to_date(span["first"])),
             "_band": band,
             "_cell": grid.cell(F.col("longitude_centroid"), band),
         }
     )
-    # an event is copied only to days that have calls, however long it lasts
+    # days count from the first call; an event covers only days that calls can have
+    first = F.to_date(span["first"])
     clipped = events.withColumns(
         {
-            "_from": F.greatest("start_date", F.to_date(span["first"])),
-            "_to": F.least("end_date", F.to_date(span["last"])),
+            "_from": F.greatest(F.date_diff("start_date", first), F.lit(0)),
+            "_to": F.least(F.date_diff("end_date", first), F.date_diff(F.to_date(span["last"]), first)),
         }
     )
-    copies = _event_cells(clipped, grid).drop("_from", "_to")
-    keys = ["_day", "_band", "_cell"]
+    copies = materialize(_event_cells(clipped, grid).drop("_from", "_to"))
+    levels = sorted(r["_level"] for r in copies.select("_level").distinct().collect())  # LEVELS at most
+    keyed = keyed.select("*", F.inline(_node_of(F.col("_day"), levels or [0]))).drop("_day")
+    keys = ["_level", "_node", "_band", "_cell"]
     if at_most(copies, broadcast_rows):
         copies = F.broadcast(copies)
     else:

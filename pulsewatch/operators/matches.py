@@ -349,7 +349,8 @@ def standings(matches: DataFrame, groups: DataFrame) -> DataFrame:
         F.sum("f").alias("gf"),
         F.sum("a").alias("ga"),
     )
-    full = groups.join(table, "team", "left").na.fill(0)
+    # a team that no group names keeps its matches, without a group
+    full = groups.join(table, "team", "full").na.fill(0)
     return full.select(
         "group_name", "team", "played", "won", "drawn", "lost", "gf", "ga",
         (F.col("gf") - F.col("ga")).alias("gd"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsewatch.operators.analysis import null_profile
+from pulsewatch.operators.sampling import sample_rows
 
 
 @dataclass
@@ -72,18 +73,33 @@ def quality_checks(df: DataFrame, checks: Checks) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
-def profile(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Columns with type and NULL share, the row count and the distinct keys."""
+def profile(df: DataFrame, key: str | None = None, samples: int = 3) -> DataFrame:
+    """Columns with type and NULL share, the row count, the distinct keys and values of sample rows.
+
+    The sample rows are those with the smallest hashes of the key (without one, of the first
+    column), the same rows for every column, in order of the key.
+    """
     types = F.create_map(*[F.lit(x) for f in df.dtypes for x in f])
     shares = null_profile(df).withColumn("data_type", types[F.col("column_name")])
     totals = df.agg(
         F.count("*").alias("rows"),
         (F.countDistinct(key) if key else F.lit(None).cast("long")).alias("keys"),
     )
+    named = key or df.columns[0]
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    rows = sample_rows(df, samples, named).select(F.col(named).cast("string").alias("k"), *texts)
+    listed = F.sort_array(F.collect_list(F.struct("*")))
+    picked = rows.agg(listed.alias("rows")).select(
+        F.create_map(*[
+            x for i, c in enumerate(df.columns)
+            for x in (F.lit(c), F.array_join(F.transform("rows", lambda r, i=i: r[f"c{i}"]), "|"))
+        ]).alias("m")
+    )
     return shares.withColumns(
         {
             "row_count": totals.select("rows").scalar(),
             "distinct_keys": totals.select("keys").scalar(),
+            "samples": picked.select("m").scalar()[F.col("column_name")],
         }
     )
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,6 +79,14 @@ def freshness(base: DataFrame, ts: str) -> DataFrame:
     return base.agg(F.count("*").alias("db_count"), F.max(ts).alias("last_load"))
 
 
+def stored_freshness(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a stored table and when it was last written to, whatever times its rows carry."""
+    stored = spark.read.parquet(path)
+    return stored.select(F.col("_metadata.file_modification_time").alias("t")).agg(
+        F.count("*").alias("db_count"), F.max("t").alias("last_load")
+    )
+
+
 def rebuild_plan(files: DataFrame, db_count: DataFrame, enough: int = 100) -> DataFrame:
     """Which extractions are due, from an inventory of (layer, path) and the row count.
 

@@ -1559,7 +1559,9 @@ _oracle(
     "\nUNION ALL ".join(
         f"SELECT {_q(c)} AS column_name, count(*) - count({c}) AS null_count,"
         f" (count(*) - count({c})) * 100e0 / count(*) AS null_pct, {_q(kind)} AS data_type,"
-        f" count(*) AS row_count, count(DISTINCT incident_number) AS distinct_keys FROM calls"
+        f" count(*) AS row_count, count(DISTINCT incident_number) AS distinct_keys,"
+        f" (SELECT string_agg(coalesce(CAST({c} AS VARCHAR), 'null'), '|' ORDER BY incident_number) FROM (SELECT * FROM calls"
+        f" ORDER BY md5(incident_number || '-42'), incident_number LIMIT 3)) AS samples FROM calls"
         for c, kind in [
             ("incident_number", "string"), ("response_datetime", "timestamp_ntz"),
             ("response_date", "date"), ("response_hour", "int"),

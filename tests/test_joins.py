@@ -195,3 +195,45 @@ def test_festival_flag_keeps_every_call(spark):
     fact = spark.createDataFrame([("a", 1), ("a", 2)], "incident_number string, event_id int")
     got = {r[0]: r[1] for r in joins.flag_festival(calls, fact).collect()}
     assert got == {"a": True, "b": False}
+
+
+def test_time_nodes_make_up_each_interval(spark):
+    spans = sorted({(a, b) for a in range(0, 70, 3) for b in range(a, a + 90, 7)} | {(0, 0), (5, 4000), (0, 1023), (1, 1022)})
+    rows = spark.createDataFrame(spans, "a long, b long")
+    nodes = rows.select("*", F.inline(joins._time_nodes(F.col("a"), F.col("b")))).collect()
+    days, count = {}, {}
+    for r in nodes:
+        width = 4 ** r["_level"]
+        days.setdefault((r["a"], r["b"]), []).extend(range(r["_node"] * width, (r["_node"] + 1) * width))
+        count[r["a"], r["b"]] = count.get((r["a"], r["b"]), 0) + 1
+    for a, b in spans:
+        assert sorted(days[a, b]) == list(range(a, b + 1))  # all days, none twice
+    assert count[5, 4000] <= 36 and count[0, 1023] == 1
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
+def test_events_of_a_year_meet_all_their_calls(spark, broadcast_rows):
+    start = dt.datetime(2023, 1, 1, 12)
+    calls = spark.createDataFrame(
+        [(f"c{i}", start + dt.timedelta(days=i % 700), 30.27 + (i % 7) * 0.01, -97.74) for i in range(2100)],
+        "incident_number string, response_datetime timestamp_ntz, latitude_centroid double, longitude_centroid double",
+    )
+    periods = [(2023, 1, 1, 400), (2023, 3, 5, 365), (2022, 6, 1, 3000), (2024, 2, 29, 1), (2023, 12, 31, 2)]
+    events = spark.createDataFrame(
+        [(f"e{k}", f"e{k}", dt.date(y, m, d), dt.date(y, m, d) + dt.timedelta(days=n - 1), 30.27, -97.74) for k, (y, m, d, n) in enumerate(periods)],
+        "event_id string, event_name string, start_date date, end_date date, event_lat double, event_lon double",
+    )
+    got = joins.festival_incidents(calls, events, 1.5, True, broadcast_rows=broadcast_rows)
+    pairs = [(r["event_id"], r["incident_number"]) for r in got.collect()]
+    want = {
+        (e["event_id"], c["incident_number"])
+        for e in events.collect()
+        for c in calls.collect()
+        if e["start_date"] <= c["response_datetime"].date() <= e["end_date"] and abs(c["latitude_centroid"] - 30.27) < 0.0135
+    }
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want
+    span = joins.call_span(calls)
+    days = events.withColumns({"_from": F.lit(0).cast("int"), "_to": F.lit(699).cast("int")})
+    copies = joins._event_cells(days, joins.Grid(1.5))
+    assert copies.groupBy("event_id").count().agg(F.max("count")).first()[0] <= 9 * 24
+    assert joins.events_in_range(events, calls, True, span).count() == 5

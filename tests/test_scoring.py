@@ -196,6 +196,10 @@ def test_standings(spark):
     assert (table["Comoros"]["lost"], table["Comoros"]["gd"]) == (1, -2)
     assert table["Mali"]["points"] == table["Zambia"]["points"] == 1
     assert table["Algeria"]["played"] == table["Egypt"]["played"] == 0
+    guests = df.unionByName(spark.createDataFrame([(5, "Guest", "Mali", "3-0", "Terminé")], df.schema))
+    table = {r["team"]: r for r in matches.standings(guests, matches.group_frame(spark)).collect()}
+    assert len(table) == 25 and (table["Guest"]["group_name"], table["Guest"]["points"]) == (None, 3)
+    assert (table["Mali"]["played"], table["Mali"]["gd"]) == (2, -3)
     totals = matches.stadium_totals(spark).first()
     assert (totals["stadiums"], totals["total_capacity"]) == (6, 323940)
 

@@ -197,8 +197,17 @@ def test_daily_pipeline_end_to_end(spark, tmp_path):
     spark.createDataFrame(
         [("48453001012", "453", "+30.0", "-97.0", 1000000)], schemas.RAW_BLOCK_GROUPS
     ).write.option("header", True).csv(str(raw / "bg.csv"))
+    hours = [f"2024-01-0{1 + i // 24}T{i % 24:02}:00" for i in range(48)]
+    hourly = {"time": hours, "temperature_2m": [10.0] * 48, "relative_humidity_2m": [50] * 48, "precipitation": [0.5] * 48,
+              "rain": [0.5] * 48, "weather_code": [61] * 48, "wind_speed_10m": [5.0] * 48, "wind_gusts_10m": [9.0] * 48}
+    (raw / "weather.json").write_text(json.dumps({"hourly": hourly}))
+    venue = {f.name: None for f in schemas.RAW_VENUES}
+    rows = [venue | {"id": "v1", "name": "Hall", "latitude": 30.0, "longitude": -97.0}, venue | {"id": "v2", "name": "Nowhere"}]
+    fields = [tuple(r[f.name] for f in schemas.RAW_VENUES) for r in rows]
+    spark.createDataFrame(fields, schemas.RAW_VENUES).write.option("header", True).csv(str(raw / "venues.csv"))
     paths = pipeline.Paths(
-        str(raw / "calls.csv"), str(raw / "events.csv"), str(raw / "bg.csv"), str(tmp_path / "wh")
+        str(raw / "calls.csv"), str(raw / "events.csv"), str(raw / "bg.csv"), str(tmp_path / "wh"),
+        str(raw / "weather.json"), str(raw / "venues.csv"),
     )
     for _ in range(2):
         pipeline.run_daily(spark, paths, "2024-01-05")
@@ -206,6 +215,13 @@ def test_daily_pipeline_end_to_end(spark, tmp_path):
     (score,) = spark.read.parquet(paths.table("risk_scores")).collect()
     assert (score["incident_count"], score["risk_score"]) == (5, 5 * 0.5 + 30 + 10)
     assert spark.read.parquet(paths.table("pipeline_runs")).count() == 2
+    assert spark.read.parquet(paths.table("dim_weather")).count() == 48
+    days = spark.read.parquet(paths.table("dim_weather_daily")).collect()
+    assert sorted((r["temp_avg_f"], r["precipitation_total_mm"], r["had_rain"]) for r in days) == [(50.0, 12.0, True)] * 2
+    (hall,) = spark.read.parquet(paths.table("dim_venue")).collect()
+    assert (hall["venue_id"], hall["primary_category"]) == ("v1", "Unknown")
+    fresh = warehouse.stored_freshness(spark, paths.table("fact_calls")).first()
+    assert fresh["db_count"] == 5 and abs(fresh["last_load"] - dt.datetime.now()) < dt.timedelta(days=1)
     report = spark.read.text(paths.table("reports/2024-01-05")).first()[0]
     document = json.loads(report)
     assert document["database_stats"]["total_911_calls"] == 5
@@ -234,7 +250,9 @@ def test_models_of_the_daily_run(spark, tmp_path, ts):
         "latitude_centroid double, longitude_centroid double, response_time double",
     )
     paths = pipeline.Paths("", "", "", str(tmp_path))
-    rules, places, forecast = pipeline.run_models(calls, paths)
+    assert pipeline.run_models(calls, paths)[0] is None  # 400 calls are too few for rules
+    assert pipeline.run_models(calls, paths, pipeline.Gates(zone_calls=401, forecast_days=91)) == (None, None, None)
+    rules, places, forecast = pipeline.run_models(calls, paths, pipeline.Gates(rule_calls=400))
     assert rules == spark.read.parquet(paths.table("association_rules")).count() > 0
     assert places == spark.read.parquet(paths.table("zone_levels")).count() == 15
     week = [r["predicted_calls"] for r in spark.read.parquet(paths.table("forecast_7d")).collect()]
