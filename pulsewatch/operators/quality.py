@@ -89,12 +89,9 @@ def profile(df: DataFrame, key: str | None = None, samples: int = 3) -> DataFram
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(f"c{i}") for i, c in enumerate(df.columns)]
     rows = sample_rows(df, samples, named).select(F.col(named).cast("string").alias("k"), *texts)
     listed = F.sort_array(F.collect_list(F.struct("*")))
-    picked = rows.agg(listed.alias("rows")).select(
-        F.create_map(*[
-            x for i, c in enumerate(df.columns)
-            for x in (F.lit(c), F.array_join(F.transform("rows", lambda r, i=i: r[f"c{i}"]), "|"))
-        ]).alias("m")
-    )
+    # the field of an array of structs is the array of its values
+    values = [x for i, c in enumerate(df.columns) for x in (F.lit(c), F.array_join(F.col("rows")[f"c{i}"], "|"))]
+    picked = rows.agg(listed.alias("rows")).select(F.create_map(*values).alias("m"))
     return shares.withColumns(
         {
             "row_count": totals.select("rows").scalar(),
