@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsewatch.session import at_most, materialize
@@ -16,12 +19,20 @@ ZONE_FEATURES = ["latitude", "longitude", "log_incidents", "avg_priority", "loca
 
 
 def scale(df: DataFrame, columns: list[str], out: str = "scaled") -> DataFrame:
-    """Columns as one standardised vector."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="_raw").transform(
-        df.na.drop(subset=columns)
-    )
-    scaler = StandardScaler(inputCol="_raw", outputCol=out, withMean=True, withStd=True)
-    return scaler.fit(vectors).transform(vectors).drop("_raw")
+    """Columns as one vector, each less its mean and over its population deviation.
+
+    A column without spread becomes 0.
+    """
+    rows = df.na.drop(subset=columns)
+    measures = [f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.avg, F.stddev_pop)]
+    row = rows.agg(*measures).first()
+    scaled = {
+        f"_{c}": (F.col(c) - F.lit(row[f"avg_{c}"])) / F.lit(row[f"stddev_pop_{c}"] or 1.0)
+        for c in columns
+    }
+    vectors = rows.withColumns(scaled)
+    assembler = VectorAssembler(inputCols=list(scaled), outputCol=out)
+    return assembler.transform(vectors).drop(*scaled)
 
 
 def best_kmeans(scaled: DataFrame, k: int, seed: int, restarts: int) -> KMeansModel:
@@ -33,16 +44,108 @@ def best_kmeans(scaled: DataFrame, k: int, seed: int, restarts: int) -> KMeansMo
     return min(fits, key=lambda model: model.summary.trainingCost)
 
 
+def _block_sums(clusters: list[int]):
+    """Distances of two blocks' vectors to each other, summed by cluster, for every labelling."""
+
+    def sums(left: pa.Table, right: pa.Table) -> pa.Table:
+        places = [np.array(t["xs"].to_pylist(), float).reshape(t.num_rows, -1) for t in (left, right)]
+        members = []
+        for t in (left, right):
+            labels = np.array(t["labels"].to_pylist(), int).reshape(t.num_rows, -1)
+            weight = t["weight"].to_numpy()[:, None]
+            one_hot = [(labels[:, [i]] == np.arange(k)) * weight for i, k in enumerate(clusters)]
+            members.append(np.concatenate(one_hot, axis=1))
+        within = left.num_rows and right.num_rows and left["block"][0] == right["block"][0]
+        ids, parts = [], []
+        for a, b in ((0, 1),) if within else ((0, 1), (1, 0)):
+            table = (left, right)[a]
+            for at in range(0, table.num_rows, BLOCK_ROWS):
+                x = places[a][at : at + BLOCK_ROWS]
+                squares = np.zeros((len(x), len(places[b])))
+                for d in range(x.shape[1] if len(places[b]) else 0):
+                    squares += (x[:, [d]] - places[b][:, d]) ** 2
+                parts.append(np.sqrt(squares) @ members[b])
+            ids.append(table["id"].to_numpy())
+        flat = np.concatenate(parts) if parts else np.zeros((0, sum(clusters)))
+        return pa.table({"id": np.concatenate(ids), "sums": pa.array(list(flat), pa.list_(pa.float64()))})
+
+    return sums
+
+
+BLOCK_ROWS = 256  # rows of one distance matrix
+
+
+def _least_other(means: Column, own: Column) -> Column:
+    """The least entry but that at ``own``; nulls (empty clusters) do not count."""
+    return F.array_min(F.transform(means, lambda m, j: F.when(j != own, m)))
+
+
+def silhouettes(
+    labelled: DataFrame, labels: dict[str, int], features: str = "scaled", block: int = 2048
+) -> dict[str, float]:
+    """Mean silhouette, on Euclidean distances, of each column of ``labels`` (column: clusters).
+
+    A row's distances to all rows are summed by cluster: those to its own, over the other members,
+    give a; the least mean to another cluster gives b; (b - a) / max(a, b) is averaged over rows, and
+    is 0 for the only row of a cluster. Equal vectors collapse into one with a weight first (equal
+    vectors have equal labels). Vectors are dealt to blocks of about ``block`` by hash and each two
+    blocks meet once, for both directions and all labellings together, so a task holds two blocks and
+    passes on a few sums a row. The work is the square of the distinct places, as the measure's
+    definition has it. Without two clusters in use the silhouette is NaN.
+    """
+    names = list(labels)
+    clusters = [labels[c] for c in names]
+    points = labelled.select(vector_to_array(features).alias("xs"), F.array(*names).alias("labels"))
+    places = points.groupBy("xs").agg(F.count("*").cast("double").alias("weight"), F.min("labels").alias("labels"))
+    places = materialize(places.withColumn("id", F.monotonically_increasing_id()))
+    blocks = max(1, -(-places.count() // block))
+    dealt = places.withColumn("block", F.pmod(F.hash("xs"), F.lit(blocks)))
+    ahead = dealt.withColumn("other", F.explode(F.sequence("block", F.lit(blocks - 1))))
+    behind = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), "block")))
+    left = ahead.withColumnsRenamed({"block": "one", "other": "two"}).withColumn("block", F.col("one"))
+    right = behind.withColumnsRenamed({"block": "two", "other": "one"}).withColumn("block", F.col("two"))
+    met = left.groupBy("one", "two").cogroup(right.groupBy("one", "two"))
+    parts = met.applyInArrow(_block_sums(clusters), "id long, sums array<double>")
+    width = sum(clusters)
+    totals = parts.groupBy("id").agg(F.array(*[F.sum(F.get("sums", F.lit(i))) for i in range(width)]).alias("sums"))
+    judged = places.join(totals, "id")
+    sizes = places.agg(
+        *[
+            F.array(*[F.sum(F.when(F.get("labels", F.lit(i)) == j, F.col("weight")).otherwise(0.0)) for j in range(k)]).alias(c)
+            for i, (c, k) in enumerate(labels.items())
+        ]
+    ).first()
+    scores, start = [], 0
+    for i, (c, k) in enumerate(labels.items()):
+        own = F.get("labels", F.lit(i))
+        counts = F.array(*[F.lit(float(n or 0)) for n in sizes[c]])
+        distances = F.slice("sums", start + 1, k)
+        start += k
+        a = F.get(distances, own) / (F.get(counts, own) - 1)
+        b = _least_other(F.zip_with(distances, counts, lambda s, n: F.when(n > 0, s / n)), own)
+        one = F.when(F.get(counts, own) <= 1, F.lit(0.0)).when(F.greatest(a, b) > 0, (b - a) / F.greatest(a, b)).otherwise(0.0)
+        used = sum(1 for n in sizes[c] if n)
+        mean = F.sum(one * F.col("weight")) / F.sum("weight") if used > 1 else F.lit(float("nan"))
+        scores.append(mean.alias(c))
+    row = judged.agg(*scores).first()
+    return {c: float("nan") if row[c] is None else row[c] for c in names}
+
+
 def search_k(
     scaled: DataFrame, ks: Iterable[int], seed: int = 42, restarts: int = 10
 ) -> tuple[KMeansModel, dict[int, float]]:
-    """Number of clusters with the best silhouette, the smaller one on a tie."""
-    judge = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster")
-    models, scores = {}, {}
-    for k in ks:
-        models[k] = best_kmeans(scaled, k, seed, restarts)
-        scores[k] = judge.evaluate(models[k].transform(scaled))
-    best = max(scores, key=lambda k: (scores[k], -k))
+    """Number of clusters with the best silhouette, the smaller one on a tie.
+
+    All labellings are judged in one pass over the distances.
+    """
+    models = {k: best_kmeans(scaled, k, seed, restarts) for k in ks}
+
+    def labelled(df: DataFrame, k: int) -> DataFrame:
+        return models[k].copy({models[k].predictionCol: f"_{k}"}).transform(df)
+
+    measured = silhouettes(reduce(labelled, models, scaled), {f"_{k}": k for k in models})
+    scores = {k: measured[f"_{k}"] for k in models}
+    best = max(scores, key=lambda k: (scores[k] if scores[k] == scores[k] else float("-inf"), -k))
     return models[best], scores
 
 

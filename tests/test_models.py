@@ -194,3 +194,49 @@ def test_priority_forest(spark):
 
 def test_small_forest_scores_every_call(spark):
     assert priority.small_forest(labelled(spark)).count() == 401
+
+
+def brute_silhouette(x, labels):
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    scores = []
+    for i, own in enumerate(labels):
+        size = (labels == own).sum()
+        if size == 1:
+            scores.append(0.0)
+            continue
+        a = d[i, labels == own].sum() / (size - 1)
+        b = min(d[i, labels == c].mean() for c in set(labels.tolist()) - {own})
+        scores.append((b - a) / max(a, b) if max(a, b) else 0.0)
+    return np.mean(scores)
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_silhouettes_equal_brute_force(spark, block):
+    rnd = np.random.default_rng(5)
+    x = np.concatenate((rnd.normal(0, 1, (40, 3)), rnd.normal(4, 1, (30, 3))))
+    x = np.concatenate((x, x[:9], [[50.0, 50, 50]]))  # repeated places, and one alone in its cluster
+    two = (x[:, 0] > 2).astype(int)
+    four = np.where(x[:, 0] > 40, 3, two + (x[:, 1] > 5))  # cluster 2 may be small
+    rows = [(*map(float, v), int(a), int(b), 0) for v, a, b in zip(x, two, four, strict=True)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, two int, four int, flat int")
+    scaled = zones.scale(df, ["a", "b", "c"]).repartition(3)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    got = zones.silhouettes(scaled, {"two": 2, "four": 4, "flat": 3}, block=block)
+    assert got["two"] == pytest.approx(brute_silhouette(z, two), abs=1e-9)
+    assert got["four"] == pytest.approx(brute_silhouette(z, four), abs=1e-9)
+    assert np.isnan(got["flat"])
+
+
+def test_scale_by_population_deviation(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0)], "a double, b double")
+    got = sorted(tuple(r["scaled"]) for r in zones.scale(df, ["a", "b"]).collect())
+    assert got == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_search_k_finds_the_clusters_that_are_there(spark):
+    rnd = np.random.default_rng(3)
+    x = np.concatenate([rnd.normal(c, 0.2, (25, 2)) for c in (0, 5, 10, 15)])
+    df = spark.createDataFrame([tuple(map(float, v)) for v in x], "a double, b double")
+    scaled = zones.materialize(zones.scale(df, ["a", "b"]))
+    _, scores = zones.search_k(scaled, range(3, 7), restarts=3)
+    assert max(scores, key=scores.get) == 4
