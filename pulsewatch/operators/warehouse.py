@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsewatch import schemas
+from pulsewatch.operators import key_summary
 from pulsewatch.operators.clean import keep_first
 from pulsewatch.operators.joins import nullify_missing_fk
 from pulsewatch.session import materialize
@@ -212,11 +213,13 @@ def upsert_partitions(
     update_cols: list[str] | None = None,
     order_by: list[Column | str] | None = None,
     within: Column | str | None = None,
-) -> None:
+) -> dict[str, int]:
     """Upsert into a partitioned Parquet table, rewriting only partitions it touches.
 
     ``within`` is a condition on partition columns beyond which no incoming key is
-    stored; only partitions inside are looked through for the keys.
+    stored; only partitions inside are looked through for the keys, and of those only
+    the ones that may hold a key by the summaries beside the table (``key_summary``).
+    The number of partitions looked through and rewritten is returned.
 
     Touched are the partitions of the incoming rows and those of stored rows with the
     same key; both lists have one entry per partition. Partition columns of a stored
@@ -230,21 +233,20 @@ def upsert_partitions(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         incoming.write.partitionBy(*partition_by).parquet(path)
-        return
+        key_summary.summarise_keys(spark, path, key, partition_by)
+        return {"looked": 0, "rewritten": 0}
     incoming = materialize(incoming)
-    looked = base if within is None else base.where(within)
-    stored = looked.select(key, *partition_by).join(incoming.select(key), key, "left_semi")
+    keys = incoming.select(F.col(key).cast(base.schema[key].dataType).alias(key))
+    open_ = key_summary.may_hold(path, keys, key, partition_by)
+    looked = (open_ if within is None else open_.where(within)).collect()
+    stored = base.where(_inside(looked, partition_by)).select(key, *partition_by)
+    stored = stored.join(incoming.select(key), key, "left_semi")
     touched = (
         incoming.select(*partition_by).union(stored.select(*partition_by)).distinct().collect()
     )
     if not touched:
-        return
-    inside = None
-    for row in touched:
-        match = F.lit(True)
-        for c in partition_by:
-            match = match & F.col(c).eqNullSafe(F.lit(row[c]))
-        inside = match if inside is None else inside | match
+        return {"looked": len(looked), "rewritten": 0}
+    inside = _inside(touched, partition_by)
     fixed = {key, *partition_by}
     changed = update_cols or [c for c in base.columns if c not in fixed]
     merged = upsert(base.where(inside), incoming, key, changed)
@@ -255,3 +257,21 @@ def upsert_partitions(
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    key_summary.summarise_keys(spark, path, key, partition_by, inside)
+    return {"looked": len(looked), "rewritten": len(touched)}
+
+
+def _inside(rows: list[Row], partition_by: list[str]) -> Column:
+    """Whether a row lies in one of the partitions; a condition that prunes the scan."""
+    if len(partition_by) == 1:
+        (c,) = partition_by
+        values = [r[c] for r in rows if r[c] is not None]
+        inside = F.col(c).isin(values) if values else F.lit(False)
+        return inside | F.col(c).isNull() if len(values) < len(rows) else inside
+    inside = F.lit(False)
+    for row in rows:
+        match = F.lit(True)
+        for c in partition_by:
+            match = match & F.col(c).eqNullSafe(F.lit(row[c]))
+        inside = inside | match
+    return inside

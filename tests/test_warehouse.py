@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsewatch import schemas
-from pulsewatch.operators import reports, warehouse
+from pulsewatch.operators import key_summary, reports, warehouse
 from pulsewatch.plans import pipeline
 from pulsewatch.sources import readers, sinks
 from pulsewatch.streaming import incremental
@@ -141,6 +141,49 @@ def test_partition_upsert_rewrites_only_what_it_touches(spark, tmp_path, rows_of
     assert before == after
 
 
+def test_partition_upsert_opens_only_partitions_that_may_hold_a_key(spark, tmp_path, rows_of):
+    path, schema = str(tmp_path / "t"), "k long, v int, p int, q string"
+    stored = [(100 * d + 7 * i, 0, d, "x" if d % 2 else None) for d in range(12) for i in range(10)]
+    first = spark.createDataFrame(stored, schema)
+    assert warehouse.upsert_partitions(path, first, "k", ["p", "q"]) == {"looked": 0, "rewritten": 0}
+    change = [(307, 1, 3, "x"), (707, 1, 0, None), (5001, 1, 12, "new")]  # known, known elsewhere, unknown
+
+    def upserted(rows):
+        spark.catalog.refreshByPath(path)
+        return warehouse.upsert_partitions(path, spark.createDataFrame(rows, schema), "k", ["p", "q"])
+
+    # 307 lies in p=3 and 707 in p=7; p=0 and p=12 are rewritten as named by the increment
+    assert upserted(change) == {"looked": 2, "rewritten": 4}
+    spark.catalog.refreshByPath(path)
+    got = {r["k"]: (r["v"], r["p"]) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 121 and spark.read.parquet(path).count() == 121
+    assert (got[307], got[707], got[5001], got[7]) == ((1, 3), (1, 7), (1, 12), (0, 0))
+    # keys inside the range of partitions that lack them: the filters say so
+    assert upserted([(501, 1, 5, "x"), (502, 1, 5, "x")])["looked"] == 0
+    # a partition that others have written to is opened, whatever its summary says
+    spark.createDataFrame([(90_000, 0)], "k long, v int").write.mode("append").parquet(f"{path}/p=9/q=x")
+    assert upserted([(90_000, 5, 1, "x")])["looked"] == 1
+    spark.catalog.refreshByPath(path)
+    assert spark.read.parquet(path).where("k = 90000").select("v", "p").collect() == [(5, 9)]
+
+
+def test_key_summaries_never_miss(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(20_000).selectExpr("uuid() AS k", "CAST(id % 9 AS INT) AS p").union(
+        spark.sql("SELECT CAST(NULL AS STRING), 100")
+    )
+    rows.write.partitionBy("p").parquet(path)
+    key_summary.summarise_keys(spark, path, "k", ["p"])
+    base = spark.read.parquet(path)
+    for p in (0, 8):
+        held = key_summary.may_hold(path, base.where(f"p = {p}").select("k"), "k", ["p"])
+        assert p in {r["p"] for r in held.collect()}
+    strangers = spark.range(100).selectExpr("uuid() AS k")
+    assert key_summary.may_hold(path, strangers, "k", ["p"]).count() <= 2
+    nobody = key_summary.may_hold(path, base.where("k IS NULL").select("k"), "k", ["p"])
+    assert nobody.count() == 0
+
+
 def raw_call(n, when, geo="48453001012.0", category="Theft"):
     row = {f.name: None for f in schemas.RAW_CALLS}
     row |= dict(incident_number=n, response_datetime=when, geo_id=geo, priority_level="Priority 1",
