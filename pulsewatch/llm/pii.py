@@ -5,6 +5,10 @@ one pattern each; running sums of their lengths give positions in code points. P
 form that Java reads in linear time and without deep recursion: possessive repeats, and no start
 inside a run whose start has failed (which changes no match).
 
+Addresses, cards and phone numbers that pass their checks are always spans, and their scores say how
+sure they are. Kinds without a checksum (secrets, national numbers, accounts) are spans only where a
+context word lies within REACH code points: without one their score stays below THRESHOLD.
+
 Edge cases: null and empty texts have no spans; repeated rows each give a row; a text of many
 matches is summed in blocks; columns of the documents other than doc_id and text are not read.
 """
@@ -29,6 +33,10 @@ KINDS: dict[str, tuple[str, str, float]] = {
         r"text rlike '[A-Z]{2}[0-9]{2}[A-Z0-9 ]'",
         0.9,
     ),
+    # no checksum confirms these, so only a context word lifts them to the threshold
+    "secret": (r"[A-Za-z0-9_-]{20,}+", r"text rlike '[A-Za-z0-9_-]{20}'", 0.75),
+    "national": (r"[0-9]++(?:-[0-9]++)++", r"text rlike '[0-9]-[0-9]'", 0.75),
+    "account": (r"[0-9]{8,}+", r"text rlike '[0-9]{8}'", 0.75),
 }
 #: These are always reported once confirmed; others need the threshold.
 BASE = ("email", "ip", "card", "phone")
@@ -41,6 +49,9 @@ CONTEXT = {
     "card": "card|visa|credit|debit|payment|karte|carte|tarjeta",
     "phone": "phone|call|tel|fax|mobile|anruf|appel|llam",
     "iban": "iban|bank|account|konto|compte|cuenta|transfer",
+    "secret": "token|secret|api.?key|passw|passphrase|credential|mot de passe|clave",
+    "national": "ssn|social security|national|insurance|passport|ausweis|versicherung|seguro social",
+    "account": "bank|account|konto|compte|cuenta|transfer",
 }
 # Length of an IBAN by country.
 IBAN_LENGTHS = (
@@ -99,6 +110,12 @@ def confirmed(kind: str, match: Column) -> Column:
         return F.length(F.regexp_replace(match, "[^0-9]", "")).between(8, 15)
     if kind == "iban":
         return mod_97(F.regexp_replace(match, " ", ""))
+    if kind == "secret":
+        return match.rlike("[0-9]") & match.rlike("[A-Za-z]")
+    if kind == "national":
+        return match.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$") & ~match.rlike("^(000|666|9)")
+    if kind == "account":
+        return F.length(match) <= 12
     return F.lit(True)
 
 
@@ -161,6 +178,12 @@ def listed(kinds: tuple[str, ...]) -> Column:
     return F.array_join(F.concat(*[lines(k) for k in kinds]), ",")
 
 
+def listed_scores(kinds: tuple[str, ...]) -> Column:
+    """Scores of all spans in hundredths, in the order of ``listed``, comma-joined."""
+    scores = [F.transform(k, lambda s: F.round(s["score"] * 100).cast("int").cast("string")) for k in kinds]
+    return F.array_join(F.concat(*scores), ",")
+
+
 def _rebuilt(kind: str) -> Column:
     """The pieces of a text with its matches, or their kind, between them."""
     gaps, hits, spans = F.col("_gaps"), F.col("_hits"), F.col("_spans")
@@ -175,11 +198,11 @@ def _rebuilt(kind: str) -> Column:
 def redacted(docs: DataFrame, column: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; null texts stay null.
 
-    One kind after the other, IBAN and card before phone, so that an overlap is replaced once.
+    One kind after the other, IBAN, secret and card before phone, so that an overlap is replaced once.
     """
     names = docs.columns
     df = docs.select(F.struct(*[F.col(c) for c in names]).alias("_row"), F.coalesce(column, F.lit("")).alias("_text"))
-    for kind in ("email", "iban", "card", "ip", "phone"):
+    for kind in ("email", "iban", "secret", "card", "ip", "phone", "national", "account"):
         df = _with_kind(df, kind, "_text").select("_row", _rebuilt(kind).alias("_text"))
     out = [
         F.when(F.col("_row")[c].isNotNull(), F.col("_text")).alias(c) if c == column else F.col("_row")[c].alias(c)

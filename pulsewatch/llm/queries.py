@@ -106,6 +106,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.BASE],
         F.sha2(pii.listed(pii.BASE), 256).alias("base_sha256"),
         pii.listed(tuple(pii.KINDS)).alias("spans"),
+        pii.listed_scores(tuple(pii.KINDS)).alias("scores"),
     )
 
 
@@ -117,7 +118,7 @@ _MOD97 = """list_reduce(list_concat([0], list_transform(range(1, len(d) + 1), la
     WHEN ((d[5:] || d[1:4])[i]) BETWEEN '0' AND '9' THEN ascii((d[5:] || d[1:4])[i]) - 48
     ELSE ascii((d[5:] || d[1:4])[i]) - 55 END)), lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1"""
 ORACLES["op5_pii"] = rf"""
-WITH kinds(k, kind) AS (VALUES (1, 'email'), (2, 'ip'), (3, 'card'), (4, 'phone'), (5, 'iban')
+WITH kinds(k, kind) AS (VALUES (1, 'email'), (2, 'ip'), (3, 'card'), (4, 'phone'), (5, 'iban'), (6, 'secret'), (7, 'national'), (8, 'account')
 ), each AS (
     SELECT doc_id, 1 AS k, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS h,
         regexp_split_to_array(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS g FROM documents
@@ -133,23 +134,44 @@ WITH kinds(k, kind) AS (VALUES (1, 'email'), (2, 'ip'), (3, 'card'), (4, 'phone'
     UNION ALL
     SELECT doc_id, 5, coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?:\x20[A-Z0-9]{{4}}){{2,7}}(?:\x20[A-Z0-9]{{1,3}})?)'),
         regexp_split_to_array(coalesce(text, ''), '[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?:\x20[A-Z0-9]{{4}}){{2,7}}(?:\x20[A-Z0-9]{{1,3}})?)') FROM documents
+    UNION ALL
+    SELECT doc_id, 6, coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9_-]{{20,}}'),
+        regexp_split_to_array(coalesce(text, ''), '[A-Za-z0-9_-]{{20,}}') FROM documents
+    UNION ALL
+    SELECT doc_id, 7, coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '[0-9]+(?:-[0-9]+)+'),
+        regexp_split_to_array(coalesce(text, ''), '[0-9]+(?:-[0-9]+)+') FROM documents
+    UNION ALL
+    SELECT doc_id, 8, coalesce(text, ''), regexp_extract_all(coalesce(text, ''), '[0-9]{{8,}}'),
+        regexp_split_to_array(coalesce(text, ''), '[0-9]{{8,}}') FROM documents
 ), placed AS (
-    SELECT doc_id, k, unnest(h) AS m, unnest(g[1:len(h)]) AS gap, unnest(range(1, len(h) + 1)) AS i FROM each WHERE len(h) > 0
+    SELECT doc_id, k, unnest(h) AS m, unnest(g[1:len(h)]) AS gap, unnest(g[2:len(h) + 1]) AS after, unnest(range(1, len(h) + 1)) AS i FROM each WHERE len(h) > 0
 ), spans AS (
-    SELECT doc_id, k, m, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, k ORDER BY i) AS BIGINT) AS e FROM placed
+    SELECT doc_id, k, m, lower(right(gap, 48) || ' ' || left(after, 48)) AS beside, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, k ORDER BY i) AS BIGINT) AS e FROM placed
 ), tested AS (
-    SELECT doc_id, k, m, e - length(m) AS s, e, CASE k WHEN 3 THEN regexp_replace(m, '[ -]', '', 'g') WHEN 5 THEN replace(m, ' ', '') ELSE regexp_replace(m, '[^0-9]', '', 'g') END AS d FROM spans
+    SELECT doc_id, k, m, e - length(m) AS s, e, CASE k WHEN 1 THEN 90 WHEN 2 THEN 60 WHEN 3 THEN 90 WHEN 4 THEN 60 WHEN 5 THEN 90 ELSE 75 END
+        + CASE WHEN regexp_matches(beside, CASE k
+            WHEN 1 THEN 'mail|contact|write to|schreib|correo|courriel'
+            WHEN 2 THEN 'address|host|server|login|client|adresse|servidor'
+            WHEN 3 THEN 'card|visa|credit|debit|payment|karte|carte|tarjeta'
+            WHEN 4 THEN 'phone|call|tel|fax|mobile|anruf|appel|llam'
+            WHEN 5 THEN 'iban|bank|account|konto|compte|cuenta|transfer'
+            WHEN 6 THEN 'token|secret|api.?key|passw|passphrase|credential|mot de passe|clave'
+            WHEN 7 THEN 'ssn|social security|national|insurance|passport|ausweis|versicherung|seguro social'
+            ELSE 'bank|account|konto|compte|cuenta|transfer' END) THEN 10 ELSE 0 END AS score, CASE k WHEN 3 THEN regexp_replace(m, '[ -]', '', 'g') WHEN 5 THEN replace(m, ' ', '') ELSE regexp_replace(m, '[^0-9]', '', 'g') END AS d FROM spans
 ), good AS (
-    SELECT doc_id, k, kind, kind || ':' || s || ':' || e AS line, s FROM tested JOIN kinds USING (k) WHERE CASE k
+    SELECT doc_id, k, kind, kind || ':' || s || ':' || e AS line, s, score FROM tested JOIN kinds USING (k) WHERE CASE k
         WHEN 1 THEN true
         WHEN 2 THEN len(list_filter(string_split(m, '.'), lambda p: len(ltrim(p, '0')) > 3 OR (len(ltrim(p, '0')) = 3 AND ltrim(p, '0') > '255'))) = 0
         WHEN 3 THEN CASE WHEN length(d) BETWEEN 16 AND 19 THEN {_LUHN} ELSE false END
         WHEN 4 THEN length(d) BETWEEN 8 AND 15
-        ELSE list_contains(string_split('{pii.IBAN_LENGTHS}', ' '), d[1:2] || length(d)) AND {_MOD97} END
+        WHEN 5 THEN list_contains(string_split('{pii.IBAN_LENGTHS}', ' '), d[1:2] || length(d)) AND {_MOD97}
+        WHEN 6 THEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')
+        WHEN 7 THEN regexp_matches(m, '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$') AND NOT regexp_matches(m, '^(000|666|9)')
+        ELSE length(m) <= 12 END AND (k < 5 OR score >= 80)
 )
 SELECT d.doc_id, count(*) FILTER (k = 1) AS n_email, count(*) FILTER (k = 2) AS n_ip, count(*) FILTER (k = 3) AS n_card,
     count(*) FILTER (k = 4) AS n_phone, sha256(coalesce(string_agg(line, ',' ORDER BY k, s) FILTER (k < 5), '')) AS base_sha256,
-    coalesce(string_agg(line, ',' ORDER BY k, s), '') AS spans
+    coalesce(string_agg(line, ',' ORDER BY k, s), '') AS spans, coalesce(string_agg(CAST(score AS VARCHAR), ',' ORDER BY k, s), '') AS scores
 FROM documents d LEFT JOIN good g ON g.doc_id = d.doc_id GROUP BY d.doc_id
 """
 

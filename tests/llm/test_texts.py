@@ -133,6 +133,29 @@ def test_iban_and_context(spark):
     assert [s["score"] for s in got[3]["phone"]] == [0.7, 0.6]
 
 
+def test_context_decides_where_no_checksum_does(spark):
+    token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = [
+        f'token = "{token}" and later',
+        f'revision "{token}" and later',
+        "social security 123-45-6789, 000-12-3456, 123-45-67890",
+        "score 123-45-6789",
+        "Konto 12345678 and 1234567 and 1234567890123",
+        "page 12345678",
+        "token = " + "a" * 40,  # no digit
+        "the token " + "-" * 60 + f" {token}",  # beyond reach
+    ]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    new = ("secret", "national", "account")
+    got = pii.find_spans(docs).select("doc_id", pii.listed(new).alias("spans"), pii.listed_scores(new).alias("scores"))
+    rows = {r["doc_id"]: (r["spans"], r["scores"]) for r in got.collect()}
+    assert rows[0] == ("secret:9:49", "85") and rows[2] == ("national:16:27", "85") and rows[4] == ("account:6:14", "85")
+    assert [rows[i] for i in (1, 3, 5, 6, 7)] == [("", "")] * 5
+    clean = {r["doc_id"]: r["text"] for r in pii.redacted(docs).collect()}
+    assert clean[0] == 'token = "<SECRET>" and later' and clean[1] == texts[1]
+    assert clean[2].startswith("social security <NATIONAL>,") and clean[5] == texts[5]
+
+
 def test_redaction_leaves_no_base_span(spark):
     docs = frame(spark, [(i, t, "x", None, 1) for i, t in enumerate(PERSONAL)]).selectExpr("*", "7 as _text", "8 as _hits")
     got = pii.redacted(docs).collect()
