@@ -4,7 +4,8 @@ Each text gives a vector of document statistics. Random Fourier features (cosine
 projections) approximate a Gaussian kernel between those vectors. Every partition sums its part
 of the normal equations, Spark sums the parts, and the driver solves one small system. The
 equations are summed by fold, so leaving a fold out is a subtraction; scores of left-out rows,
-counted in bins of equal size, give an isotonic map to probabilities.
+counted in bins of equal size, give an isotonic map to probabilities. Folds are dealt by a hash of the
+statistics, so copies of a text share one and no left-out score has seen its text.
 
 Edge cases: null and empty texts have the statistics of an empty text and get a score; without
 labelled rows the score is 0.5, with one class its share; labels other than 0 and 1 are ignored;
@@ -193,7 +194,7 @@ def fit(labelled: DataFrame, features: int = FEATURES, folds: int = FOLDS, penal
     spark = labelled.sparkSession
     rows = stored(
         labelled.where("y in (0, 1)").select(
-            "x", F.col("y").cast("int").alias("y"), F.pmod(F.xxhash64("doc_id"), F.lit(folds)).cast("int").alias("fold")
+            "x", F.col("y").cast("int").alias("y"), F.pmod(F.xxhash64("x"), F.lit(folds)).cast("int").alias("fold")
         ),
         "labelled",
     )
@@ -215,7 +216,7 @@ def fit(labelled: DataFrame, features: int = FEATURES, folds: int = FOLDS, penal
         sums[r["fold"], r["i"]] = r["row"]
 
     def solve(total: np.ndarray) -> np.ndarray:
-        ridge = penalty * np.trace(total[:, :size]) / size * np.eye(size)
+        ridge = max(penalty * np.trace(total[:, :size]) / size, 1e-9) * np.eye(size)  # a fold may hold all rows
         return np.linalg.solve(total[:, :size] + ridge, total[:, size])
 
     whole = sums.sum(axis=0)
