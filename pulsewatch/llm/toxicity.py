@@ -6,8 +6,11 @@ forms share evidence. Only document labels are known: the likelihood of the nois
 by gradient steps, whose sums over documents Spark takes. The fitted sentence scores then locate
 the offending sentences.
 
-The fit reads a bounded sample of labelled documents (SAMPLE_DOCS, drawn by hash; equal texts
-count once); scores cover all texts. Edge cases: null and empty texts have no sentence and get the score of the bias alone;
+The fit reads a bounded sample of labelled documents (SAMPLE_DOCS; half of it for each class, and what
+the other class leaves, drawn by hash and weighted back to the classes' shares, so a rare class is
+seen whole; equal texts count once). The model keeps the SELECTED features, hashed to BITS bits, that
+are most strongly associated with the labels among those in LEAST_DOCS or more sampled documents; these
+bound the fit alone, scores cover all texts. Edge cases: null and empty texts have no sentence and get the score of the bias alone;
 without labels of both classes all scores are the share of label 1 (0 without labels); labels
 other than 0 and 1 are ignored; a doc_id with several labels has the largest; repeated rows each
 give a row; other columns are not read.
@@ -106,23 +109,30 @@ def _encode(shared):
     return run
 
 
-def gradient(weights: np.ndarray, bias: float, y: np.ndarray, doc_of: np.ndarray, sentence_of: np.ndarray, flat: np.ndarray):
-    """Log likelihood of the noisy-or, and its gradients for weights and bias."""
+def gradient(
+    weights: np.ndarray, bias: float, y: np.ndarray, doc_of: np.ndarray, sentence_of: np.ndarray, flat: np.ndarray,
+    counts_as: tuple[float, float] = (1.0, 1.0),
+):
+    """Log likelihood of the noisy-or, and its gradients for weights and bias.
+
+    A document counts as ``counts_as[label]`` documents.
+    """
+    each = np.asarray(counts_as)[y]
     z = bias + np.bincount(sentence_of, weights=weights[flat], minlength=len(doc_of))
     p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     # an empty document counts as one sentence without words
     none = -np.logaddexp(0, np.clip(z, -40, 40))
     clean = np.bincount(doc_of, weights=none, minlength=len(y))
     toxic = np.maximum(-np.expm1(clean), 1e-12)
-    pull = np.where(y == 1, np.exp(clean) / toxic, -1.0)
+    pull = each * np.where(y == 1, np.exp(clean) / toxic, -1.0)
     slope = p * pull[doc_of]
-    gain = float(np.where(y == 1, np.log(toxic), clean).sum())
+    gain = float((each * np.where(y == 1, np.log(toxic), clean)).sum())
     return gain, np.bincount(flat, weights=slope[sentence_of], minlength=len(weights)), float(slope.sum())
 
 
 def _slopes(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value
+        weights, bias, counts_as = shared.value
         total, n = np.zeros(len(weights) + 2), 0
         for batch in batches:
             if not batch.num_rows:
@@ -133,7 +143,7 @@ def _slopes(shared):
             doc_of = np.repeat(np.arange(len(y)), per_doc)
             each = sizes.flatten().to_numpy(zero_copy_only=False)
             sentence_of = np.repeat(np.arange(len(each)), each)
-            gain, slope, lean = gradient(weights, bias, y, doc_of, sentence_of, flat.flatten().to_numpy(zero_copy_only=False))
+            gain, slope, lean = gradient(weights, bias, y, doc_of, sentence_of, flat.flatten().to_numpy(zero_copy_only=False), counts_as)
             total += np.concatenate(([gain, lean], slope))
             n += len(y)
         if n:
@@ -149,6 +159,14 @@ class Model:
     bias: float
 
 
+def class_rates(zeros: int, ones: int, sample_docs: int) -> tuple[float, float]:
+    """Share of each class to draw: half of the sample for each, and what the other class leaves."""
+    half = sample_docs / 2
+    return tuple(
+        min(1.0, max(half, sample_docs - other) / own) if own else 1.0 for own, other in ((zeros, ones), (ones, zeros))
+    )
+
+
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> Model:
     """Fit on (doc_id, text, y)."""
     spark = labelled.sparkSession
@@ -160,11 +178,16 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS)
         limit = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.empty(0, np.int64), np.empty(0), float(np.log(limit / (1 - limit))))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
-    drawn = known.where(draw < min(1.0, sample_docs / size["n"])).dropDuplicates(["text", "y"])
+    toxic = round(size["n"] * share)
+    rates = class_rates(size["n"] - toxic, toxic, sample_docs)
+    drawn = known.where(draw < F.when(F.col("y") == 1, rates[1]).otherwise(rates[0])).dropDuplicates(["text", "y"])
     sample = stored(drawn.repartition(PARTS), "toxic-sample")
     counts = sample.mapInPandas(_count, "feature long, zeros long, ones long").groupBy("feature").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     zeros, ones = totals.get(0, 0), totals.get(1, 0)
+    # each document stands for those that were not drawn of its class, on average for one
+    mean = (zeros / rates[0] + ones / rates[1]) / max(1, zeros + ones)
+    counts_as = (1 / rates[0] / mean, 1 / rates[1] / mean)
     odds = F.log((F.col("ones") + 0.5) / (ones + 1.0)) - F.log((F.col("zeros") + 0.5) / (zeros + 1.0))
     spread = F.sqrt(1 / (F.col("ones") + 0.5) + 1 / (F.col("zeros") + 0.5))
     best = (
@@ -183,7 +206,7 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS)
     weights = np.concatenate(([-4.0], np.zeros(len(chosen))))
     first, second = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, steps + 1):  # gradient ascent with moments
-        shared = spark.sparkContext.broadcast((weights[1:], float(weights[0])))
+        shared = spark.sparkContext.broadcast((weights[1:], float(weights[0]), counts_as))
         parts = encoded.mapInArrow(_slopes(shared), "n long, total array<double>").collect()  # one row for each part
         n = sum(r["n"] for r in parts)
         slope = np.sum([r["total"][1:] for r in parts], axis=0) / n - PENALTY / n * np.concatenate(([0.0], weights[1:]))

@@ -145,6 +145,27 @@ def test_gradient_of_the_noisy_or():
     assert np.isclose(change, lean, atol=1e-5)
 
 
+def test_classes_of_the_sample():
+    assert toxicity.class_rates(900, 100, 2000) == (1.0, 1.0)
+    assert toxicity.class_rates(9_000, 100, 1000) == (0.1, 1.0)  # all of the rare class, the rest of the other
+    assert toxicity.class_rates(10_000, 10_000, 1000) == (0.05, 0.05)
+    rng = np.random.default_rng(2)
+    args = rng.normal(size=4), -0.5, np.array([1, 0]), np.array([0, 1, 1]), np.array([0, 1, 2]), rng.integers(0, 4, 3)
+    twice = (args[0], args[1], np.array([1, 0, 0]), np.array([0, 1, 1, 2, 2]), np.array([0, 1, 2, 3, 4]), np.append(args[5], args[5][1:]))
+    for got, want in zip(toxicity.gradient(*args, (2.0, 1.0)), toxicity.gradient(*twice), strict=True):
+        assert np.allclose(got, want)
+
+
+def test_a_rare_class_is_learned(spark):
+    rng = np.random.default_rng(8)
+    plain = [f"{a}{b}" for a in ("tra", "hou", "riv", "sto") for b in "abcdefghij"]
+    rows = [(i, " ".join(rng.choice(plain, 8)) + (" grimblish!" if i % 50 == 0 else "."), int(i % 50 == 0)) for i in range(2000)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, y int"), sample_docs=200)
+    docs = spark.createDataFrame([(1, "stoa grimblish trab"), (2, "stoa trab houc")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, model, locate=False).collect()}
+    assert got[1] > 0.5 > 0.1 > got[2]
+
+
 def test_toxic_sentences_are_located(spark):
     rng = np.random.default_rng(6)
     plain = ["tree", "house", "river", "stone", "cloud", "bread", "light", "green"]
@@ -174,3 +195,18 @@ def test_toxicity_held_out_accuracy(spark):
     got = q.op4_toxicity(spark, "/root/testdata/sf0.1").toPandas()
     held = got[got.held_out].merge(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas(), on="doc_id")
     assert len(got) == 10000 and (held.predicted == held.toxic).mean() > 0.95
+
+
+def test_copies_of_a_text_do_not_calibrate_each_other(spark):
+    rng = np.random.default_rng(9)
+    x = np.repeat(rng.normal(size=(40, len(quality.STATISTICS))), 12, axis=0)  # 40 texts of 12 copies
+    y = np.repeat(rng.integers(0, 2, 40), 12)  # labels that no statistic tells
+    rows = spark.createDataFrame([(i, a.tolist(), int(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "doc_id long, x array<double>, y int")
+    model = quality.fit(rows, bins=10)
+    assert len(model.values) < 8 and np.ptp(model.values) < 0.75  # seen copies would give a map from 0 to 1
+
+
+def test_one_text_alone_is_calibrated(spark):
+    rows = spark.createDataFrame([(i, [1.0] * len(quality.STATISTICS), i % 2) for i in range(20)], "doc_id long, x array<double>, y int")
+    model = quality.fit(rows)
+    assert {round(r["score"], 6) for r in quality.scored(rows.select("doc_id", "x"), model).collect()} == {0.5}
