@@ -180,7 +180,9 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS)
     draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
     toxic = round(size["n"] * share)
     rates = class_rates(size["n"] - toxic, toxic, sample_docs)
-    drawn = known.where(draw < F.when(F.col("y") == 1, rates[1]).otherwise(rates[0])).dropDuplicates(["text", "y"])
+    # drawn without the texts first (some SAMPLE_DOCS ids), so that only texts of the sample meet their labels
+    taken = stored(known.where(draw < F.when(F.col("y") == 1, rates[1]).otherwise(rates[0])).select("doc_id").distinct(), "toxic-ids")
+    drawn = known.join(F.broadcast(taken), "doc_id", "left_semi").dropDuplicates(["text", "y"])
     sample = stored(drawn.repartition(PARTS), "toxic-sample")
     counts = sample.mapInPandas(_count, "feature long, zeros long, ones long").groupBy("feature").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
