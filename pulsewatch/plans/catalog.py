@@ -361,7 +361,7 @@ def hourly_weather(t: Tables) -> DataFrame:
 
 @query
 def weather_correlation(t: Tables) -> DataFrame:
-    return analysis.weather_correlation(t.calls_weather).select("variable", "n", "r")
+    return analysis.weather_correlation(t.calls_weather)
 
 
 @query
@@ -532,32 +532,30 @@ def forecast_7d_mean(t: Tables) -> DataFrame:
 
 @query
 def ttest_alcohol(t: Tables) -> DataFrame:
-    tested = stats.t_test(risk.events_summary(t.fact), "has_alcohol", "incident_count")
-    return tested.drop("p_value", "stars")
+    return stats.t_test(risk.events_summary(t.fact), "has_alcohol", "incident_count")
 
 
 @query
 def ttest_response(t: Tables) -> DataFrame:
     kept = t.flagged.where(F.col("response_time") < 7200)
-    tested = stats.t_test(kept, "is_festival_related", "response_time", min_rows=10)
-    return tested.drop("p_value", "stars")
+    return stats.t_test(kept, "is_festival_related", "response_time", min_rows=10)
 
 
 @query
 def mannwhitney(t: Tables) -> DataFrame:
-    return stats.mann_whitney(risk.events_summary(t.fact), "has_alcohol", "incident_count").drop("p_value", "stars")
+    return stats.mann_whitney(risk.events_summary(t.fact), "has_alcohol", "incident_count")
 
 
 @query
 def mannwhitney_response(t: Tables) -> DataFrame:
     """U over a continuous measure of all calls: many distinct values."""
     calls = t.calls.withColumn("is_urgent", F.col("priority_numeric") <= 1)
-    return stats.mann_whitney(calls, "is_urgent", "response_time").drop("p_value", "stars")
+    return stats.mann_whitney(calls, "is_urgent", "response_time")
 
 
 @query
 def significance(t: Tables) -> DataFrame:
-    """p-values and stars of all tests; checked in the unit tests."""
+    """p-values and stars of all tests."""
     summary = materialize(risk.events_summary(t.fact))
     picks = [F.col("p_value"), F.col("stars")]
     tests = {

@@ -413,6 +413,30 @@ def _oracle(name: str, body: str, d: str = "", i: str = "", t: str = "", s: str
     ORACLES[name] = f"WITH {ctes}\nSELECT *{replace} FROM (\n{body.strip()}\n)"
 
 
+def _integral(f: str, low: str, high: str, steps: int = 4096) -> str:
+    """Simpson's rule for ``f``, an expression of x, between two expressions of columns."""
+    h = f"((({high}) - ({low})) / {steps}e0)"
+    weight = f"CASE WHEN k = 0 OR k = {steps} THEN 1e0 WHEN k % 2 = 1 THEN 4e0 ELSE 2e0 END"
+    point = f.replace("{x}", f"(({low}) + k * {h})")
+    return f"({h} / 3e0 * list_sum(list_transform(range({steps + 1}), lambda k: {weight} * ({point}))))"
+
+
+def _student(t: str, dof: str) -> str:
+    """Two-sided p-value: with x = sqrt(dof) tan(a) the density is a power of cos(a).
+
+    Forty deviations hold all of it that a double can tell.
+    """
+    power, wide = f"pow(cos({{x}}), {dof} - 1)", f"40e0 / sqrt({dof})"
+    angle = f"atan(abs({t}) / sqrt({dof}))"
+    tail = _integral(power, angle, f"least(pi() / 2, {angle} + {wide})")
+    return f"({tail} / {_integral(power, '0e0', f'least(pi() / 2, {wide})')})"
+
+
+def _starred(source: str) -> str:
+    return f"""SELECT *, CASE WHEN p_value < 0.001 THEN '***' WHEN p_value < 0.01 THEN '**'
+         WHEN p_value < 0.05 THEN '*' ELSE '' END AS stars FROM ({source})"""
+
+
 # ---- sources ---------------------------------------------------------------------------------
 
 _oracle("scan_parquet", "SELECT event_id, event_type, value FROM events", d="value", i="event_id")
@@ -691,18 +715,14 @@ _HOURLY = """SELECT join_hour, count(*) AS incident_count, max(temperature_f) AS
        max(precipitation_mm) AS precipitation_mm, max(humidity_pct) AS humidity_pct
        FROM calls_weather GROUP BY join_hour"""
 _oracle("hourly_weather", _HOURLY, d="temperature_f precipitation_mm humidity_pct", s="join_hour")
-_oracle(
-    "weather_correlation",
-    f"""WITH hourly AS ({_HOURLY})
----
+_CORRELATED = _starred(f"""SELECT *, {_student("r * sqrt((n - 2) / (1 - r * r))", "(n - 2)")} AS p_value FROM (
 SELECT 'temperature' AS variable, count(temperature_f) AS n,
        corr(temperature_f, incident_count) AS r FROM hourly
 UNION ALL SELECT 'precipitation', count(precipitation_mm),
        corr(precipitation_mm, incident_count) FROM hourly
 UNION ALL SELECT 'humidity', count(humidity_pct), corr(humidity_pct, incident_count)
-FROM hourly""",
-    d="r",
-)
+FROM hourly)""")
+_oracle("weather_correlation", f"WITH hourly AS ({_HOURLY})\n---\n{_CORRELATED}", d="r p_value")
 
 
 def _two_sided(rows: list[tuple[str, str]], source: str, flag: str) -> str:
@@ -830,6 +850,25 @@ _oracle(
        (SELECT count(*) FROM calls
         WHERE response_date = (SELECT max(response_date) FROM calls)) AS today_calls""",
 )
+_oracle(
+    "daily_report",
+    """SELECT '{"pipeline_name":"pulsewatch_daily","run_id":"run-1",'
+         || '"generated_at":"2024-02-01T06:00:00.000","report_date":"2024-02-01",'
+         || '"status":"SUCCESS"}' AS report_metadata,
+       '{"call_records":0,"event_records":0,"call_records_processed":' || total || '}'
+         AS data_processing,
+       '{"total_911_calls":' || total || ',"total_events":' || (SELECT count(*) FROM festivals)
+         || ',"total_risk_scores":' || (SELECT count(*) FROM scores_v1) || ',"today_calls":'
+         || (SELECT count(*) FROM calls WHERE response_date = (SELECT max(response_date) FROM calls))
+         || '}' AS database_stats,
+       '{"association_rules":{"status":"COMPLETED","rules_discovered":24},'
+         || '"clustering":{"status":"SKIPPED"},"forecasting":{"status":"SKIPPED"},'
+         || '"risk_scoring":{"status":"COMPLETED","distribution":{'
+         || (SELECT string_agg('"' || risk_category || '":' || n, ',' ORDER BY risk_category)
+             FROM (SELECT risk_category, count(*) AS n FROM scores_v1 GROUP BY risk_category))
+         || '}}}' AS ml_models
+       FROM (SELECT count(*) AS total FROM calls)""",
+)
 _oracle(
     "overview_kpis",
     """SELECT (SELECT count(*) FROM calls) AS total_calls,
@@ -977,6 +1016,75 @@ _oracle(
 SELECT date, CAST(floor(avg_calls) AS BIGINT) AS predicted_calls FROM week""",
     t="date",
 )
+_FEATURES = """day_of_week month is_weekend dow_sin dow_cos month_sin month_cos call_count_lag_1
+call_count_lag_7 call_count_lag_14 call_count_rolling_mean_7 call_count_rolling_mean_14""".split()
+_WEATHER_FEATURES = "temp_avg_f precipitation_total_mm humidity_avg_pct".split()
+
+
+def _ridge(columns: list[str], source: str) -> str:
+    """Ridge with a penalty of 1: normal equations of scaled training days, by elimination.
+
+    Leaves ``scales`` and ``weights`` by column number, ``level`` and the ``scaled`` days.
+    """
+    p = len(columns)
+    return f"""days AS (
+  SELECT date, call_count, row_number() OVER (ORDER BY date) <= floor(count(*) OVER () * 0.8e0) AS is_train,
+         [{", ".join(f"CAST({c} AS DOUBLE)" for c in columns)}] AS x
+  FROM (
+    SELECT c.*, {", ".join(f"lag(call_count, {k}) OVER (ORDER BY date) AS call_count_lag_{k}" for k in (1, 7, 14, 28))},
+           {", ".join(f"{_rolling(n, 'avg')} AS call_count_rolling_mean_{n}" for n in (7, 14, 30))}
+    FROM calendar c) {source}
+  WHERE call_count_lag_28 IS NOT NULL AND call_count_rolling_mean_30 IS NOT NULL),
+cells AS (
+  SELECT date, is_train, call_count AS y, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM days),
+scales AS (SELECT j, avg(v) AS mean, stddev_pop(v) AS sd FROM cells WHERE is_train GROUP BY j),
+scaled AS (
+  SELECT date, is_train, y, j, CASE WHEN sd > 0 THEN (v - mean) / sd ELSE 0e0 END AS z
+  FROM cells JOIN scales USING (j)),
+level AS (SELECT avg(call_count) AS y FROM days WHERE is_train),
+equations AS (
+  SELECT a.j AS i, b.j AS j, sum(a.z * b.z) + CASE WHEN a.j = b.j THEN 1e0 ELSE 0e0 END AS s
+  FROM scaled a JOIN scaled b ON a.date = b.date WHERE a.is_train GROUP BY 1, 2
+  UNION ALL
+  SELECT j, {p + 1}, sum(z * (scaled.y - level.y)) FROM scaled, level WHERE is_train GROUP BY j),
+solved AS (
+  WITH RECURSIVE eliminated(k, m) AS (
+    SELECT 1, list(r ORDER BY i) FROM (SELECT i, list(s ORDER BY j) AS r FROM equations GROUP BY i)
+    UNION ALL
+    SELECT k + 1, list_transform(m, lambda r, i: CASE
+             WHEN i = k THEN list_transform(r, lambda v: v / r[k])
+             ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END)
+    FROM eliminated WHERE k <= {p})
+  SELECT m FROM eliminated WHERE k = {p + 1}),
+weights AS (SELECT j, m[j][{p + 1}] AS w FROM solved, (SELECT unnest(range(1, {p + 1})) AS j))"""
+
+
+_oracle(
+    "forecast_ridge",
+    f"""WITH {_ridge(_FEATURES + _WEATHER_FEATURES, "JOIN long_weather USING (date)")}
+---
+SELECT date, any_value(CAST(scaled.y AS DOUBLE)) AS actual,
+       any_value(level.y) + sum(z * w) AS predicted, 'ridge' AS model
+FROM scaled JOIN weights USING (j), level WHERE NOT is_train GROUP BY date""",
+    d="actual predicted", t="date",
+)
+_NEXT = """isodow(date) - 1, month(date), CASE WHEN isodow(date) >= 6 THEN 1 ELSE 0 END,
+  sin(2 * pi() * (isodow(date) - 1) / 7), cos(2 * pi() * (isodow(date) - 1) / 7),
+  sin(2 * pi() * month(date) / 12), cos(2 * pi() * month(date) / 12),
+  lag1, lag7, lag14, mean7, mean14"""
+_oracle(
+    "forecast_7d",
+    f"""WITH {_ridge(_FEATURES, "")},
+{_WEEK},
+ahead AS (
+  SELECT date, unnest(x) AS v, generate_subscripts(x, 1) AS j
+  FROM (SELECT date, [{_NEXT}] AS x FROM week))
+---
+SELECT date, CAST(greatest(0, trunc(any_value(level.y)
+         + sum(CASE WHEN sd > 0 THEN (v - mean) / sd ELSE 0e0 END * w))) AS BIGINT) AS predicted_calls
+FROM ahead JOIN scales USING (j) JOIN weights USING (j), level GROUP BY date""",
+    t="date",
+)
 _oracle(
     "forecast_metrics",
     """SELECT avg(abs(actual - predicted)) AS mae, sqrt(avg((actual - predicted) ** 2)) AS rmse,
@@ -995,7 +1103,7 @@ _oracle(
 
 
 def _ttest(source: str, flag: str, value: str, gate: int) -> str:
-    return f"""SELECT n_yes, n_no, mean_yes, mean_no,
+    tested = f"""SELECT n_yes, n_no, mean_yes, mean_no,
        CASE WHEN n_yes > {gate} AND n_no > {gate} THEN (mean_yes - mean_no)
          / sqrt(((n_yes - 1) * var_yes + (n_no - 1) * var_no) / (n_yes + n_no - 2)
                 * (1e0 / n_yes + 1e0 / n_no)) END AS t_statistic,
@@ -1006,32 +1114,51 @@ def _ttest(source: str, flag: str, value: str, gate: int) -> str:
                avg({value}) FILTER (NOT {flag}) AS mean_no,
                var_samp({value}) FILTER ({flag}) AS var_yes,
                var_samp({value}) FILTER (NOT {flag}) AS var_no FROM {source})"""
+    return _starred(f"SELECT *, {_student('t_statistic', 'degrees_of_freedom')} AS p_value FROM ({tested})")
 
 
 _oracle("ttest_alcohol", _ttest("events_summary", "has_alcohol", "incident_count", 1),
-        d="mean_yes mean_no t_statistic", i="degrees_of_freedom")
+        d="mean_yes mean_no t_statistic p_value", i="degrees_of_freedom")
 _oracle(
     "ttest_response",
     _ttest("(SELECT * FROM flagged WHERE response_time < 7200)", "is_festival_related",
            "response_time", 10),
-    d="mean_yes mean_no t_statistic", i="degrees_of_freedom",
+    d="mean_yes mean_no t_statistic p_value", i="degrees_of_freedom",
 )
 
 
 def _ranksum(source: str, flag: str, value: str) -> str:
-    return f"""SELECT CASE WHEN count(*) FILTER (g) > 1 AND count(*) FILTER (NOT g) > 1
+    """U with its normal p-value; ties, which the tables have, rule out the exact one."""
+    tested = f"""SELECT CASE WHEN count(*) FILTER (g) > 1 AND count(*) FILTER (NOT g) > 1
          THEN sum(rank) FILTER (g) - count(*) FILTER (g) * (count(*) FILTER (g) + 1) / 2e0 END
          AS u_statistic, count(*) FILTER (g) AS n_yes, count(*) FILTER (NOT g) AS n_no,
        (SELECT sum(CAST(n AS DOUBLE) ** 3 - n)
         FROM (SELECT count(*) AS n FROM {source} GROUP BY {value})) AS tie_sum
        FROM (SELECT {flag} AS g, rank() OVER (ORDER BY {value})
                + (count(*) OVER (PARTITION BY {value}) - 1) / 2e0 AS rank FROM {source})"""
+    z = "((greatest(u_statistic, n_yes * n_no - u_statistic) - n_yes * n_no / 2e0 - 0.5e0) / spread)"
+    tail = _integral("exp(-{x} * {x} / 2)", z, f"{z} + 40")
+    return _starred(f"""SELECT * EXCLUDE (spread), CASE WHEN u_statistic IS NULL THEN NULL WHEN spread = 0 THEN 1e0
+         ELSE least(1e0, 2 * {tail} / sqrt(2 * pi())) END AS p_value
+       FROM (SELECT *, sqrt(n_yes * n_no / 12e0 * (n_yes + n_no + 1
+               - tie_sum / ((n_yes + n_no) * (n_yes + n_no - 1e0)))) AS spread FROM ({tested}))""")
 
 
 _oracle("mannwhitney", _ranksum("events_summary", "has_alcohol", "incident_count"),
-        d="u_statistic tie_sum")
+        d="u_statistic tie_sum p_value")
 _oracle("mannwhitney_response", _ranksum("calls", "priority_numeric <= 1", "response_time"),
-        d="u_statistic tie_sum")
+        d="u_statistic tie_sum p_value")
+_oracle(
+    "significance",
+    f"""WITH hourly AS ({_HOURLY})
+---
+SELECT 'ttest_alcohol' AS test, p_value, stars
+FROM ({_ttest("events_summary", "has_alcohol", "incident_count", 1)})
+UNION ALL SELECT 'mannwhitney_alcohol', p_value, stars
+FROM ({_ranksum("events_summary", "has_alcohol", "incident_count")})
+UNION ALL SELECT variable, p_value, stars FROM ({_CORRELATED})""",
+    d="p_value",
+)
 
 # ---- mining ----------------------------------------------------------------------------------
 

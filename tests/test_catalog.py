@@ -45,7 +45,7 @@ def test_query_equals_sql(spark, duck, small, name):
     assert got == table(relation.columns, relation.fetchall())
 
 
-@pytest.mark.parametrize("name", ["significance", "daily_report", "forecast_7d", "zone_levels"])
+@pytest.mark.parametrize("name", ["forecast_best", "hour_clusters", "rf_small", "zone_levels"])
 def test_other_queries_return_rows(spark, small, name):
     assert driver.queries()[name](spark, small).count() > 0
 
