@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -213,13 +215,15 @@ def upsert_partitions(
     update_cols: list[str] | None = None,
     order_by: list[Column | str] | None = None,
     within: Column | str | None = None,
+    after: Callable[[Column | None], None] | None = None,
 ) -> dict[str, int]:
     """Upsert into a partitioned Parquet table, rewriting only partitions it touches.
 
     ``within`` is a condition on partition columns beyond which no incoming key is
     stored; only partitions inside are looked through for the keys, and of those only
     the ones that may hold a key by the summaries beside the table (``key_summary``).
-    The number of partitions looked through and rewritten is returned.
+    The number of partitions looked through and rewritten is returned. ``after`` is called
+    with the condition that selects the partitions written, None if the table is new.
 
     Touched are the partitions of the incoming rows and those of stored rows with the
     same key; both lists have one entry per partition. Partition columns of a stored
@@ -234,6 +238,8 @@ def upsert_partitions(
             raise
         incoming.write.partitionBy(*partition_by).parquet(path)
         key_summary.summarise_keys(spark, path, key, partition_by)
+        if after:
+            after(None)
         return {"looked": 0, "rewritten": 0}
     incoming = materialize(incoming)
     keys = incoming.select(F.col(key).cast(base.schema[key].dataType).alias(key))
@@ -258,6 +264,8 @@ def upsert_partitions(
         .parquet(path)
     )
     key_summary.summarise_keys(spark, path, key, partition_by, inside)
+    if after:
+        after(inside)
     return {"looked": len(looked), "rewritten": len(touched)}
 
 

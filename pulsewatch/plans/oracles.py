@@ -869,6 +869,8 @@ _oracle(
          || '}}}' AS ml_models
        FROM (SELECT count(*) AS total FROM calls)""",
 )
+for _name in ("risk_heatmap_30d", "zone_heatmap", "db_stats"):
+    ORACLES[f"{_name.removesuffix('_30d')}_merged"] = ORACLES[_name]
 _oracle(
     "overview_kpis",
     """SELECT (SELECT count(*) FROM calls) AS total_calls,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsewatch import schemas
 from pulsewatch.operators import (
     clean,
+    day_counts,
     forecast,
     joins,
     mining,
@@ -63,14 +64,23 @@ def enriched_calls(raw: DataFrame, geo: DataFrame) -> DataFrame:
     return partitioned(warehouse.load_fact_calls(calls, geo, ("response_time",)))
 
 
-def load_calls(raw: DataFrame, geo: DataFrame, path: str) -> None:
-    """Upsert calls: unknown incidents are added, known ones take new coordinates."""
+def load_calls(raw: DataFrame, geo: DataFrame, path: str, counts: str | None = None) -> None:
+    """Upsert calls: unknown incidents are added, known ones take new coordinates.
+
+    With ``counts``, the counts a day and place there follow. A load that is repeated after a
+    failure touches the same partitions, so counts that a lost run left behind are mended.
+    """
+
+    def recount(touched: Column | None) -> None:
+        day_counts.recount(raw.sparkSession, path, counts, PARTITIONS, touched)
+
     warehouse.upsert_partitions(
         path,
         enriched_calls(raw, geo),
         "incident_number",
         PARTITIONS,
         ["latitude_centroid", "longitude_centroid"],
+        after=recount if counts else None,
     )
 
 
@@ -91,7 +101,7 @@ def load_venues(spark: SparkSession, paths: Paths) -> None:
 
 
 def run_daily(spark: SparkSession, paths: Paths, run_date: str, gates: Gates | None = None) -> None:
-    """Load the dimensions and calls, rebuild fact, scores and heatmap, write the report.
+    """Load the dimensions and calls, rebuild fact, scores and heatmaps, write the report.
 
     The run log says SUCCESS, or WARNING if an alert of that severity or a worse one was raised.
     """
@@ -106,8 +116,9 @@ def run_daily(spark: SparkSession, paths: Paths, run_date: str, gates: Gates | N
     dim_event = spark.read.parquet(paths.table("dim_event"))
 
     raw_calls = readers.read_calls(spark, paths.calls)
-    load_calls(raw_calls, dim_geo, paths.table("fact_calls"))
+    load_calls(raw_calls, dim_geo, paths.table("fact_calls"), paths.table("day_counts"))
     calls = spark.read.parquet(paths.table("fact_calls"))
+    counts = spark.read.parquet(paths.table("day_counts"))
 
     sinks.write_table(
         joins.festival_incidents(calls, dim_event), paths.table("fact_festival_incidents")
@@ -119,10 +130,12 @@ def run_daily(spark: SparkSession, paths: Paths, run_date: str, gates: Gates | N
     scores = spark.read.parquet(paths.table("risk_scores")).where(
         F.col("run_date") == F.lit(run_date).cast("date")
     )
-    sinks.write_table(risk.zone_heatmap(calls), paths.table("zone_clusters"))
+    sinks.write_table(day_counts.zone_heatmap(counts), paths.table("zone_clusters"))
+    rolling = day_counts.rolling_heatmap(counts, month="response_month")
+    sinks.write_table(rolling, paths.table("risk_heatmap"))
     rules, zone_count, forecast_avg = run_models(calls, paths, gates, weather)
 
-    stats = reports.db_stats(calls, dim_event, scores)
+    stats = day_counts.db_stats(counts, dim_event, scores)
     extracted = {"calls": raw_calls.count(), "events": raw_events.count()}
     report = reports.daily_report(
         stats, scores, f"daily-{run_date}", f"{run_date} 00:00:00", extracted, rules, zone_count, forecast_avg

@@ -24,11 +24,16 @@ def landed_calls(spark: SparkSession, landing: str, max_files: int = 1000) -> Da
     )
 
 
-def load_stream(raw: DataFrame, geo: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Load everything that has landed since the last run, then stop."""
+def load_stream(
+    raw: DataFrame, geo: DataFrame, table: str, checkpoint: str, counts: str | None = None
+) -> StreamingQuery:
+    """Load everything that has landed since the last run, then stop.
+
+    With ``counts``, the counts a day and place there follow each batch.
+    """
 
     def load(batch: DataFrame, _: int) -> None:
-        load_calls(batch, geo, table)
+        load_calls(batch, geo, table, counts)
 
     return (
         raw.writeStream.foreachBatch(load)
