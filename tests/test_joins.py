@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsewatch.functions.geo import Grid, bounding_box
 from pulsewatch.operators import joins
+from pulsewatch.plans import catalog
 
 CALL = "incident_number string, response_datetime timestamp_ntz, latitude_centroid double, " \
        "longitude_centroid double, priority_level string"
@@ -237,3 +238,38 @@ def test_events_of_a_year_meet_all_their_calls(spark, broadcast_rows):
     copies = joins._event_cells(days, joins.Grid(1.5))
     assert copies.groupBy("event_id").count().agg(F.max("count")).first()[0] <= 9 * 24
     assert joins.events_in_range(events, calls, True, span).count() == 5
+
+
+def crowd(spark):
+    """Calls that share places and days, some twice, without a number or at midnight sharp, and events around them."""
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(400):
+        when = start + dt.timedelta(days=i % 5, hours=0 if i % 11 == 0 else i % 24, minutes=0 if i % 11 == 0 else i % 50)
+        number = None if i % 37 == 0 else f"c{i - i % 2}" if i % 10 == 1 else f"c{i}"
+        rows.append((number, when, 30.27 + (i % 3) * 0.01, -97.74, f"Priority {i % 4}", None if i % 13 == 0 else i % 4,
+                     None if i % 7 == 0 else f"type {i % 6}", float(i % 90)))
+    calls = spark.createDataFrame(
+        rows + [("lost", start, None, None, "Priority 0", 0, "type 1", 1.0)],
+        "incident_number string, response_datetime timestamp_ntz, latitude_centroid double, longitude_centroid double,"
+        " priority_level string, priority_numeric int, final_problem_category string, response_time double",
+    )
+    day = dt.date(2024, 1, 1)
+    events = spark.createDataFrame(
+        [(k, f"e{k}", day + dt.timedelta(days=k % 5), day + dt.timedelta(days=k % 5 + k % 3), 30.27 + (k % 4) * 0.008, -97.741, k % 2 == 0)
+         for k in range(12)] + [(99, "far", day, day, 50.0, 1.0, True)],
+        "event_id long, event_name string, start_date date, end_date date, event_lat double, event_lon double, has_alcohol boolean",
+    )
+    return calls, events
+
+
+def test_pairs_are_made_without_working_out_distances_again(spark):
+    """Distances and the shown form of columns are settled for places and calls, not for pairs."""
+    calls, events = crowd(spark)
+    shown = joins.festival_incidents(calls, events, render=catalog.comparable)
+    plan = shown._jdf.queryExecution().optimizedPlan().toString().lower()
+    above = plan.split("join inner")[0]
+    assert above != plan and "asin(" not in plan and "round(" not in above and "date_format(" not in above
+    plain = catalog.comparable(joins.festival_incidents(calls, events))
+    assert plain.schema.simpleString() == shown.schema.simpleString()
+    assert shown.exceptAll(plain).count() == plain.exceptAll(shown).count() == 0
