@@ -238,12 +238,13 @@ def one_row(spark: SparkSession, measures: dict[str, DataFrame]) -> DataFrame:
     return spark.range(1).select(*[df.scalar().alias(name) for name, df in measures.items()])
 
 
-def overview_kpis(calls: DataFrame, fact: DataFrame, risk: DataFrame) -> DataFrame:
+def overview_kpis(calls: DataFrame, fact: DataFrame, risk: DataFrame, linked: DataFrame | None = None) -> DataFrame:
     """Dashboard totals. Distinct counts read their column alone, since two of them in
-    one aggregate would multiply every row."""
+    one aggregate would multiply every row. A fact that counts its incidents in ``rows`` comes
+    with the calls ``linked`` to an event."""
 
-    def distinct(column: str) -> DataFrame:
-        values = fact.select(column).where(F.col(column).isNotNull()).distinct()
+    def distinct(frame: DataFrame, column: str) -> DataFrame:
+        values = frame.select(column).where(F.col(column).isNotNull()).distinct()
         return values.agg(F.count("*"))
 
     scored = risk.agg(
@@ -254,9 +255,9 @@ def overview_kpis(calls: DataFrame, fact: DataFrame, risk: DataFrame) -> DataFra
         calls.sparkSession,
         {
             "total_calls": calls.agg(F.count("*")),
-            "festival_incidents": fact.agg(F.count("*")),
-            "unique_incidents": distinct("incident_number"),
-            "unique_events": distinct("event_id"),
+            "festival_incidents": fact.agg(F.count("*") if linked is None else F.coalesce(F.sum("rows"), F.lit(0))),
+            "unique_incidents": distinct(fact if linked is None else linked, "incident_number"),
+            "unique_events": distinct(fact, "event_id"),
             "analyzed_festivals": scored.select("festivals"),
             "high_risk_festivals": scored.select("high"),
         },

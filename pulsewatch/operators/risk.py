@@ -55,33 +55,42 @@ def top_incident_type(fact: DataFrame) -> DataFrame:
     return counts.groupBy("event_id").agg(top.alias("top_incident_type"))
 
 
+def incident_measures() -> dict[str, Column]:
+    """What the measures of an event are made of, over any set of its calls."""
+    return {
+        "rows": F.count("*"),
+        "incidents": F.count("incident_number"),
+        "priority_sum": F.sum("priority_numeric"),
+        "priority_n": F.count("priority_numeric"),
+        "priority_min": F.min("priority_numeric"),
+        "response_sum": F.sum("response_time"),
+        "response_n": F.count("response_time"),
+        **{level_column(p): F.count_if(F.col("priority_level") == p) for p in PRIORITY_LEVELS},
+    }
+
+
 def festival_metrics(fact: DataFrame) -> DataFrame:
     """All per-event measures from one pass over the fact.
 
     The first aggregation is by event and category, the second by event. A heavy
-    event reaches the second one as a handful of rows.
+    event reaches the second one as a handful of rows. A fact whose calls are counted already
+    (``joins.festival_incident_counts`` with ``incident_measures`` by category) gives the same.
     """
     keys = ["event_id", "event_name"]
     levels = [level_column(p) for p in PRIORITY_LEVELS]
+    measures = incident_measures()
+    distance = {"distance_sum": F.sum("distance_km"), "distance_n": F.count("distance_km")}
+    if set(measures) <= set(fact.columns):
+        measures = {m: F.min(m) if m == "priority_min" else F.sum(m) for m in measures}
+        known = F.when(F.col("distance_km").isNotNull(), F.col("rows"))
+        distance = {"distance_sum": F.sum(F.col("distance_km") * F.col("rows")), "distance_n": F.coalesce(F.sum(known), F.lit(0))}
     partial = (
         fact.na.drop(subset=keys)
         .groupBy(*keys, "final_problem_category")
         .agg(
-            F.count("*").alias("rows"),
-            F.count("incident_number").alias("incidents"),
-            F.sum("priority_numeric").alias("priority_sum"),
-            F.count("priority_numeric").alias("priority_n"),
-            F.min("priority_numeric").alias("priority_min"),
-            F.sum("distance_km").alias("distance_sum"),
-            F.count("distance_km").alias("distance_n"),
-            F.sum("response_time").alias("response_sum"),
-            F.count("response_time").alias("response_n"),
+            *[m.alias(name) for name, m in (measures | distance).items()],
             F.bool_or("event_has_alcohol").alias("alcohol"),
             F.bool_or("event_has_amplified_sound").alias("sound"),
-            *[
-                F.count_if(F.col("priority_level") == p).alias(level_column(p))
-                for p in PRIORITY_LEVELS
-            ],
         )
     )
 
@@ -151,21 +160,50 @@ def festival_risk(fact: DataFrame, radius_km: float = 1.5) -> DataFrame:
     )
 
 
+def with_stored_priorities(linked: DataFrame, calls: DataFrame) -> DataFrame:
+    """Each row of ``linked`` with the number, sum and known values of the priorities ``calls`` has for its incident.
+
+    An incident that ``calls`` lacks counts once, without a priority, as in a left join.
+    """
+    stored = calls.where(F.col("incident_number").isNotNull()).groupBy("incident_number").agg(
+        F.count("*").alias("stored_n"),
+        F.sum("priority_numeric").alias("stored_sum"),
+        F.count("priority_numeric").alias("stored_known"),
+    )
+    return linked.join(stored, "incident_number", "left").na.fill(1, ["stored_n"])
+
+
+def summary_measures() -> dict[str, Column]:
+    """Measures over ``with_stored_priorities`` that ``festival_summary`` adds up."""
+    return {
+        "incidents": F.sum(F.when(F.col("incident_number").isNotNull(), F.col("stored_n")).otherwise(0)),
+        "priority_sum": F.sum("stored_sum"),
+        "priority_n": F.sum("stored_known"),
+    }
+
+
 def festival_summary(events: DataFrame, fact: DataFrame, calls: DataFrame) -> DataFrame:
     """Incident count and mean priority of every event; events without incidents stay.
 
-    The fact is reduced to one row per event before it meets the event table.
+    The fact is reduced to one row per event before it meets the event table. It is a list of
+    incidents, or counts them with ``summary_measures``, in which the priorities of calls are.
     """
-    priorities = calls.select("incident_number", "priority_numeric")
-    per_event = (
-        fact.select("event_id", "incident_number")
-        .join(priorities, "incident_number", "left")
-        .groupBy("event_id")
-        .agg(
-            F.count("incident_number").alias("incident_count"),
-            F.avg("priority_numeric").alias("avg_priority"),
+    if set(summary_measures()) <= set(fact.columns):
+        per_event = fact.groupBy("event_id").agg(
+            F.sum("incidents").alias("incident_count"),
+            (F.sum("priority_sum") / F.nullif(F.sum("priority_n"), F.lit(0))).alias("avg_priority"),
+        )
+    else:
+        priorities = calls.select("incident_number", "priority_numeric")
+        per_event = (
+            fact.select("event_id", "incident_number")
+            .join(priorities, "incident_number", "left")
+            .groupBy("event_id")
+            .agg(
+                F.count("incident_number").alias("incident_count"),
+                F.avg("priority_numeric").alias("avg_priority"),
+            )
         )
-    )
     return (
         events.select("event_id", "event_name", "has_alcohol")
         .join(per_event, "event_id", "left")

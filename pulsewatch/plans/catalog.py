@@ -328,12 +328,12 @@ def top_incident_type(t: Tables) -> DataFrame:
 
 @query
 def festival_risk(t: Tables) -> DataFrame:
-    return risk.festival_risk(t.fact)
+    return risk.festival_risk(t.counted_fact)
 
 
 @query
 def risk_filtered(t: Tables) -> DataFrame:
-    scored = risk.festival_risk(t.fact)
+    scored = risk.festival_risk(t.counted_fact)
     return risk.filter_risk(scored, ["HIGH", "MEDIUM"], alcohol=True).select(
         "event_id", "event_name", "incident_count", "risk_score", "risk_category"
     )
@@ -341,13 +341,13 @@ def risk_filtered(t: Tables) -> DataFrame:
 
 @query
 def top_festivals(t: Tables) -> DataFrame:
-    top = risk.top_rows(risk.festival_risk(t.fact), "incident_count", 10, "event_id")
+    top = risk.top_rows(risk.festival_risk(t.counted_fact), "incident_count", 10, "event_id")
     return top.select("event_id", "event_name", "incident_count", "risk_category")
 
 
 @query
 def risk_distribution(t: Tables) -> DataFrame:
-    return analysis.risk_distribution(risk.festival_risk(t.fact))
+    return analysis.risk_distribution(risk.festival_risk(t.counted_fact))
 
 
 @query
@@ -463,35 +463,36 @@ def zone_heatmap_merged(t: Tables) -> DataFrame:
 @query
 def db_stats_merged(t: Tables) -> DataFrame:
     counts = materialize(day_counts.count_days(t.enriched))
-    scores = risk.risk_scores_sql(t.festivals, t.fact, t.calls, variant=1)
+    scores = risk.risk_scores_sql(t.festivals, t.summed_fact, t.calls, variant=1)
     return day_counts.db_stats(counts, t.festivals, scores)
 
 
 @query
 def festival_summary(t: Tables) -> DataFrame:
-    return risk.festival_summary(t.festivals, t.fact, t.calls)
+    return risk.festival_summary(t.festivals, t.summed_fact, t.calls)
 
 
 @query
 def risk_scores_sql_v1(t: Tables) -> DataFrame:
-    return risk.risk_scores_sql(t.festivals, t.fact, t.calls, variant=1)
+    return risk.risk_scores_sql(t.festivals, t.summed_fact, t.calls, variant=1)
 
 
 @query
 def risk_scores_sql_v2(t: Tables) -> DataFrame:
-    return risk.risk_scores_sql(t.festivals, t.fact, t.calls, variant=2)
+    return risk.risk_scores_sql(t.festivals, t.summed_fact, t.calls, variant=2)
 
 
 @query
 def db_stats(t: Tables) -> DataFrame:
-    scores = risk.risk_scores_sql(t.festivals, t.fact, t.calls)
+    scores = risk.risk_scores_sql(t.festivals, t.summed_fact, t.calls)
     return reports.db_stats(t.calls, t.festivals, scores)
 
 
 @query
 def overview_kpis(t: Tables) -> DataFrame:
-    fact = materialize(t.fact)
-    return analysis.overview_kpis(t.calls, fact, risk.festival_risk(fact))
+    fact = materialize(t.counted_fact)
+    linked = joins.linked_calls(t.enriched, fact)
+    return analysis.overview_kpis(t.calls, fact, risk.festival_risk(fact), linked)
 
 
 @query
@@ -1069,7 +1070,7 @@ def profile(t: Tables) -> DataFrame:
 
 @query
 def daily_report(t: Tables) -> DataFrame:
-    scores = materialize(risk.risk_scores_sql(t.festivals, t.fact, t.calls))
+    scores = materialize(risk.risk_scores_sql(t.festivals, t.summed_fact, t.calls))
     counters = reports.db_stats(t.calls, t.festivals, scores)
     report = reports.daily_report(counters, scores, "run-1", "2024-02-01 06:00:00", rules=24)
     return report.select(*[F.to_json(c).alias(c) for c in report.columns])

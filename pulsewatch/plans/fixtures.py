@@ -92,6 +92,19 @@ class Tables:
     def fact(self) -> DataFrame:
         return joins.festival_incidents(self.enriched, self.festivals)
 
+    @cached_property
+    def counted_fact(self) -> DataFrame:
+        """The fact with calls of one moment and category counted, not listed."""
+        return joins.festival_incident_counts(
+            self.enriched, self.festivals, risk.incident_measures(), ("final_problem_category",)
+        )
+
+    @cached_property
+    def summed_fact(self) -> DataFrame:
+        """The fact with the incidents and stored priorities of a moment summed."""
+        linked = risk.with_stored_priorities(self.enriched, self.calls)
+        return joins.festival_incident_counts(linked, self.festivals, risk.summary_measures())
+
     @cached_property
     def flagged(self) -> DataFrame:
         return joins.flag_festival(self.enriched, self.fact)

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsewatch.functions.geo import Grid, bounding_box
-from pulsewatch.operators import joins
+from pulsewatch.operators import analysis, joins, risk
 from pulsewatch.plans import catalog
+from pulsewatch.session import materialize
 
 CALL = "incident_number string, response_datetime timestamp_ntz, latitude_centroid double, " \
        "longitude_centroid double, priority_level string"
@@ -263,6 +264,37 @@ def crowd(spark):
     return calls, events
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_counted_fact_adds_up_to_the_listed_one(spark, rows_of, broadcast_rows):
+    calls, events = crowd(spark)
+    fact = joins.festival_incidents(calls, events, broadcast_rows=broadcast_rows)
+    counts = joins.festival_incident_counts(
+        calls, events, risk.incident_measures(), ("final_problem_category",), broadcast_rows=broadcast_rows, salt_rows=2
+    )
+    fact, counts = materialize(fact), materialize(counts)
+    assert fact.count() > 2 * counts.select("event_id", *joins.MOMENT).distinct().count()
+    one, other = (materialize(risk.festival_risk(f)) for f in (fact, counts))
+    same = [c for c, t in one.dtypes if t != "double"]
+    assert rows_of(one.select(same)) == rows_of(other.select(same))
+    for c in ("avg_priority", "avg_distance", "avg_response_time", "risk_score"):
+        got, want = ([r[0] for r in f.orderBy("event_id").select(c).collect()] for f in (other, one))
+        assert got == pytest.approx(want)
+    linked = joins.linked_calls(calls, counts)
+    plain = analysis.overview_kpis(calls, fact, one)
+    assert rows_of(analysis.overview_kpis(calls, counts, other, linked)) == rows_of(plain)
+
+
+def test_summed_fact_gives_the_summary_of_the_listed_one(spark, rows_of):
+    calls, events = crowd(spark)
+    fact = joins.festival_incidents(calls, events)
+    stored = calls.where("priority_numeric is null or priority_numeric < 3").unionByName(calls.limit(20))
+    linked = risk.with_stored_priorities(calls, stored)
+    summed = joins.festival_incident_counts(linked, events, risk.summary_measures())
+    assert rows_of(risk.festival_summary(events, summed, stored)) == rows_of(risk.festival_summary(events, fact, stored))
+    plan = risk.festival_summary(events, summed, stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert "incident_number" not in plan
+
+
 def test_pairs_are_made_without_working_out_distances_again(spark):
     """Distances and the shown form of columns are settled for places and calls, not for pairs."""
     calls, events = crowd(spark)
