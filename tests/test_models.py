@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from pulsewatch.operators import evaluation, knn, priority, sampling, zones
@@ -192,6 +193,22 @@ def test_priority_forest(spark):
     assert priority.cross_validate(rows, columns, folds=2, trees=3, depth=4) > 0.9
 
 
+def test_validation_grows_one_forest_a_fold_in_several_tasks(spark, monkeypatch):
+    rows, columns = priority.priority_features(labelled(spark))
+    few = rows.coalesce(1)
+    assert priority.dealt(few, 400) is few
+    monkeypatch.setattr(priority, "TASK_ROWS", 150)
+    spread = priority.dealt(few, 400)
+    assert spread.rdd.getNumPartitions() == 3
+    assert spread.exceptAll(few).count() == few.exceptAll(spread).count() == 0
+    grown, fit = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: grown.append(self.getCacheNodeIds()) or fit(self, df))
+    assert priority.cross_validate(few, columns, folds=2, trees=3, depth=4) > 0.9
+    assert grown == [True, True]
+    monkeypatch.setattr(priority, "NODE_IDS", 1)
+    assert priority.kept_nodes(priority.forest_pipeline(columns), 400).getStages()[-1].getCacheNodeIds() is False
+
+
 def test_small_forest_scores_every_call(spark):
     assert priority.small_forest(labelled(spark)).count() == 401
 
