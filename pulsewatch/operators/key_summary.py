@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsewatch.session import materialize
+
 FOLDER = "_key_summary"  # a leading underscore keeps it out of the table
 KEYS_PER_WORD = 2
 BITS_PER_KEY = 8
@@ -74,8 +76,10 @@ def summarise_keys(
         "pid", "signature", F.coalesce("n", F.lit(0)).alias("n"),
         F.coalesce(F.ceil(F.log2(words)), F.lit(0)).cast("int").alias("level"), "least", "greatest",
     )
+    parts = materialize(parts)
     options = {"partitionOverwriteMode": "dynamic"}
-    bits = keys.join(parts.select("pid", "level"), "pid")
+    # broadcast, one row a partition: a shuffle by pid would bring all keys of a partition to one task
+    bits = keys.join(F.broadcast(parts.select("pid", "level")), "pid")
     bits = bits.groupBy("pid", "level", _slot("_key", F.col("level")).alias("slot")).agg(F.bit_or(_mask("_key")).alias("bits"))
     for name, frame in (("bits", bits), ("parts", parts)):
         writer = frame.hint("rebalance", "pid").write.mode("overwrite").options(**options)
@@ -100,7 +104,7 @@ def may_hold(path: str, keys: DataFrame, key: str, partition_by: list[str]) -> D
         "level", _slot("_key", F.col("level")).alias("slot"), _mask("_key").alias("mask")
     )
     bits = _stored(spark, path, "bits", "pid string, level int, slot long, bits long")
-    words = bits.join(near.select("pid"), "pid", "left_semi")
+    words = bits.join(F.broadcast(near.select("pid")), "pid", "left_semi")
     hits = words.join(probes, ["level", "slot"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
     closed = known.select("pid").join(hits.select("pid").distinct(), "pid", "left_anti")
     return files.join(closed, "pid", "left_anti").select(*partition_by)

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,6 +185,41 @@ def test_key_summaries_never_miss(spark, tmp_path):
     assert nobody.count() == 0
 
 
+def rows_dealt_by_pid(node):
+    """Rows that each shuffle by pid alone has written, in a plan that has run."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return rows_dealt_by_pid(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return rows_dealt_by_pid(node.plan())
+    below = node.children()
+    rows = [n for i in range(below.size()) for n in rows_dealt_by_pid(below.apply(i))]
+    if kind == "ShuffleExchangeExec" and re.match(r"hashpartitioning\(pid#\d+, \d+\)", node.outputPartitioning().toString()):
+        rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+    return rows
+
+
+def test_keys_of_one_partition_do_not_meet_in_one_task(spark, tmp_path, monkeypatch):
+    path, written = str(tmp_path / "t"), []
+    frame = type(spark.range(1))
+    hint = frame.hint
+    spark.range(5_000).selectExpr("md5(string(id)) AS k", "int(id % 2) AS p").write.partitionBy("p").parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # at size no side is small enough
+    try:
+        with monkeypatch.context() as m:
+            m.setattr(frame, "hint", lambda df, *args: written.append(df) or hint(df, *args))
+            key_summary.summarise_keys(spark, path, "k", ["p"])
+        held = key_summary.may_hold(path, spark.read.parquet(path).where("p = 1").select("k"), "k", ["p"])
+        bits = next(df for df in written if "bits" in df.columns)
+        assert bits.agg(F.count("*"), F.max("level")).first() == (spark.read.parquet(f"{path}/_key_summary/bits").count(), 11)
+        assert [r["p"] for r in held.collect()] == [1]
+        bits.collect()
+        most = [max(rows_dealt_by_pid(df._jdf.queryExecution().executedPlan()), default=0) for df in (bits, held)]
+        assert max(most) < 50, most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64MB")
+
+
 def raw_call(n, when, geo="48453001012.0", category="Theft"):
     row = {f.name: None for f in schemas.RAW_CALLS}
     row |= dict(incident_number=n, response_datetime=when, geo_id=geo, priority_level="Priority 1",
