@@ -305,3 +305,34 @@ def test_pairs_are_made_without_working_out_distances_again(spark):
     plain = catalog.comparable(joins.festival_incidents(calls, events))
     assert plain.schema.simpleString() == shown.schema.simpleString()
     assert shown.exceptAll(plain).count() == plain.exceptAll(shown).count() == 0
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_pairs_come_from_lists_of_a_moments_events(spark, rows_of, monkeypatch, broadcast_rows):
+    """A call meets lists of events, not each event; lists of two rows give the pairs that whole ones give."""
+    calls, events = crowd(spark)
+    whole = joins.festival_incidents(calls, events, 3.0, True, broadcast_rows=broadcast_rows)
+    plan = whole._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "generate inline" in plan.split("join inner")[0]
+    want = rows_of(whole)
+    monkeypatch.setattr(joins, "LIST_BITS", 1)
+    short = joins.festival_incidents(calls, events, 3.0, True, broadcast_rows=broadcast_rows, salt_rows=3)
+    assert rows_of(short) == want and len(want) > 400
+    at = {(e["event_id"], e["start_date"], e["end_date"], e["event_lat"], e["event_lon"]) for e in events.collect()}
+    found = sorted(
+        (str(c["incident_number"]), e)
+        for c in calls.collect() if c["latitude_centroid"] is not None
+        for e, start, end, lat, lon in at
+        if start <= c["response_datetime"].date() <= end
+        and haversine(c["latitude_centroid"], c["longitude_centroid"], lat, lon) <= 3.0
+    )
+    assert sorted((str(r["incident_number"]), r["event_id"]) for r in whole.collect()) == found
+
+
+def test_pairs_of_calls_in_one_file_are_made_in_many_tasks(spark):
+    calls, events = crowd(spark)
+    stored = materialize(calls.coalesce(1))
+    assert stored.rdd.getNumPartitions() == 1
+    fact = joins.festival_incidents(stored, events)
+    sizes = fact.rdd.glom().map(len).collect()
+    assert len(sizes) >= 4 * spark.sparkContext.defaultParallelism and max(sizes) < sum(sizes) / 4
